@@ -21,6 +21,25 @@ def census(tables: dict[str, DataFrame], key: str) -> DataFrame:
     return stacked.groupBy(key).agg(*(F.sum(name).alias(name) for name in tables))
 
 
+def membership(tables: dict[str, DataFrame], key: str) -> DataFrame:
+    """Distinct non-NULL keys with a flag `in_<table>` per table, to be joined on `key`.
+
+    Grouping by a second column, the key's length, changes no result. But it keeps
+    the partitioning from serving the join as it is, so the join gets exchanges
+    directly below it on both sides, and AQE can then split a hot key of the other
+    side.
+    """
+    flags = {f"in_{name}": name for name in tables}
+    tagged = [
+        df.filter(F.col(key).isNotNull()).select(
+            key, F.length(key).alias("_width"), *(F.lit(owner == name).alias(f) for f, owner in flags.items())
+        )
+        for name, df in tables.items()
+    ]
+    stacked = reduce(DataFrame.unionAll, tagged)
+    return stacked.groupBy(key, "_width").agg(*(F.max(f).alias(f) for f in flags)).drop("_width")
+
+
 def surplus(df: DataFrame, key: str) -> DataFrame:
     """One row, `n`: rows beyond the first of each key, NULL being a key."""
     per_key = df.groupBy(key).agg(F.count("*").alias("rows"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from casewatch.operators.census import census, total
+from casewatch.operators.census import census, membership, total
 from casewatch.operators.silver import keep_valid, latest_version
 
 INSERTED, UPDATED, UNCHANGED = "inserted", "updated", "unchanged"
@@ -64,20 +64,34 @@ def demo_merge_stats(actions: DataFrame) -> DataFrame:
 def merge_child(target: DataFrame | None, batch: DataFrame, demo: DataFrame) -> DataFrame:
     """Batch rows with a report in the merged DEMO replace that report's rows.
 
-    The replaced ids are deduplicated with partial aggregation and re-joined as a
-    distributed anti-join; nothing is collected.
+    Replaced reports are those in both the batch and DEMO, a distributed list of
+    unique ids; nothing is collected.
     """
     valid = keep_valid(batch, demo)
     if target is None:
         return valid
-    # Grouping by the partition columns too leaves the join's exchange directly
-    # under the join, where AQE can split a hot report of the stored side.
-    tags = [c for c in ("_year", "_quarter") if c in valid.columns]
-    ids = valid.select("primaryid", *tags).distinct().select("primaryid")
-    kept = target.join(ids, "primaryid", "left_anti")
+    replaced = _batch_and_demo(batch, demo).filter("in_batch and in_demo").select("primaryid")
+    kept = target.join(replaced, "primaryid", "left_anti")
     return kept.select(target.columns).unionByName(valid)
 
 
+def refresh_child(target: DataFrame | None, batch: DataFrame, demo: DataFrame) -> DataFrame:
+    """`merge_child` followed by orphan removal, in one pass over the stored rows.
+
+    What stays is exactly the stored rows of DEMO reports that the batch lacks.
+    """
+    valid = keep_valid(batch, demo)
+    if target is None:
+        return valid
+    staying = _batch_and_demo(batch, demo).filter("in_demo and not in_batch").select("primaryid")
+    kept = target.join(staying, "primaryid", "left_semi")
+    return kept.select(target.columns).unionByName(valid)
+
+
+def _batch_and_demo(batch: DataFrame, demo: DataFrame) -> DataFrame:
+    return membership({"batch": batch, "demo": demo}, "primaryid")
+
+
 def case_overlap(stored: DataFrame, batch: DataFrame) -> DataFrame:
     """One row: cases on either side, in both, and in one only."""
     seen = census({"stored": stored, "batch": batch}, "caseid")

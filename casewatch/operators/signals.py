@@ -232,9 +232,13 @@ def signal_rate(scored: DataFrame) -> DataFrame:
 
 
 def death_reports(drug: DataFrame, reac: DataFrame, outc: DataFrame) -> DataFrame:
-    """Reports with outcome death per (drugname, pt)."""
+    """Reports with outcome death per (drugname, pt).
+
+    The fatal suspects, a small part of all, are spread again by their full key, so
+    that the join with the reactions has direct exchanges as inputs.
+    """
     died = outc.filter(F.col("outc_cod") == DEATH).select("primaryid").distinct()
-    fatal = suspect_drugs(drug).join(died, "primaryid")
+    fatal = suspect_drugs(drug).join(died, "primaryid").repartition("primaryid", "drugname")
     return (
         fatal.join(reactions(reac), "primaryid")
         .groupBy("drugname", "pt")

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Window, functions as F
 
 from casewatch.functions import cleaning
-from casewatch.schema import CHILDREN, FILE_LINEAGE
+from casewatch.lazy import LazyTables
+from casewatch.schema import FILE_LINEAGE, TABLES
 
 
 class Rule(NamedTuple):
@@ -120,11 +122,13 @@ def keep_valid(child: DataFrame, demo: DataFrame) -> DataFrame:
     return child.select(columns).join(demo.select("primaryid"), "primaryid", "left_semi")
 
 
-def clean_all(bronze: dict[str, DataFrame], as_of: dt.date | None = None) -> dict[str, DataFrame]:
-    """All seven Silver tables of a batch, children restricted to its DEMO."""
-    demo = clean_demo(bronze["demo"], as_of)
-    silver = {"demo": demo}
-    for table in CHILDREN:
-        if table in bronze:
-            silver[table] = keep_valid(clean_child(table, bronze[table], as_of), demo)
+def clean_all(bronze: Mapping[str, DataFrame], as_of: dt.date | None = None) -> LazyTables:
+    """All Silver tables of a batch, children restricted to its DEMO."""
+
+    def build(table: str) -> DataFrame:
+        if table == "demo":
+            return clean_demo(bronze["demo"], as_of)
+        return keep_valid(clean_child(table, bronze[table], as_of), silver["demo"])
+
+    silver = LazyTables((t for t in TABLES if t in bronze), build)
     return silver

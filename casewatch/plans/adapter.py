@@ -6,8 +6,11 @@ same in Spark and in the SQL engine used as an oracle, and hold no operator logi
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from casewatch.lazy import LazyTables
 from casewatch.schema import COLUMNS, PARTITIONS
 
 _DAY = "replace(cast(cast({} as date) as string), '-', '')"
@@ -97,24 +100,21 @@ def _on(left: str, right: str) -> Column:
     return F.col(left) == F.col(right)
 
 
-def raw_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """One report table in Bronze form: every column a string."""
-
-    def read(name: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def raw_tables(spark: SparkSession, sf_dir: str) -> LazyTables:
+    """The seven report tables in Bronze form: every column a string."""
+    read = cache(lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
-    if table == "demo":
-        # Nations are a fixed list, so their side of the join is always small.
-        people = read("customer").join(read("nation"), _on("c_nationkey", "n_nationkey"))
-        source = read("orders").join(people, _on("o_custkey", "c_custkey"))
-    elif table in ORDER_TABLES:
-        source = read("orders")
-    elif table == "outc" or table == "ther":
-        source = read("lineitem")
-    else:
-        source = read("lineitem").join(read("part"), _on("l_partkey", "p_partkey"))
-    return source.selectExpr(*(f"{sql} as {name}" for name, sql in select_list(table).items()))
+    def source(table: str) -> DataFrame:
+        if table == "demo":
+            people = read("customer").join(read("nation"), _on("c_nationkey", "n_nationkey"))
+            return read("orders").join(people, _on("o_custkey", "c_custkey"))
+        if table in ORDER_TABLES:
+            return read("orders")
+        if table in ("outc", "ther"):
+            return read("lineitem")
+        return read("lineitem").join(read("part"), _on("l_partkey", "p_partkey"))
 
+    def project(table: str) -> DataFrame:
+        return source(table).selectExpr(*(f"{sql} as {c}" for c, sql in select_list(table).items()))
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {table: raw_table(spark, sf_dir, table) for table in COLUMNS}
+    return LazyTables(COLUMNS, project)

@@ -12,6 +12,7 @@ from functools import cached_property, reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from casewatch.functions.statistics import Thresholds
+from casewatch.lazy import LazyTables
 from casewatch.operators import merge, profile, quality, signals, silver
 from casewatch.plans.adapter import raw_tables
 from casewatch.schema import CHILDREN, PRIMARY_SUSPECT
@@ -45,7 +46,7 @@ class Reports:
         return silver.typed_versions(self.raw["demo"])
 
     @cached_property
-    def loaded(self) -> dict[str, DataFrame]:
+    def loaded(self) -> LazyTables:
         return silver.clean_all(self.raw)
 
     @cached_property
@@ -53,15 +54,16 @@ class Reports:
         """All DEMO versions and all child rows, cleaned."""
         return {"demo": silver.finish_demo(self.versions)} | {t: self.child(t) for t in CHILDREN}
 
-    def quarter(self, quarter: str) -> dict[str, DataFrame]:
-        return silver.clean_all({t: of_quarter(df, YEAR, quarter) for t, df in self.raw.items()})
+    def quarter(self, quarter: str) -> LazyTables:
+        rows = LazyTables(self.raw, lambda t: of_quarter(self.raw[t], YEAR, quarter))
+        return silver.clean_all(rows)
 
     @cached_property
-    def stored(self) -> dict[str, DataFrame]:
+    def stored(self) -> LazyTables:
         return self.quarter(OLD_QUARTER)
 
     @cached_property
-    def batch(self) -> dict[str, DataFrame]:
+    def batch(self) -> LazyTables:
         return self.quarter(NEW_QUARTER)
 
     @cached_property
@@ -73,8 +75,7 @@ class Reports:
         return merge.apply_demo_actions(self.stored["demo"], self.actions)
 
     def merged_child(self, table: str) -> DataFrame:
-        merged = merge.merge_child(self.stored[table], self.batch[table], self.merged_demo)
-        return silver.keep_valid(merged, self.merged_demo)
+        return merge.refresh_child(self.stored[table], self.batch[table], self.merged_demo)
 
     @cached_property
     def scored(self) -> DataFrame:
@@ -165,6 +166,9 @@ QUERIES: dict[str, Callable[[Reports], DataFrame]] = {
     "merge_demo": lambda r: r.merged_demo,
     "merge_demo_stats": lambda r: merge.demo_merge_stats(r.actions),
     "merge_child": lambda r: r.merged_child("drug"),
+    "merge_child_with_orphans": lambda r: merge.merge_child(
+        r.stored["drug"], r.batch["drug"], r.merged_demo
+    ),
     "merge_child_counts": merge_child_counts,
     "case_overlap": lambda r: merge.case_overlap(r.stored["demo"], r.batch["demo"]),
     "snapshot_diff": lambda r: merge.snapshot_diff(r.stored["demo"], r.merged_demo),

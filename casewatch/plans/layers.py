@@ -104,7 +104,7 @@ def merge_child_table(
     path = layout.silver(table)
     demo = tables.read_version(spark, layout.silver("demo"))
     stored = tables.read_version(spark, path) if tables.versions(spark, path) else None
-    tables.write_version(keep_valid(merge.merge_child(stored, batch, demo), demo), path)
+    tables.write_version(merge.refresh_child(stored, batch, demo), path)
     return {
         "before": stored.count() if stored is not None else 0,
         "written": keep_valid(batch, demo).count(),
@@ -117,9 +117,10 @@ def upsert_quarter(
 ) -> dict[str, dict[str, int]]:
     """Cleans one quarter of Bronze and merges all its tables into Silver."""
     batch = clean_all(read_quarter(spark, layout, year, quarter), as_of)
-    stats = {"demo": merge_demo_table(spark, layout, batch.pop("demo"))}
-    for table, rows in batch.items():
-        stats[table] = merge_child_table(spark, layout, table, rows)
+    stats = {"demo": merge_demo_table(spark, layout, batch["demo"])}
+    for table in CHILDREN:
+        if table in batch:
+            stats[table] = merge_child_table(spark, layout, table, batch[table])
     return stats
 
 

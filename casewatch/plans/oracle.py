@@ -407,6 +407,11 @@ def _final_selects() -> dict[str, str]:
             "count(*) filter (act = 'unchanged') as unchanged from actions"
         ),
         "merge_child": "select * from merged_drug",
+        "merge_child_with_orphans": (
+            "select * from valid_drug_q1 where primaryid not in "
+            "(select primaryid from valid_drug_q2 where primaryid in (select primaryid from merged)) "
+            "union all select * from valid_drug_q2 where primaryid in (select primaryid from merged)"
+        ),
         "merge_child_counts": " union all ".join(
             f"select '{t}' as table_name, (select count(*) from valid_{t}_q1) as before, "
             f"(select count(*) from valid_{t}_q2) as batch, (select count(*) from merged_{t}) as after"

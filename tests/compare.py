@@ -35,6 +35,9 @@ def connect(sf_dir: str):
     return con
 
 
+took: dict[str, float] = {}
+
+
 def _plain(v):
     if isinstance(v, float) and math.isnan(v):
         return "nan"
@@ -51,11 +54,14 @@ def normal(rows, names):
 def compare(spark, con, name, query, sql, sf_dir):
     """None when equal, else a short text."""
     df = query(spark, sf_dir)
+    start = time.time()
     ours = normal(df.collect(), df.columns)
+    took["spark"] = time.time() - start
     result = con.execute(sql)
     names = [d[0] for d in result.description]
     kinds = {d[0]: str(d[1]) for d in result.description}
     theirs = normal(result.fetchall(), names)
+    took["oracle"] = time.time() - start - took["spark"]
     if sorted(df.columns) != sorted(names):
         return f"columns {sorted(df.columns)} != {sorted(names)}"
     wrong = [(c, t, kinds[c]) for c, t in df.dtypes if TYPES.get(t) != kinds[c]]
@@ -88,7 +94,7 @@ def main():
         except Exception as ex:  # noqa: BLE001
             problem = f"error {type(ex).__name__}: {str(ex)[:600]}"
         bad += problem is not None
-        print(f"{'ok ' if problem is None else 'BAD'} {name} {time.time() - start:.1f}s {problem or ''}", flush=True)
+        print(f"{'ok ' if problem is None else 'BAD'} {name} {time.time() - start:.1f}s {took} {problem or ''}", flush=True)
     print("missing oracles:", sorted(set(queries) - set(sqls)), "extra:", sorted(set(sqls) - set(queries)), "bad:", bad)
 
 

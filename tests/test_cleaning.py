@@ -1,0 +1,105 @@
+import datetime as dt
+
+import pytest
+from frames import strings
+from hypothesis import HealthCheck, given, settings, strategies as st
+from pyspark.sql import functions as F
+
+from casewatch.functions import cleaning
+
+INTS = [
+    ("12", 12), ("12.7", 12), ("-3.9", -3), (" 12 ", 12), ("5.", 5), ("+12", 12), ("0012", 12),
+    ("12.5 ", 12), (".5", 0), (".", 0), ("+.5", 0), ("\t12\n", 12), ("1e3", None), ("abc", None),
+    ("", None), ("99999999999", None), ("99999999999.5", None), ("+", None), ("-", None),
+    ("12.x", None), ("--1", None), ("1.2.3", None), (None, None),
+]
+
+DATES = [
+    ("20240229", "2024-02-29"), ("202403", "2024-03-01"), ("2024", "2024-01-01"),
+    ("19000101", "1900-01-01"), ("20241", None), ("20240230", None), ("18991231", None),
+    ("20991231", None), ("abcdefgh", None), ("", None), (None, None), ("2024011 ", None),
+    ("2024011T", None), ("202401 1", None), ("2024-1-1", None), ("202413", None), ("20 4", None),
+]
+
+AGES = [
+    ("45", "YR", 45.0), ("4", "DEC", 40.0), ("30", "MON", 2.5), ("26", "WK", 0.5), ("400", "DY", 1.1),
+    ("72", "HR", 0.0), ("121", "YR", None), ("-1", "YR", None), ("3", "XX", None), ("3", None, None),
+    ("120", "YR", 120.0), ("120.04", "YR", None), ("n/a", "YR", None), (None, "YR", None),
+]
+
+
+def values(spark, inputs, expression):
+    df = strings(spark, ["i", "v"], [(str(i), v) for i, v in enumerate(inputs)])
+    return [r[0] for r in df.orderBy(F.col("i").cast("int")).select(expression).collect()]
+
+
+def test_whole_number(spark):
+    assert values(spark, [v for v, _ in INTS], cleaning.whole_number("v")) == [e for _, e in INTS]
+
+
+def test_whole_number_is_the_lenient_cast(spark):
+    inputs = [v for v, _ in INTS]
+    ours = values(spark, inputs, cleaning.whole_number("v"))
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        lenient = values(spark, inputs, F.col("v").cast("int"))
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+    assert ours == lenient
+
+
+def test_number(spark):
+    assert values(spark, ["1.5", "n/a", "", None, "1e3"], cleaning.number("v")) == [1.5, None, None, None, 1000.0]
+
+
+def test_partial_date(spark):
+    got = values(spark, [v for v, _ in DATES], cleaning.partial_date("v", dt.date(2024, 12, 31)))
+    assert [d and d.isoformat() for d in got] == [e for _, e in DATES]
+
+
+def test_partial_date_limits_are_inclusive(spark):
+    day = dt.date(2024, 6, 30)
+    got = values(spark, ["20240630", "20240701"], cleaning.partial_date("v", day))
+    assert got == [day, None]
+    today = values(spark, ["20240630", "29991231"], cleaning.partial_date("v"))
+    assert today == [day, None]
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.text(alphabet="0123456789 T-x", min_size=3, max_size=9), min_size=50, max_size=200))
+def test_partial_date_against_strict_parsing(spark, inputs):
+    def expected(text):
+        digits = {8: text, 6: text + "01", 4: text + "0101"}.get(len(text), "x")
+        if not digits.isdigit():
+            return None
+        try:
+            day = dt.date(int(digits[:4]), int(digits[4:6]), int(digits[6:]))
+        except ValueError:
+            return None
+        return day if dt.date(1900, 1, 1) <= day <= dt.date(2024, 12, 31) else None
+
+    got = values(spark, inputs, cleaning.partial_date("v", dt.date(2024, 12, 31)))
+    assert got == [expected(t) for t in inputs]
+
+
+def test_age_in_years(spark):
+    df = strings(spark, ["i", "age", "age_cod"], [(str(i), a, u) for i, (a, u, _) in enumerate(AGES)])
+    typed = df.withColumn("age", cleaning.number("age")).orderBy(F.col("i").cast("int"))
+    assert [r[0] for r in typed.select(cleaning.age_in_years()).collect()] == [e for *_, e in AGES]
+
+
+def test_sex(spark):
+    got = values(spark, ["M", "F", "UNK", "NS", "m", "", None], cleaning.sex("v"))
+    assert got == ["M", "F", "UNK", "NS", "UNK", "UNK", "UNK"]
+
+
+def test_present_and_missing(spark):
+    inputs = ["a", " ", "", None]
+    assert values(spark, inputs, F.coalesce(cleaning.present("v"), F.lit(False))) == [True, True, False, False]
+    assert values(spark, inputs, cleaning.missing("v")) == [False, False, True, True]
+
+
+@pytest.mark.parametrize("kind", ["int", "double", "date"])
+def test_missing_on_typed_columns(spark, kind):
+    df = spark.sql(f"select cast(null as {kind}) v")
+    assert df.select(cleaning.missing("v")).first()[0] is True

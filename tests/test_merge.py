@@ -1,0 +1,74 @@
+from frames import rows, strings
+from pyspark.sql import functions as F
+
+from casewatch.operators import merge
+
+SCHEMA = "primaryid string, caseid string, caseversion int, fda_dt string, side string"
+
+
+def demo(spark, versions, side):
+    data = [(f"{side}{c}{v}", c, v, "20240101", side) for c, v in versions]
+    return spark.createDataFrame(data, SCHEMA)
+
+
+TARGET = [("A", 1), ("B", 2), ("C", 3), ("E", 1), ("F", None), ("G", 1), (None, 1)]
+BATCH = [("A", 2), ("B", 2), ("C", 1), ("D", 1), ("F", 2), ("G", None), (None, 1)]
+
+
+def test_demo_upsert_rules(spark):
+    target, batch = demo(spark, TARGET, "t"), demo(spark, BATCH, "s")
+    merged = merge.merge_demo(target, batch)
+    assert merged.columns == target.columns
+    assert rows(merged, "caseid", "side") == sorted(
+        [("A", "s"), ("B", "t"), ("C", "t"), ("D", "s"), ("E", "t"), ("F", "t"), ("G", "t"), (None, "t"), (None, "s")],
+        key=repr,
+    )
+    stats = merge.demo_merge_stats(merge.demo_actions(target, batch)).first()
+    assert stats.asDict() == {"source_rows": 7, "inserted": 2, "matched": 5, "updated": 1, "unchanged": 4}
+
+
+def test_demo_merge_twice_is_once(spark):
+    known = [(c, v) for c, v in BATCH if c]
+    target, batch = demo(spark, TARGET, "t"), demo(spark, known, "s")
+    once = merge.merge_demo(target, batch)
+    assert rows(merge.merge_demo(once, batch)) == rows(once)
+
+
+def test_first_load_takes_latest_versions(spark):
+    assert rows(merge.merge_demo(None, demo(spark, [("A", 1), ("A", 2)], "s")), "caseversion") == [(2,)]
+
+
+def test_batch_is_deduplicated_first(spark):
+    merged = merge.merge_demo(demo(spark, [("A", 1)], "t"), demo(spark, [("A", 2), ("A", 3), ("B", 1), ("B", 1)], "s"))
+    assert rows(merged, "caseid", "caseversion") == [("A", 3), ("B", 1)]
+
+
+def child(spark, data):
+    return strings(spark, ["primaryid", "x"], data)
+
+
+def test_child_merge_and_refresh(spark):
+    ids = strings(spark, ["primaryid"], [("1",), ("2",), ("3",)])
+    stored = child(spark, [("1", "old"), ("2", "old"), ("2", "old2"), ("9", "gone")])
+    batch = child(spark, [("2", "new"), ("3", "new"), ("3", "new"), ("9", "orphan"), ("8", "orphan")])
+    merged = merge.merge_child(stored, batch, ids)
+    assert rows(merged) == [("1", "old"), ("2", "new"), ("3", "new"), ("3", "new"), ("9", "gone")]
+    fresh = merge.refresh_child(stored, batch, ids)
+    assert rows(fresh) == [("1", "old"), ("2", "new"), ("3", "new"), ("3", "new")]
+    assert rows(merge.refresh_child(fresh, batch, ids)) == rows(fresh)
+    assert rows(merge.merge_child(None, batch, ids)) == [("2", "new"), ("3", "new"), ("3", "new")]
+
+
+def test_child_merge_keeps_rows_of_reports_without_batch_rows(spark):
+    ids = strings(spark, ["primaryid"], [("1",)])
+    stored = child(spark, [("1", "old")])
+    assert rows(merge.merge_child(stored, child(spark, []), ids)) == [("1", "old")]
+
+
+def test_overlap_and_snapshots(spark):
+    target, batch = demo(spark, TARGET, "t"), demo(spark, BATCH, "s")
+    assert tuple(merge.case_overlap(target, batch).first()) == (7, 7, 6, 1, 1)
+    merged = merge.merge_demo(target, batch)
+    assert tuple(merge.snapshot_diff(target, merged).first()) == (7, 9, 2, 1, 0)
+    nothing = target.filter(F.lit(False))
+    assert tuple(merge.snapshot_diff(nothing, nothing).first()) == (0, 0, 0, 0, 0)

@@ -1,0 +1,87 @@
+from frames import rows, strings
+from pyspark.sql import functions as F
+
+from casewatch.operators import quality
+from casewatch.schema import CHILDREN
+
+DEMO = "primaryid string, caseid string, caseversion int, sex string, age double, age_in_years double, event_dt string, reporter_country string"
+
+
+def silver(spark, demo=None):
+    demo = demo if demo is not None else [
+        ("1", "a", 1, "M", 1.0, 1.0, "2024", "US"),
+        ("2", "b", None, "F", None, 130.0, None, ""),
+        ("2", "b", 1, "X", 3.0, None, None, "US"),
+    ]
+    columns = {
+        "drug": ["role_cod", "drugname"], "reac": ["pt"], "outc": ["outc_cod"],
+        "rpsr": ["rpsr_cod"], "ther": ["start_dt"], "indi": ["indi_pt"],
+    }
+    data = {
+        "drug": [("1", "PS", "A"), ("7", "ZZ", "b "), ("7", None, "")],
+        "reac": [("1", "X")], "outc": [("1", "XX"), ("8", "DE")], "rpsr": [("1", "x")],
+        "ther": [], "indi": [("1", "y")] * 1234,
+    }
+    out = {"demo": spark.createDataFrame(demo, DEMO)}
+    for t in CHILDREN:
+        out[t] = strings(spark, ["primaryid", *columns[t]], data[t])
+    return out
+
+
+def test_report(spark):
+    report = quality.run_checks(silver(spark), "r")
+    assert report.columns == ["check_name", "table_name", "metric", "result", "timestamp", "run_label", "n", "pct"]
+    assert all(t == "string" for c, t in report.dtypes if c not in ("n", "pct"))
+    got = {(r.check_name, r.table_name): (r.metric, r.result) for r in report.collect()}
+    assert len(got) == 30
+    expected = {
+        ("null_primaryid", "DEMO"): ("0 nulls (0.0%)", "PASS"),
+        ("null_caseversion", "DEMO"): ("1 nulls (33.33%)", "FAIL"),
+        ("null_age", "DEMO"): ("1 nulls (33.33%)", "WARN"),
+        ("null_event_dt", "DEMO"): ("2 nulls (66.67%)", "FAIL"),
+        ("null_reporter_country", "DEMO"): ("1 nulls (33.33%)", "WARN"),
+        ("null_sex", "DEMO"): ("0 nulls (0.0%)", "PASS"),
+        ("null_drugname", "DRUG"): ("1 nulls (33.33%)", "FAIL"),
+        ("domain_sex", "DEMO"): ("1 invalid values", "FAIL"),
+        ("domain_role_cod", "DRUG"): ("1 invalid values", "FAIL"),
+        ("domain_outc_cod", "OUTC"): ("1 invalid values", "FAIL"),
+        ("range_age_in_years", "DEMO"): ("1 out of range (0-120)", "WARN"),
+        ("ref_integrity_DRUG", "DRUG"): ("1 orphan primaryids", "FAIL"),
+        ("ref_integrity_OUTC", "OUTC"): ("1 orphan primaryids", "FAIL"),
+        ("ref_integrity_THER", "THER"): ("0 orphan primaryids", "PASS"),
+        ("duplicate_primaryid", "DEMO"): ("1 duplicate primaryids", "FAIL"),
+        ("duplicate_caseid", "DEMO"): ("1 duplicate caseids", "WARN"),
+        ("row_count", "INDI"): ("1,234 rows", "PASS"),
+        ("row_count", "THER"): ("0 rows", "PASS"),
+    }
+    assert {k: got[k] for k in expected} == expected
+    assert ("row_count", "RPSR") not in got
+    assert rows(report, "run_label") == [("r",)] * 30
+
+
+def test_empty_table_has_zero_share(spark):
+    got = {r.check_name: r.metric for r in quality.run_checks(silver(spark, [])).filter("table_name = 'DEMO'").collect()}
+    assert got["null_age"] == "0 nulls (0%)"
+    assert got["duplicate_caseid"] == "0 duplicate caseids"
+
+
+def test_share_of_half_and_more_fails(spark):
+    half = [("1", "a", 1, "M", None, 1.0, "2024", "US"), ("2", "b", 1, "M", 1.0, 1.0, "2024", "US")]
+    got = {r.check_name: r.result for r in quality.run_checks(silver(spark, half)).filter("table_name = 'DEMO'").collect()}
+    assert got["null_age"] == "FAIL"
+
+
+def test_summary_and_splits(spark):
+    report = quality.run_checks(silver(spark))
+    counts = {r.result: r["count"] for r in quality.verdict_counts(report).collect()}
+    assert sum(counts.values()) == 30
+    assert quality.with_result(report, quality.FAIL).count() == counts["FAIL"]
+
+
+def test_post_checks(spark):
+    got = {r.check_name: r.n for r in quality.post_checks(silver(spark)).collect()}
+    assert got["drugname_not_upper"] == 1 and got["drugname_not_trimmed"] == 1
+    assert got["ref_integrity_DRUG"] == 1 and got["duplicate_caseid"] == 1
+    clean = silver(spark)
+    clean = {t: df.filter("primaryid = '1'") for t, df in clean.items()}
+    assert quality.post_checks(clean).filter(F.col("result") != "PASS").isEmpty()

@@ -1,0 +1,101 @@
+import datetime as dt
+
+from frames import bronze, rows, strings
+
+from casewatch.operators import silver
+from casewatch.schema import COLUMNS
+
+DAY = dt.date(2024, 12, 31)
+
+
+def demo_row(pid, case, version, fda="20240101", **more):
+    return {"primaryid": pid, "caseid": case, "caseversion": version, "fda_dt": fda} | more
+
+
+def test_demo_columns_and_types(spark):
+    df = silver.clean_demo(
+        bronze(
+            spark,
+            "demo",
+            [demo_row("1", "c", "2.0", age="30", age_cod="MON", wt="n/a", sex="m", event_dt="202402", occr_country=" US ")],
+        ),
+        DAY,
+    )
+    assert dict(df.dtypes) == {c: "string" for c in COLUMNS["demo"]} | {
+        "caseversion": "int", "age": "double", "wt": "double", "_year": "string", "_quarter": "string",
+        "event_dt_parsed": "date", "age_in_years": "double",
+    }
+    row = df.first()
+    assert (row.caseversion, row.age, row.wt, row.sex, row.occr_country) == (2, 30.0, None, "UNK", "US")
+    assert (row.age_in_years, row.event_dt_parsed) == (2.5, dt.date(2024, 2, 1))
+
+
+def test_latest_version_rules(spark):
+    df = bronze(
+        spark,
+        "demo",
+        [
+            demo_row("10", "version", "9"),
+            demo_row("11", "version", "10"),
+            demo_row("20", "date", "1", "20240102"),
+            demo_row("21", "date", "1", "20240101"),
+            demo_row("30", "id", "1"),
+            demo_row("31", "id", "1"),
+            demo_row("40", "null version", None),
+            demo_row("41", "null version", "1"),
+            demo_row("50", None, "1"),
+            demo_row("51", None, "2"),
+            demo_row(None, "no key", "1"),
+            demo_row("", "no key", "1"),
+            demo_row(" ", "blank key", "1"),
+        ],
+    )
+    assert rows(silver.clean_demo(df, DAY), "primaryid") == [(" ",), ("11",), ("20",), ("31",), ("41",), ("51",)]
+
+
+def test_full_ties_are_repeatable(spark):
+    twins = [demo_row("1", "c", "1", sex="M"), demo_row("1", "c", "1", sex="F")]
+    first = rows(silver.clean_demo(bronze(spark, "demo", twins)), "sex")
+    assert first == rows(silver.clean_demo(bronze(spark, "demo", twins[::-1])), "sex") and len(first) == 1
+
+
+def test_children(spark):
+    drug = silver.clean_child(
+        "drug",
+        bronze(spark, "drug", [{"primaryid": "1", "drug_seq": "1.0", "role_cod": " ps", "drugname": " a b ", "route": " Oral "}]),
+    ).first()
+    assert (drug.drug_seq, drug.role_cod, drug.drugname, drug.route, drug.dose_form) == (1, "PS", "A B", "Oral", None)
+    reac = silver.clean_child("reac", bronze(spark, "reac", [{"primaryid": "1", "pt": p} for p in ("", None, "  ", " x")]))
+    assert rows(reac, "pt") == [("",), ("X",)]
+    ther = silver.clean_child(
+        "ther", bronze(spark, "ther", [{"primaryid": "1", "dsg_drug_seq": "x", "start_dt": "2024", "end_dt": "bad"}]), DAY
+    ).first()
+    assert (ther.dsg_drug_seq, ther.start_dt_parsed, ther.end_dt_parsed) == (None, dt.date(2024, 1, 1), None)
+    for table, column in (("outc", "outc_cod"), ("rpsr", "rpsr_cod"), ("indi", "indi_pt")):
+        got = silver.clean_child(table, bronze(spark, table, [{"primaryid": "1", column: " de "}, {"primaryid": "", column: "x"}]))
+        assert rows(got, column) == [("DE",)]
+
+
+def test_optional_columns_may_be_absent(spark):
+    slim = strings(spark, ["primaryid", "drug_seq", "role_cod", "drugname", "prod_ai"], [("1", "1", "PS", "a", "b")])
+    assert silver.clean_child("drug", slim).columns == slim.columns
+    ther = strings(spark, ["primaryid", "dsg_drug_seq", "start_dt"], [("1", "1", "2024")])
+    assert silver.clean_child("ther", ther).columns[-1] == "start_dt_parsed"
+
+
+def test_keep_valid(spark):
+    demo = strings(spark, ["caseid", "primaryid"], [("c", "1"), ("d", "1")])
+    child = strings(spark, ["x", "primaryid"], [("a", "1"), ("a", "1"), ("b", "2"), ("c", None)])
+    kept = silver.keep_valid(child, demo)
+    assert kept.columns == ["primaryid", "x"]
+    assert rows(kept) == [("1", "a"), ("1", "a")]
+
+
+def test_clean_all_leaves_no_orphans(spark):
+    tables = {
+        "demo": bronze(spark, "demo", [demo_row("1", "c", "1"), demo_row("2", "c", "2")]),
+        "outc": bronze(spark, "outc", [{"primaryid": p, "outc_cod": "DE"} for p in "123"]),
+    }
+    out = silver.clean_all(tables)
+    assert list(out) == ["demo", "outc"]
+    assert rows(out["outc"], "primaryid") == [("2",)]
