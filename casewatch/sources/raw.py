@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from casewatch.schema import COLUMNS, PARTITIONS, TABLES
 from casewatch.sources import files
@@ -24,28 +24,30 @@ def table_files(spark: SparkSession, raw_dir: str, table: str) -> list[str]:
     ]
 
 
-def _may_span_lines() -> Column:
-    """Lines that line-by-line parsing might read differently from a whole-file parse.
+def needs_whole_file(spark: SparkSession, path: str) -> bool:
+    """Whether a line-by-line parse might differ from a whole-file parse.
 
-    An odd number of quotes or a quote with an escape may leave a field open over
-    the line end; a lone carriage return or a blank line is treated differently.
+    An odd number of quotes, or a quote with an escape, may leave a field open over
+    the line end. Lone carriage returns, mixed line ends and blank lines are read
+    differently too. One distributed scan of the text decides.
     """
     line = F.col("value")
     bare = F.replace(line, F.lit("\r"), F.lit(""))
-    returns = F.length(line) - F.length(bare)
+    ends = line.endswith("\r")
     quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
-    return (
+    doubtful = (
         (quotes % 2 == 1)
         | ((quotes > 0) & line.contains("\\"))
-        | (returns > F.when(line.endswith("\r"), 1).otherwise(0))
+        | (F.length(line) - F.length(bare) > F.when(ends, 1).otherwise(0))
         | bare.rlike(r"^\s+$")
     )
-
-
-def needs_whole_file(spark: SparkSession, path: str) -> bool:
-    """Whether a file may hold line breaks inside fields. One distributed text scan."""
     lines = spark.read.option("lineSep", "\n").text(path)
-    return not lines.filter(_may_span_lines()).isEmpty()
+    seen = lines.agg(
+        F.coalesce(F.bool_or(doubtful), F.lit(False)).alias("doubtful"),
+        F.count_if(ends).alias("returns"),
+        F.count("*").alias("lines"),
+    ).first()
+    return seen.doubtful or seen.returns not in (0, seen.lines)
 
 
 def read_file(
