@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from casewatch.operators.census import census, membership, total
 from casewatch.operators.silver import keep_valid, latest_version
@@ -75,12 +75,20 @@ def merge_child(target: DataFrame | None, batch: DataFrame, demo: DataFrame) ->
     return kept.select(target.columns).unionByName(valid)
 
 
-def refresh_child(target: DataFrame | None, batch: DataFrame, demo: DataFrame) -> DataFrame:
+def refresh_child(
+    target: DataFrame | None,
+    batch: DataFrame,
+    demo: DataFrame,
+    written: Observation | None = None,
+) -> DataFrame:
     """`merge_child` followed by orphan removal, in one pass over the stored rows.
 
-    What stays is exactly the stored rows of DEMO reports that the batch lacks.
+    What stays is exactly the stored rows of DEMO reports that the batch lacks. An
+    observation given as `written` counts the batch rows while the result is written.
     """
     valid = keep_valid(batch, demo)
+    if written is not None:
+        valid = valid.observe(written, F.count("*").alias("rows"))
     if target is None:
         return valid
     staying = _batch_and_demo(batch, demo).filter("in_demo and not in_batch").select("primaryid")

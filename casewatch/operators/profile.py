@@ -16,6 +16,13 @@ NULL_RATE_FIELDS = [
     "primaryid", "caseid", "event_dt", "age", "age_in_years", "sex",
     "reporter_country", "occr_country", "wt",
 ]
+RAW_NULL_RATE_FIELDS = [
+    "primaryid", "caseid", "event_dt", "age", "sex", "reporter_country", "occr_country",
+]
+DEMO_SAMPLE_COLUMNS = [
+    "primaryid", "caseid", "caseversion", "event_dt", "age", "age_cod", "sex",
+    "reporter_country", "occr_country",
+]
 
 
 def category_counts(df: DataFrame, column: str, n: int | None = None) -> DataFrame:

@@ -135,9 +135,13 @@ def verdict_counts(report: DataFrame) -> DataFrame:
     return report.groupBy("result").agg(F.count("*").alias("count")).orderBy("result")
 
 
+def in_order(report: DataFrame) -> DataFrame:
+    return report.orderBy("table_name", "check_name")
+
+
 def with_result(report: DataFrame, result: str) -> DataFrame:
     """Failures or warnings only, in report order."""
-    return report.filter(F.col("result") == result).orderBy("table_name", "check_name")
+    return in_order(report.filter(F.col("result") == result))
 
 
 def post_checks(silver: dict[str, DataFrame]) -> DataFrame:

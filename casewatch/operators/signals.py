@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from casewatch.functions import statistics as stats
+from casewatch.operators.census import census, total
 from casewatch.schema import DEATH, PRIMARY_SUSPECT
 
 
@@ -32,6 +33,22 @@ def drug_event_pairs(drug: DataFrame, reac: DataFrame) -> DataFrame:
     return suspect_drugs(drug).join(reactions(reac), "primaryid")
 
 
+def join_sizes(drug: DataFrame, reac: DataFrame) -> DataFrame:
+    """One row: DRUG rows, suspect rows, REAC rows, rows of suspects x reactions.
+
+    The join, repeats included, is counted from rows per report and never formed.
+    """
+    suspects = drug.filter(F.col("role_cod") == PRIMARY_SUSPECT)
+    seen = census({"drugs": drug, "suspects": suspects, "reactions": reac}, "primaryid")
+    joined = F.when(F.col("primaryid").isNotNull(), F.col("suspects") * F.col("reactions"))
+    return seen.agg(
+        total("drugs").alias("drug_rows"),
+        total("suspects").alias("suspect_rows"),
+        total("reactions").alias("reaction_rows"),
+        total(joined).alias("joined_rows"),
+    )
+
+
 def _pair_counts(drugs: DataFrame, events: DataFrame) -> DataFrame:
     return drugs.join(events, "primaryid").groupBy("drugname", "pt").agg(F.count("*").alias("a"))
 
@@ -168,7 +185,7 @@ def pair_summary(drug: DataFrame, reac: DataFrame) -> DataFrame:
     return (
         _pair_counts(drugs, events)
         .agg(
-            F.coalesce(F.sum("a"), F.lit(0)).alias("pairs"),
+            total("a").alias("pairs"),
             values("drugname").alias("drugs"),
             values("pt").alias("events"),
         )

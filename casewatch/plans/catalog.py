@@ -14,9 +14,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from casewatch.functions.statistics import Thresholds
 from casewatch.lazy import LazyTables
 from casewatch.operators import merge, profile, quality, signals, silver
+from casewatch.plans import layers
 from casewatch.plans.adapter import raw_tables
 from casewatch.schema import CHILDREN, PRIMARY_SUSPECT
-from casewatch.sources.tables import of_quarter
+from casewatch.sources.tables import of_quarter, read_bronze, read_version
 
 # Parameters of registered queries, shared with their oracles.
 KNOWN = [
@@ -35,6 +36,7 @@ class Reports:
     """Lazy frames over one data directory."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark = spark
         self.raw = raw_tables(spark, sf_dir)
 
     def child(self, table: str) -> DataFrame:
@@ -54,9 +56,11 @@ class Reports:
         """All DEMO versions and all child rows, cleaned."""
         return {"demo": silver.finish_demo(self.versions)} | {t: self.child(t) for t in CHILDREN}
 
+    def raw_quarter(self, quarter: str) -> LazyTables:
+        return LazyTables(self.raw, lambda t: of_quarter(self.raw[t], YEAR, quarter))
+
     def quarter(self, quarter: str) -> LazyTables:
-        rows = LazyTables(self.raw, lambda t: of_quarter(self.raw[t], YEAR, quarter))
-        return silver.clean_all(rows)
+        return silver.clean_all(self.raw_quarter(quarter))
 
     @cached_property
     def stored(self) -> LazyTables:
@@ -138,6 +142,29 @@ def sample_export(r: Reports) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+def bronze_ingest(r: Reports) -> DataFrame:
+    """Both quarters as text files, ingested, then profiled as stored."""
+    layout = ingested(r)
+    return profile.layer_profile({t: read_bronze(r.spark, f"{layout.bronze}/{t}") for t in r.raw})
+
+
+def layer_run(r: Reports) -> DataFrame:
+    """Text files to Gold through all stored layers, Q2 merged into Q1."""
+    layout = ingested(r)
+    layers.load_silver(r.spark, layout, YEAR, OLD_QUARTER)
+    layers.upsert_quarter(r.spark, layout, YEAR, NEW_QUARTER)
+    layers.build_gold(r.spark, layout, RUN_LABEL)
+    return read_version(r.spark, layout.gold("drug_event_contingency")).drop("_computed_ts")
+
+
+def ingested(r: Reports) -> layers.Layout:
+    layout = layers.Layout(layers.scratch_folder(r.spark))
+    for quarter in (OLD_QUARTER, NEW_QUARTER):
+        layers.write_raw(r.raw_quarter(quarter), layout, YEAR, quarter)
+        layers.ingest(r.spark, layout, YEAR, quarter)
+    return layout
+
+
 def pair_samples(r: Reports) -> DataFrame:
     return profile.sample_rows(r.pairs, ["primaryid", "drugname", "pt"], 15)
 
@@ -152,6 +179,9 @@ def suspect_samples(r: Reports) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[Reports], DataFrame]] = {
+    # Stored layers
+    "bronze_ingest": bronze_ingest,
+    "layer_run": layer_run,
     # Silver
     "silver_demo": lambda r: r.loaded["demo"],
     "silver_drug": lambda r: r.child("drug"),
@@ -174,6 +204,7 @@ QUERIES: dict[str, Callable[[Reports], DataFrame]] = {
     "snapshot_diff": lambda r: merge.snapshot_diff(r.stored["demo"], r.merged_demo),
     # Signals
     "drug_event_pairs": lambda r: r.pairs,
+    "join_sizes": lambda r: signals.join_sizes(r.child("drug"), r.child("reac")),
     "pair_summary": lambda r: signals.pair_summary(r.child("drug"), r.child("reac")),
     "contingency": lambda r: signals.gold_columns(r.scored),
     "contingency_from_pairs": lambda r: signals.gold_columns(signals.score(signals.count_pairs(r.pairs))),
@@ -215,13 +246,14 @@ QUERIES: dict[str, Callable[[Reports], DataFrame]] = {
     "case_versions_top": lambda r: profile.most_versions(r.versions),
     "case_version_summary": case_version_summary,
     "null_rates": lambda r: profile.null_rates(r.loaded["demo"]),
-    "null_rates_raw": lambda r: profile.null_rates(r.raw["demo"]),
+    "null_rates_raw": lambda r: profile.null_rates(r.raw["demo"], profile.RAW_NULL_RATE_FIELDS),
     "distinct_values": lambda r: profile.distinct_values(
         [("DRUG", r.raw["drug"], "drugname"), ("REAC", r.raw["reac"], "pt")]
     ),
     "drug_name_search": lambda r: profile.name_search(r.child("drug"), NAME_FRAGMENTS),
     "date_samples": lambda r: profile.date_samples(r.loaded["demo"]),
     "age_samples": lambda r: profile.age_samples(r.loaded["demo"]),
+    "demo_samples": lambda r: profile.sample_rows(r.raw["demo"], profile.DEMO_SAMPLE_COLUMNS, 10),
     "suspect_samples": suspect_samples,
     "pair_samples": pair_samples,
     "sample_export_rows": sample_export,

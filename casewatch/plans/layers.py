@@ -6,15 +6,18 @@
 from __future__ import annotations
 
 import datetime as dt
+import tempfile
+import uuid
+from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from casewatch.functions.statistics import Thresholds
 from casewatch.operators import merge, quality, signals
 from casewatch.operators.silver import clean_all, clean_child, clean_demo, keep_valid
-from casewatch.schema import CHILDREN, TABLES
-from casewatch.sources import files, tables
+from casewatch.schema import CHILDREN, COLUMNS, TABLES
+from casewatch.sources import files, raw, tables
 
 
 @dataclass(frozen=True)
@@ -72,6 +75,24 @@ def load_silver(
     return written
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder in the cluster's shared folder; a local one only where none is set."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return f"{shared or tempfile.gettempdir()}/casewatch-{uuid.uuid4()}"
+
+
+def write_raw(bronze: Mapping[str, DataFrame], layout: Layout, year: str, quarter: str) -> None:
+    """Writes the tables of one quarter as delimited text, each a folder of part files."""
+    for table in bronze:
+        rows = bronze[table].select(COLUMNS[table])
+        name = f"{table.upper()}{year[-2:]}{quarter}.txt"
+        raw.write_delimited(rows, f"{layout.raw(year, quarter)}/{name}")
+
+
+def ingest(spark: SparkSession, layout: Layout, year: str, quarter: str) -> dict[str, int]:
+    return raw.ingest_quarter(spark, layout.raw(year, quarter), layout.bronze, year, quarter)
+
+
 def shared_checkpoints(spark: SparkSession, fallback: str) -> None:
     """Uses the cluster's checkpoint folder; `fallback` only where none is set."""
     context = spark.sparkContext
@@ -104,10 +125,11 @@ def merge_child_table(
     path = layout.silver(table)
     demo = tables.read_version(spark, layout.silver("demo"))
     stored = tables.read_version(spark, path) if tables.versions(spark, path) else None
-    tables.write_version(merge.refresh_child(stored, batch, demo), path)
+    written = Observation()
+    tables.write_version(merge.refresh_child(stored, batch, demo, written), path)
     return {
         "before": stored.count() if stored is not None else 0,
-        "written": keep_valid(batch, demo).count(),
+        "written": written.get["rows"],
         "after": tables.read_version(spark, path).count(),
     }
 

@@ -203,6 +203,7 @@ def _signal_tables() -> list[tuple[str, str]]:
     return [
         *_score_tables("", "drug", "reac", 2, 4, 3),
         *_score_tables("_strict", "drug", "reac", *STRICT),
+        *_score_tables("_merged", "merged_drug", "merged_reac", 2, 4, 3),
         *_score_tables("_latest", "valid_drug", "valid_reac", 2, 4, 3),
         (
             "deaths",
@@ -424,6 +425,15 @@ def _final_selects() -> dict[str, str]:
             "(select count(*) from (select caseid from merged except select caseid from demo_q1)) as new_cases, "
             "(select count(*) from (select caseid from demo_q1 except select caseid from merged)) as lost_cases"
         ),
+        "bronze_ingest": " union all ".join(map(_profile, TABLES)),
+        "layer_run": f"select *, '{RUN_LABEL}' as _run_label from gold_merged",
+        "join_sizes": (
+            "select (select count(*) from drug) as drug_rows, "
+            "(select count(*) from drug where role_cod = 'PS') as suspect_rows, "
+            "(select count(*) from reac) as reaction_rows, "
+            "(select count(*) from drug d join reac r on d.primaryid = r.primaryid "
+            "where d.role_cod = 'PS') as joined_rows"
+        ),
         "drug_event_pairs": "select * from pairs",
         "pair_summary": (
             "select count(*) as pairs, count(distinct drugname) as drugs, count(distinct pt) as events, "
@@ -479,7 +489,7 @@ def _final_selects() -> dict[str, str]:
         ),
         "null_rates_raw": _null_rates(
             "raw_demo",
-            ["primaryid", "caseid", "event_dt", "age", "sex", "reporter_country", "occr_country", "wt"],
+            ["primaryid", "caseid", "event_dt", "age", "sex", "reporter_country", "occr_country"],
         ),
         "distinct_values": (
             "select 'DRUG' as table_name, 'drugname' as column_name, count(distinct drugname) as distinct_values "
@@ -494,6 +504,10 @@ def _final_selects() -> dict[str, str]:
             "select age, age_cod, age_in_years from demo where age is not null and age_cod is not null "
             "qualify row_number() over (partition by age_cod order by age) = 1"
         ),
+        "demo_samples": (
+            "select primaryid, caseid, caseversion, event_dt, age, age_cod, sex, reporter_country, occr_country "
+            "from raw_demo order by all limit 10"
+        ),
         "suspect_samples": (
             "select primaryid, drugname, prod_ai, route, dose_amt, dose_unit from drug where role_cod = 'PS' "
             "order by all limit 10"

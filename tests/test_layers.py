@@ -1,7 +1,6 @@
 """Two quarters through all layers, checked against the one-frame operators."""
 
 import datetime as dt
-import os
 
 import pytest
 from frames import rows
@@ -9,8 +8,8 @@ from frames import rows
 from casewatch.operators import merge, quality, signals, silver
 from casewatch.plans import layers
 from casewatch.plans.adapter import raw_tables
-from casewatch.schema import CHILDREN, COLUMNS, TABLES
-from casewatch.sources import files, raw, tables
+from casewatch.schema import CHILDREN, TABLES
+from casewatch.sources import tables
 
 SF = "/root/testdata/sf0.001"
 AS_OF = dt.date(2024, 12, 31)
@@ -21,18 +20,9 @@ def project(spark, tmp_path_factory):
     layout = layers.Layout(str(tmp_path_factory.mktemp("project")))
     source = raw_tables(spark, SF)
     for quarter in ("Q1", "Q2"):
-        for table in TABLES:
-            rows_ = tables.of_quarter(source[table], "2024", quarter).select(COLUMNS[table])
-            staged = f"{layout.root}/staged/{table}{quarter}"
-            raw.write_delimited(rows_.coalesce(1), staged)
-            part = next(n for n in files.names(spark, staged) if n.endswith(".csv"))
-            with open(f"{staged}/{part}", "rb") as f:
-                content = f.read()
-            os.makedirs(layout.raw("2024", quarter), exist_ok=True)
-            with open(f"{layout.raw('2024', quarter)}/{table.upper()}24{quarter}.txt", "wb") as f:
-                f.write(content)
-        counts = raw.ingest_quarter(spark, layout.raw("2024", quarter), layout.bronze, "2024", quarter)
-        assert all(counts.values())
+        rows_ = {t: tables.of_quarter(source[t], "2024", quarter) for t in TABLES}
+        layers.write_raw(rows_, layout, "2024", quarter)
+        assert all(layers.ingest(spark, layout, "2024", quarter).values())
     return layout
 
 
@@ -86,3 +76,18 @@ def test_first_merge_into_nothing(spark, project, tmp_path):
     assert stats["inserted"] == stats["source_rows"] == tables.read_version(spark, empty.silver("demo")).count()
     child = layers.merge_child_table(spark, empty, "reac", batch["reac"])
     assert child["before"] == 0 and child["written"] == child["after"] > 0
+
+
+def test_merge_of_an_empty_batch(spark, project):
+    before = layers.read_silver(spark, project)["reac"]
+    stats = layers.merge_child_table(spark, project, "reac", before.limit(0))
+    assert stats == {"before": before.count(), "written": 0, "after": before.count()}
+    assert layers.merge_demo_table(spark, project, layers.read_silver(spark, project)["demo"].limit(0))["inserted"] == 0
+
+
+def test_scratch_folder_follows_the_cluster_setting(spark, tmp_path):
+    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
+    try:
+        assert layers.scratch_folder(spark).startswith(f"{tmp_path}/")
+    finally:
+        spark.conf.unset("spark.checkpoint.dir")
