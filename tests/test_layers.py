@@ -85,9 +85,8 @@ def test_merge_of_an_empty_batch(spark, project):
     assert layers.merge_demo_table(spark, project, layers.read_silver(spark, project)["demo"].limit(0))["inserted"] == 0
 
 
-def test_scratch_folder_follows_the_cluster_setting(spark, tmp_path):
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    try:
-        assert layers.scratch_folder(spark).startswith(f"{tmp_path}/")
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
+def test_scratch_and_checkpoints_follow_the_cluster_setting(spark, tmp_path):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    assert layers.scratch_folder(spark).startswith(f"{shared}/")
+    layers.shared_checkpoints(spark, str(tmp_path))
+    assert shared in spark.sparkContext.getCheckpointDir()

@@ -6,7 +6,6 @@ import pytest
 from frames import plan
 
 from casewatch.operators import merge, quality, signals, silver
-from casewatch.plans import catalog
 from casewatch.plans.catalog import Reports
 from casewatch.schema import CHILDREN, raw_schema
 
@@ -30,13 +29,6 @@ def no_broadcast(spark):
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-@pytest.mark.parametrize("name", list(catalog.QUERIES))
-def test_no_python_and_no_cross_join(spark, name):
-    text = plan(catalog.queries()[name](spark, SF))
-    for word in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin", "CollectLimit "):
-        assert word not in text, word
-
-
 def test_latest_version_limits_before_the_exchange(spark, stored):
     text = plan(silver.latest_version(stored["demo"]))
     limits = [m.start() for m in re.finditer("WindowGroupLimit", text)]
