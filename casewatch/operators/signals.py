@@ -244,7 +244,7 @@ def signal_rate(scored: DataFrame) -> DataFrame:
     return scored.agg(
         F.count("*").alias("pairs"),
         flagged.alias("signals"),
-        F.round(F.try_divide(flagged, F.count("*")) * 100, 2).alias("signal_pct"),
+        F.bround(F.try_divide(flagged, F.count("*")) * 100, 2).alias("signal_pct"),
     )
 
 

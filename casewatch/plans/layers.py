@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from casewatch.functions.statistics import Thresholds
 from casewatch.operators import merge, quality, signals
-from casewatch.operators.silver import clean_all, clean_child, clean_demo, keep_valid
+from casewatch.operators.silver import clean_child, clean_demo, keep_valid
 from casewatch.schema import CHILDREN, COLUMNS, TABLES
 from casewatch.sources import files, raw, tables
 
@@ -137,12 +137,18 @@ def merge_child_table(
 def upsert_quarter(
     spark: SparkSession, layout: Layout, year: str, quarter: str, as_of: dt.date | None = None
 ) -> dict[str, dict[str, int]]:
-    """Cleans one quarter of Bronze and merges all its tables into Silver."""
-    batch = clean_all(read_quarter(spark, layout, year, quarter), as_of)
-    stats = {"demo": merge_demo_table(spark, layout, batch["demo"])}
+    """Cleans one quarter of Bronze and merges all its tables into Silver.
+
+    The cleaned DEMO batch is checkpointed, as it also filters every child table.
+    """
+    bronze = read_quarter(spark, layout, year, quarter)
+    shared_checkpoints(spark, f"{layout.root}/checkpoints")
+    demo = clean_demo(bronze["demo"], as_of).checkpoint()
+    stats = {"demo": merge_demo_table(spark, layout, demo)}
     for table in CHILDREN:
-        if table in batch:
-            stats[table] = merge_child_table(spark, layout, table, batch[table])
+        if table in bronze:
+            batch = keep_valid(clean_child(table, bronze[table], as_of), demo)
+            stats[table] = merge_child_table(spark, layout, table, batch)
     return stats
 
 

@@ -456,7 +456,7 @@ def _final_selects() -> dict[str, str]:
         ),
         "signal_rate": (
             "select count(*) as pairs, count(*) filter (is_signal) as signals, "
-            f"{exact_round('count(*) filter (is_signal) / count(*) * 100', 2)} as signal_pct from scored"
+            f"{even_round('count(*) filter (is_signal) / count(*) * 100', 2)} as signal_pct from scored"
         ),
         "death_reports": "select * from deaths",
         "fatal_signals": "select * from fatal",

@@ -1,3 +1,6 @@
+import random
+
+import pytest
 from frames import rows, strings
 from pyspark.sql import functions as F
 
@@ -72,3 +75,57 @@ def test_overlap_and_snapshots(spark):
     assert tuple(merge.snapshot_diff(target, merged).first()) == (7, 9, 2, 1, 0)
     nothing = target.filter(F.lit(False))
     assert tuple(merge.snapshot_diff(nothing, nothing).first()) == (0, 0, 0, 0, 0)
+
+
+def random_demo(rng, side, cases):
+    versions = [None, 1, 2, 3]
+    return [
+        (f"{side}{i}", rng.choice(cases), rng.choice(versions), rng.choice(["20240101", "20240201", None]), side)
+        for i in range(60)
+    ]
+
+
+def pick_latest(data):
+    """Brute-force latest version per case, NULLs lowest; all ids differ."""
+    best = {}
+    for row in data:
+        pid, case, version, day, _ = row
+        key = (version is not None, version or 0, day is not None, day or "", pid)
+        if case not in best or key > best[case][0]:
+            best[case] = (key, row)
+    return [row for _, row in best.values()]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_demo_merge_against_brute_force(spark, seed):
+    rng = random.Random(seed)
+    cases = [None, *"abcdefghijklmnop"]
+    stored = pick_latest(random_demo(rng, "t", cases[:12]))
+    batch_rows = random_demo(rng, "s", cases)
+    by_case = {r[1]: r for r in stored if r[1] is not None}
+    expected = {r[0]: r for r in stored}
+    for row in pick_latest(batch_rows):
+        old = by_case.get(row[1])
+        if old is None:
+            expected[row[0]] = row
+        elif None not in (row[2], old[2]) and row[2] > old[2]:
+            del expected[old[0]]
+            expected[row[0]] = row
+    merged = merge.merge_demo(spark.createDataFrame(stored, SCHEMA), spark.createDataFrame(batch_rows, SCHEMA))
+    assert rows(merged) == sorted(expected.values(), key=repr)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_child_merge_against_brute_force(spark, seed):
+    rng = random.Random(seed)
+
+    def some(side, n):
+        return [(f"{rng.randint(0, 40)}", f"{side}{i}") for i in range(n)]
+
+    stored, batch = some("t", 120) + [("7", "t hot")] * 60, some("s", 60) + [("7", "s hot")] * 40
+    demo = sorted({str(rng.randint(0, 40)) for _ in range(30)} | {"7"})
+    valid = [r for r in batch if r[0] in demo]
+    merged = [r for r in stored if r[0] not in {p for p, _ in valid}] + valid
+    args = child(spark, stored), child(spark, batch), strings(spark, ["primaryid"], [(p,) for p in demo])
+    assert rows(merge.merge_child(*args)) == sorted(merged, key=repr)
+    assert rows(merge.refresh_child(*args)) == sorted((r for r in merged if r[0] in demo), key=repr)
