@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from casewatch.functions import cleaning
 from casewatch.lazy import LazyTables
+from casewatch.operators.census import membership
 from casewatch.schema import FILE_LINEAGE, TABLES
 
 
@@ -114,12 +115,13 @@ def clean_demo(bronze: DataFrame, as_of: dt.date | None = None) -> DataFrame:
 def keep_valid(child: DataFrame, demo: DataFrame) -> DataFrame:
     """Child rows whose report is in DEMO, primaryid first.
 
-    A semi-join on DEMO's plain id column: both join inputs are direct exchanges,
-    so AQE can split a hot primaryid of the child, or broadcast the ids when
-    their measured size allows.
+    A semi-join with DEMO's unique ids. Its inputs are direct exchanges, so AQE can
+    split a hot primaryid of the child, or broadcast the ids when their measured
+    size allows; an id that DEMO repeats is one row on the other side.
     """
     columns = ["primaryid"] + [c for c in child.columns if c != "primaryid"]
-    return child.select(columns).join(demo.select("primaryid"), "primaryid", "left_semi")
+    ids = membership({"demo": demo}, "primaryid").select("primaryid")
+    return child.select(columns).join(ids, "primaryid", "left_semi")
 
 
 def clean_all(bronze: Mapping[str, DataFrame], as_of: dt.date | None = None) -> LazyTables:

@@ -64,6 +64,31 @@ def test_counts_share_their_exchanges(spark, stored, no_broadcast):
     assert not re.search(r"hashpartitioning\(primaryid#\d+, drugname#\d+, pt", final)
 
 
+def test_orphan_filter_splits_a_hot_report(spark, no_broadcast):
+    """The child and DEMO both hold a report with a third of their rows."""
+    child = spark.range(0, 30000, 1, 8).selectExpr(
+        "if(id % 3 = 0, 'hot', cast(id as string)) primaryid", "concat('row ', id) x"
+    )
+    demo = child.select("primaryid")
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB",
+    }
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        kept = silver.keep_valid(child, demo)
+        assert len(kept.collect()) == 30000
+        assert "SortMergeJoin(skew=true) [primaryid" in plan(kept)
+        refreshed = merge.refresh_child(child, child.filter("primaryid <> 'hot'"), demo)
+        assert len(refreshed.collect()) == 30000
+        assert "SortMergeJoin(skew=true) [primaryid" in plan(refreshed)
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
+
+
 def test_stored_rows_move_once_in_an_upsert(spark, stored, no_broadcast):
     text = plan(merge.refresh_child(stored["drug"], stored["drug"], stored["demo"]))
     initial = text.split("Initial Plan")[-1]
