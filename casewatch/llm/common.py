@@ -6,8 +6,10 @@ import uuid
 import zipfile
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark import SparkFiles
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 # The white space that separates words, as a class body and as characters.
 SPACE_CLASS = r"\x20\x09-\x0D"
@@ -39,6 +41,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def local_table(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """A small table whose size Spark knows, so that it is broadcast only below the session's limit."""
+    columns = list(zip(*rows)) or [()] * len(schema)
+    arrays = [pa.array(c, to_arrow_type(f.dataType)) for c, f in zip(columns, schema)]
+    return spark.createDataFrame(pa.table(arrays, names=schema.names))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new folder name below the folder that driver and executors share.
 

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from casewatch.llm import quality_rules, simhash, url_filters
-from casewatch.llm.common import table
+from casewatch.llm import bpe, html_extract, mixing, quality_gam, quality_rules, simhash, url_filters, warc
+from casewatch.llm.common import shared_folder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,11 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_extract.extract(table(spark, sf_dir, "pages"))
+    return found.select("row.page_id", "row.url", "text", "n_chars")
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(table(spark, sf_dir, "documents"))
     return judged.select(
@@ -30,8 +35,39 @@ def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = quality_gam.score(documents, quality_gam.train(documents, labels))
+    return scored.select(
+        "row.doc_id", quality_gam.held_out(F.col("row.doc_id")).alias("held_out"), "score", "predicted"
+    )
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken_words(mixing.mix(table(spark, sf_dir, "documents")))
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    archive = warc.write(pages, shared_folder(spark))
+    return warc.fetch(archive, pages, payloads=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.token_counts(table(spark, sf_dir, "documents"), vocabulary_file())
+
+
+def vocabulary_file(name: str = "byte_bpe_50k.json") -> str:
+    """Path of a public tokenizer's file, which is installed on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_simhash, op4_quality_rules, op5_url_filters)}
+    return {f.__name__: f for f in (op1_simhash, op2_html_extraction, op4_quality_rules, op5_url_filters, op6_quality_classifier, op7_mixing, op8_warc, op9_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:

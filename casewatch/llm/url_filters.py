@@ -12,9 +12,9 @@ import re
 import string
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from casewatch.llm.common import checkpoint
+from casewatch.llm.common import checkpoint, local_table
 
 
 @dataclass(frozen=True)
@@ -66,6 +66,10 @@ PATTERN_RULES = (
 )
 
 
+def _texts(*names: str) -> T.StructType:
+    return T.StructType([T.StructField(n, T.StringType()) for n in names])
+
+
 def _lower(text: str) -> str:
     return text.translate(str.maketrans(string.ascii_uppercase, string.ascii_lowercase))
 
@@ -100,11 +104,11 @@ def _filed(
     """
     rows = [("site", r.action, r.site, r.pattern, sorted(set(r.tokens))) for r in sites]
     rows += [("pattern", "block", None, r.pattern, sorted(set(r.tokens))) for r in patterns]
-    own = spark.createDataFrame([(t,) for t in sorted({t for r in rows for t in r[-1]})], "token string")
+    own = local_table(spark, [(t,) for t in sorted({t for r in rows for t in r[-1]})], _texts("token"))
     seen = urls.select(F.explode(tokens(F.col("url"))).alias("token")).join(own, "token")
     count = {r.token: r.n for r in seen.groupBy("token").agg(F.count("*").alias("n")).collect()}
     filed = [(*r[:-1], min(r[-1], key=lambda t: (count.get(t, 0), t), default="")) for r in rows]
-    return spark.createDataFrame(filed, "kind string, action string, site string, pattern string, token string")
+    return local_table(spark, filed, _texts("kind", "action", "site", "pattern", "token"))
 
 
 def judge(
