@@ -90,7 +90,7 @@ def _keys(fp: Column, distance: int, segments: int, ball: bool) -> Column:
         tagged = key.bitwiseOR(F.lit(n << 33)) if width <= 32 else F.xxhash64(F.lit(n), key)
         if width > 32 and len(masks) > 1:
             raise ValueError("a segment with a ball may have 32 bits at most")
-        found.append(F.transform(F.lit(masks).cast("array<bigint>"), lambda m, t=tagged: t.bitwiseXOR(m)))
+        found.append(F.transform(F.lit(masks).cast("array<bigint>"), tagged.bitwiseXOR))
     return F.flatten(F.array(*found)) if len(found) > 1 else found[0]
 
 
