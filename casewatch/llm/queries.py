@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from casewatch.llm import bpe, html_extract, mixing, quality_gam, quality_rules, simhash, url_filters, warc
+from casewatch.llm import bpe, embeddings, html_extract, licenses, mixing, quality_gam, quality_rules, simhash, url_filters, warc
 from casewatch.llm.common import shared_folder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,10 @@ def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.page_id", "row.url", "text", "n_chars")
 
 
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(table(spark, sf_dir, "documents"))
     return judged.select(
@@ -59,6 +63,17 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_counts(table(spark, sf_dir, "documents"), vocabulary_file())
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files: source/language/hundred/id.txt, every fiftieth one its folder's LICENSE."""
+    doc_id = F.col("doc_id")
+    name = F.when(doc_id % 50 == 0, "LICENSE").otherwise(F.concat(doc_id.cast("string"), F.lit(".txt")))
+    folder = F.concat_ws("/", "source", "lang", F.floor(doc_id / 100).cast("string"))
+    files = table(spark, sf_dir, "documents").select("doc_id", "text", F.concat_ws("/", folder, name).alias("path"))
+    return licenses.scan(files).select(
+        "row.doc_id", "row.path", "license", "similarity", "effective_license", "inherited_from"
+    )
+
+
 def vocabulary_file(name: str = "byte_bpe_50k.json") -> str:
     """Path of a public tokenizer's file, which is installed on every machine."""
     import public_tokenizers
@@ -67,7 +82,7 @@ def vocabulary_file(name: str = "byte_bpe_50k.json") -> str:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_simhash, op2_html_extraction, op4_quality_rules, op5_url_filters, op6_quality_classifier, op7_mixing, op8_warc, op9_bpe)}
+    return {f.__name__: f for f in (op1_simhash, op2_html_extraction, op3_embedding_dedup, op4_quality_rules, op5_url_filters, op6_quality_classifier, op7_mixing, op8_warc, op9_bpe, op10_license_scan)}
 
 
 def oracle_sql() -> dict[str, str]:
