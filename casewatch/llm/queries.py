@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from casewatch.llm import bpe, embeddings, html_extract, licenses, mixing, quality_gam, quality_rules, simhash, url_filters, warc
+from casewatch.llm import bpe, embeddings, html_extract, licenses, mixing, oracle, quality_gam, quality_rules, simhash, url_filters, warc
 from casewatch.llm.common import shared_folder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,4 +86,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracle.oracle_sql()
