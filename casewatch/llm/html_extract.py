@@ -176,9 +176,9 @@ def main_text(page: str | None, threshold: float = THRESHOLD, sigma: float = SMO
     """The article of a page: its blocks joined by one space; empty if there is none.
 
     Per path: mean text length, and punctuation marks per block. Both are smoothed over
-    the sequence of blocks and fused by multiplication. A path takes the largest fused
-    value of its blocks. It is kept if that reaches `threshold` times the page's mean,
-    or if it lies in the article element that holds most of the page's fused weight.
+    the sequence of blocks and fused by multiplication. A path takes the mean fused value
+    of its blocks and is kept if that reaches `threshold` times the page's mean. Where
+    article elements hold half of the fused weight or more, their blocks are the article.
     """
     found = blocks(page or "")
     if not found:
@@ -191,13 +191,13 @@ def main_text(page: str | None, threshold: float = THRESHOLD, sigma: float = SMO
     length = np.array([lengths[b.path] / counts[b.path] for b in found])
     mark = np.array([marks[b.path] / counts[b.path] for b in found])
     fused = _smooth(length, sigma) * (1 + _smooth(mark, sigma))
-    best: dict[str, float] = defaultdict(float)
+    total: dict[str, float] = defaultdict(float)
     for b, value in zip(found, fused):
-        best[b.path] = max(best[b.path], float(value))
+        total[b.path] += float(value)
     limit = threshold * float(fused.mean())
     in_section = sum(v for b, v in zip(found, fused) if b.section)
     article = in_section >= 0.5 * float(fused.sum())
-    return " ".join(b.text for b in found if (b.section if article else best[b.path] >= limit))
+    return " ".join(b.text for b in found if (b.section if article else total[b.path] / counts[b.path] >= limit))
 
 
 def extract(pages: DataFrame, page: str = "html") -> DataFrame:

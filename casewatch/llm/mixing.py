@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 from casewatch.llm.common import SPACE_CLASS, SPACES, checkpoint, local_table
 
 WEIGHTS, MAX_PASSES = (1.0, 2.0, 3.0), 3
-BLOCK_WORDS, SHARD_SLOTS, BUCKET_ROWS = 64, 4096, 50_000
+BLOCK_WORDS, SHARD_SLOTS, BUCKET_ROWS = 64, 4096, 4_000
 MAX_SOURCES = 100_000
 
 _WORD = re.compile(rf"[^{SPACES}]+")

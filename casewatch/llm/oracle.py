@@ -36,7 +36,7 @@ def quality_rules_sql() -> str:
     ), counted AS (
         SELECT doc_id, len(ws) AS n_words, coalesce(list_sum([length(w) FOR w IN ws]), 0)::BIGINT AS word_chars,
                len(regexp_extract_all(t, '[{SYMBOLS}]')) AS n_symbols,
-               len(ls) AS n_lines, len(ls) - list_unique(ls) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words,
+               len(ls) AS n_lines, len(ls) - list_unique(ls)::BIGINT AS n_dup_lines, coalesce(n, 0) AS n_repeat_words,
                len([w FOR w IN ws IF list_contains([{stop}], lower(w))]) AS n_stop_words
         FROM texts LEFT JOIN repeats USING (rid)
     ), ratios AS (
