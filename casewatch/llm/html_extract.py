@@ -13,6 +13,7 @@ import html
 import re
 from collections import defaultdict
 from dataclasses import dataclass
+from statistics import median
 
 import numpy as np
 import pandas as pd
@@ -176,8 +177,8 @@ def main_text(page: str | None, threshold: float = THRESHOLD, sigma: float = SMO
     """The article of a page: its blocks joined by one space; empty if there is none.
 
     Per path: mean text length, and punctuation marks per block. Both are smoothed over
-    the sequence of blocks and fused by multiplication. A path takes the mean fused value
-    of its blocks and is kept if that reaches `threshold` times the page's mean. Where
+    the sequence of blocks and fused by multiplication. A path takes the median fused
+    value of its blocks and is kept if that reaches `threshold` times the page's mean. Where
     article elements hold half of the fused weight or more, their blocks are the article.
     """
     found = blocks(page or "")
@@ -191,13 +192,14 @@ def main_text(page: str | None, threshold: float = THRESHOLD, sigma: float = SMO
     length = np.array([lengths[b.path] / counts[b.path] for b in found])
     mark = np.array([marks[b.path] / counts[b.path] for b in found])
     fused = _smooth(length, sigma) * (1 + _smooth(mark, sigma))
-    total: dict[str, float] = defaultdict(float)
+    values: dict[str, list[float]] = defaultdict(list)
     for b, value in zip(found, fused):
-        total[b.path] += float(value)
+        values[b.path].append(float(value))
+    typical = {path: median(of_path) for path, of_path in values.items()}
     limit = threshold * float(fused.mean())
     in_section = sum(v for b, v in zip(found, fused) if b.section)
     article = in_section >= 0.5 * float(fused.sum())
-    return " ".join(b.text for b in found if (b.section if article else total[b.path] / counts[b.path] >= limit))
+    return " ".join(b.text for b in found if (b.section if article else typical[b.path] >= limit))
 
 
 def extract(pages: DataFrame, page: str = "html") -> DataFrame:

@@ -1,0 +1,75 @@
+import math
+from collections import Counter
+
+from casewatch.llm import licenses
+
+from .helpers import prose, tuples
+
+SCHEMA = "path string, text string, license string, folder string, own string, row string"
+MIT, APACHE = "Released under the MIT License.", "Licensed under the Apache License, Version 2.0."
+
+
+def table(spark, files):
+    return spark.createDataFrame([(p, t, "e", "e", "e", "e") for p, t in files], SCHEMA)
+
+
+def plain_best(files, text, threshold=licenses.THRESHOLD):
+    """The best cosine over all windows of every template's length."""
+    vocabulary = {t for _, x in licenses.TEMPLATES for t in licenses.tokens(x)}
+    seen = Counter(t for _, x in files for t in set(licenses.tokens(x)) & vocabulary)
+
+    def vector(found):
+        raw = {t: n * (math.log((1 + len(files)) / (1 + seen.get(t, 0))) + 1) for t, n in Counter(found).items()}
+        norm = math.sqrt(sum(w * w for w in raw.values())) or 1
+        return {t: w / norm for t, w in raw.items()}
+
+    found, best = licenses.tokens(text), (0.0, None)
+    for name, template in licenses.TEMPLATES:
+        wanted = licenses.tokens(template)
+        other = vector(wanted)
+        for start in range(-len(wanted) + 1, len(found)):
+            own = vector(found[max(0, start) : max(0, start + len(wanted))])
+            cosine = sum(w * other.get(t, 0) for t, w in own.items())
+            if cosine > best[0] + 1e-9:
+                best = (cosine, name)
+    return best[1] if best[0] >= threshold else None
+
+
+def files():
+    out = [(f"r/d{i % 4}/f{i}.txt", prose(i, 40)) for i in range(30)]
+    out += [("r/d0/m.txt", prose(50, 30) + "\n" + MIT), ("r/d1/a.py", "# " + APACHE + "\ncode here"), ("r/d1/b.py", prose(51, 20) + " " + APACHE + " " + prose(52, 20))]
+    out += [("r/d2/g.c", "/* This work is licensed\n * under the GNU General Public License, version 3. */"), ("r/d3/n.txt", "the license of a license is a license")]
+    out += [(f"r/d0/long{i}.txt", prose(i, 20) + f"\n{x}") for i, (_, x) in enumerate(licenses.TEMPLATES)]
+    return out
+
+
+def test_own_licenses_equal_brute_force(spark):
+    given = files()
+    found = {r[0]: r[1] for r in tuples(licenses.scan(table(spark, given)), "row.path", "license")}
+    assert found == {p: plain_best(given, t) for p, t in given}
+    assert found["r/d0/m.txt"] == "MIT" and found["r/d1/b.py"] == "Apache-2.0" and found["r/d2/g.c"] == "GPL-3.0"
+    assert found["r/d3/n.txt"] is None
+
+
+def test_the_nearest_folder_counts(spark):
+    given = [
+        ("LICENSE", MIT), ("a/x.txt", "x"), ("a/b/LICENSE.md", APACHE), ("a/b/y.txt", "y"), ("a/b/c/d/z.txt", "z"),
+        ("a/b/c/own.txt", "Licensed under CC BY-NC 4.0."), ("q/COPYING", "no license here"), ("q/w.txt", "w"), ("a/b2/v.txt", "v"),
+        ("a/b/notlicense.txt", MIT), ("top.txt", "t"), (None, "n"), (None, MIT), ("e/empty.txt", None), ("e/empty.txt", None),
+    ]
+    found = tuples(licenses.scan(table(spark, given)), "row.path", "license", "effective_license", "inherited_from")
+    expected = [
+        ("LICENSE", "MIT", "MIT", None), ("a/x.txt", None, "MIT", ""), ("a/b/LICENSE.md", "Apache-2.0", "Apache-2.0", None),
+        ("a/b/y.txt", None, "Apache-2.0", "a/b"), ("a/b/c/d/z.txt", None, "Apache-2.0", "a/b"),
+        ("a/b/c/own.txt", "CC-BY-NC-4.0", "CC-BY-NC-4.0", None), ("q/COPYING", None, "MIT", ""), ("q/w.txt", None, "MIT", ""),
+        ("a/b2/v.txt", None, "MIT", ""), ("a/b/notlicense.txt", "MIT", "MIT", None), ("top.txt", None, "MIT", ""),
+        (None, None, None, None), (None, "MIT", "MIT", None), ("e/empty.txt", None, "MIT", ""), ("e/empty.txt", None, "MIT", ""),
+    ]
+    assert found == sorted(expected, key=repr)
+
+
+def test_very_long_and_empty(spark):
+    text = prose(1, 40_000) + " " + MIT + " " + prose(2, 40_000)
+    found = tuples(licenses.scan(table(spark, [("a/x", text), ("a/y", "")])), "row.path", "license")
+    assert found == [("a/x", "MIT"), ("a/y", None)]
+    assert tuples(licenses.scan(table(spark, []))) == []

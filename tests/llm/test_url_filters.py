@@ -1,0 +1,65 @@
+import re
+
+from casewatch.llm import url_filters as uf
+
+from .helpers import tuples
+
+URLS = [
+    None, "", "no scheme", "http://", "://", "http://a.com", "http://a.com/", "https://EXAMPLE.com/en/1?x=1#y",
+    "http://www.example.com/en/", "http://www.example.com/EN/", "http://deep.www.example.com/en/x", "http://badexample.com/en/",
+    "http://example.com?/en/", "http://x.net/fr/1", "http://net/fr/", "http://y.net/french", "http://z.org/login", "http://z.org/LOGIN?",
+    "http://z.org/logins", "http://ads.z.org/x", "http://z.org/a.png", "http://z.org/cgi-bin/x", "a://b://c.net/es/", "http://É.com/",
+    "http://z.org/\nnew?replytocom=3", "http://x.net/fr/1",
+]
+
+
+def plain(url, sites=uf.SITE_RULES, patterns=uf.PATTERN_RULES):
+    host = path = ""
+    if url is not None and "://" in url:
+        rest = url.split("://", 1)[1]
+        host = re.split(r"[/?#]", rest)[0]
+        path = re.split(r"[?#]", rest[len(host) :])[0]
+        host = "".join(c.lower() if "A" <= c <= "Z" else c for c in host)
+    best = None
+    for rule in sites:
+        where, slash, start = rule.site.partition("/")
+        if (host == where or host.endswith("." + where)) and path.startswith(slash + start):
+            if best is None or len(rule.site) > len(best.site):
+                best = rule
+    if best:
+        return host, path, best.site, best.action
+    blocked = url is not None and any(re.search(p.pattern, url) for p in patterns)
+    return host, path, None, "block" if blocked else "allow"
+
+
+def table(spark, urls):
+    rows = [(i if i % 7 else None, u, "e", "e", "e") for i, u in enumerate(urls)]
+    return spark.createDataFrame(rows, "page_id bigint, url string, host string, rule string, token string"), rows
+
+
+def test_verdicts_equal_brute_force(spark):
+    frame, rows = table(spark, URLS * 2)
+    found = tuples(uf.judge(frame), "page_id", "host", "path", "rule", "verdict")
+    assert found == sorted(((r[0], *plain(r[1])) for r in rows), key=repr)
+
+
+def test_many_rules_are_fetched_by_token(spark):
+    sites = tuple(uf.SiteRule("block" if i % 2 else "allow", f"site{i}.org/{'p/' * (i % 3)}") for i in range(60))
+    sites += (uf.SiteRule("block", "org/"), uf.SiteRule("allow", "a-b.site7.org/"))
+    urls = [f"http://{h}site{i}.org/{p}" for i in range(0, 80, 3) for h in ("", "www.", "x") for p in ("", "p/", "p/p/q")]
+    urls += ["http://a-b.site7.org/p/", "http://c.a-b.site7.org/", "http://a.b.site7.org/"]
+    frame, rows = table(spark, urls)
+    found = tuples(uf.judge(frame, sites=sites, patterns=()), "page_id", "host", "path", "rule", "verdict")
+    assert found == sorted(((r[0], *plain(r[1], sites, ())) for r in rows), key=repr)
+
+
+def test_rules_are_filed_under_their_rarest_token(spark):
+    urls = spark.createDataFrame([("http://a.example.com/en/",), ("http://b.example.com/en/",), ("http://c.com/",)], "url string")
+    filed = {r.site: r.token for r in uf._filed(spark, urls, (uf.SiteRule("block", "c.example.com/en/"),), ()).collect()}
+    assert filed == {"c.example.com/en/": "c"}
+    assert uf.SiteRule("block", "x.com/a/bc").tokens == ["x", "com", "a"]
+
+
+def test_empty_table(spark):
+    frame, _ = table(spark, [])
+    assert tuples(uf.judge(frame)) == []
