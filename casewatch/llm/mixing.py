@@ -187,7 +187,8 @@ def mix(documents: DataFrame, text: str = "text", doc_id: str = "doc_id", source
         "source_no", "block", "doc_id", "digest", "size", "start",
         (low - F.col("start")).alias("first_word"), (high - low).alias("n_words"),
     )
-    taken = _slots(documents, sources, seed)
+    # one small row of a shard becomes many slots, which Spark can't foresee: never broadcast them
+    taken = _slots(documents, sources, seed).hint("merge")
     return Mix(parts.join(taken, ["source_no", "block"], "left"), sized, sources)
 
 
