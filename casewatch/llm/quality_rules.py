@@ -93,7 +93,7 @@ def _count_of(text: Column, characters: str) -> Column:
     return F.length(text) - F.length(F.translate(text, characters, ""))
 
 
-def measures(text: Column) -> Column:
+def _measures(text: Column) -> Column:
     """A struct of all counts of one text. Null is the empty text."""
     text = F.coalesce(text, F.lit(""))
     stop = F.array(*(F.lit(w) for w in sorted(set(STOP_WORDS))))
@@ -119,41 +119,55 @@ def measures(text: Column) -> Column:
     )
 
 
-def _fails(rule: Rule) -> Column:
-    value = F.col(rule.measure)
+def _fails(value: Column, rule: Rule) -> Column:
     limits = [value < rule.low] if rule.low is not None else []
     limits += [value > rule.high] if rule.high is not None else []
     return F.coalesce(reduce(Column.__or__, limits), F.lit(False))
 
 
-def judge(documents: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """`documents` in column `row` with counts, ratios, failed rules and the verdict.
+def verdict(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
+    """A struct of a text's counts, ratios, base_failed, failed_rules (names) and kept.
 
-    Columns after `row`: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-    n_stop_words, n_lines, the ratios, base_failed, failed_rules (names) and kept. The
-    input's columns keep their names inside `row`, so that none can clash. Null and
-    empty texts have no words and fail. Repeated rows are judged each on its own.
+    It is one expression in which the text is measured once, also where Spark moves it
+    into a filter.
     """
-    counted = documents.select(F.struct("*").alias("row"), measures(F.col(text)).alias("m"))
-    counts = counted.select(
-        "row", "m.words.n_words", "m.word_chars", "m.n_symbols", "m.lines.n_dup_lines",
-        "m.words.n_repeat_words", "m.words.n_stop_words", "m.lines.n_lines",
-    )
-    ratios = counts.withColumns(
-        {
-            "chars_per_word": F.try_divide("word_chars", "n_words"),
-            "symbols_per_word": F.try_divide("n_symbols", "n_words"),
-            "stop_word_ratio": F.try_divide("n_stop_words", "n_words"),
-            "dup_line_ratio": F.try_divide("n_dup_lines", "n_lines"),
+
+    def over(m: Column) -> Column:
+        found = {
+            "n_words": m["words"]["n_words"],
+            "word_chars": m["word_chars"],
+            "n_symbols": m["n_symbols"],
+            "n_dup_lines": m["lines"]["n_dup_lines"],
+            "n_repeat_words": m["words"]["n_repeat_words"],
+            "n_stop_words": m["words"]["n_stop_words"],
+            "n_lines": m["lines"]["n_lines"],
         }
-    )
-    base = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT)
-    failed = F.array_compact(F.array(*(F.when(_fails(r), F.lit(r.name)) for r in rules)))
-    return ratios.withColumns({"base_failed": base, "failed_rules": failed}).withColumn(
-        "kept", ~F.col("base_failed") & (F.size("failed_rules") == 0)
-    )
+        found |= {
+            "chars_per_word": F.try_divide(found["word_chars"], found["n_words"]),
+            "symbols_per_word": F.try_divide(found["n_symbols"], found["n_words"]),
+            "stop_word_ratio": F.try_divide(found["n_stop_words"], found["n_words"]),
+            "dup_line_ratio": F.try_divide(found["n_dup_lines"], found["n_lines"]),
+        }
+        base = (found["n_words"] < MIN_WORDS) | (found["n_repeat_words"] * 100 > found["n_words"] * MAX_REPEAT_PERCENT)
+        failed = F.array_compact(F.array(*(F.when(_fails(found[r.measure], r), F.lit(r.name)) for r in rules)))
+        return F.struct(
+            *(c.alias(n) for n, c in found.items()),
+            base.alias("base_failed"),
+            failed.alias("failed_rules"),
+            (~base & (F.size(failed) == 0)).alias("kept"),
+        )
+
+    return let(_measures(text), over)
+
+
+def judge(documents: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """(row, verdict) per document: the input's columns, and what `verdict` finds.
+
+    Null and empty texts have no words and fail. Repeated rows are judged each on its own.
+    """
+    return documents.select(F.struct("*").alias("row"), verdict(F.col(text), rules).alias("verdict"))
 
 
 def keep_good(documents: DataFrame, text: str = "text") -> DataFrame:
     """The documents that fail no rule, with their own columns."""
-    return judge(documents, text).filter("kept").select("row.*")
+    return judge(documents, text).filter("verdict.kept").select("row.*")

@@ -28,10 +28,8 @@ def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(table(spark, sf_dir, "documents"))
-    return judged.select(
-        "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        "base_failed", "kept",
-    )
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return judged.select("row.doc_id", *(f"verdict.{n}" for n in names))
 
 
 def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:

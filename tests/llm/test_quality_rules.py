@@ -25,7 +25,8 @@ def plain(text):
 def judged(spark, texts):
     frame = documents(spark, [(i, t, None, None, None) for i, t in enumerate(texts)], ("m", "row", "n_words", "kept"))
     rows = qr.judge(frame)
-    return {r[0]: r[1:] for r in rows.select("row.doc_id", *BASE, "base_failed", "kept", "failed_rules").collect()}
+    names = (*BASE, "base_failed", "kept", "failed_rules")
+    return {r[0]: r[1:] for r in rows.select("row.doc_id", *(f"verdict.{n}" for n in names)).collect()}
 
 
 def test_counts_equal_brute_force(spark):
@@ -67,6 +68,11 @@ def test_extra_columns_and_empty_table(spark):
     assert tuples(qr.judge(documents(spark, []))) == []
 
 
+def test_a_filter_measures_once(spark):
+    plan = qr.keep_good(documents(spark))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("xxhash64(") == 1
+
+
 def test_one_projection_without_shuffle_or_user_function(spark):
     plan = qr.judge(documents(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
