@@ -2,10 +2,10 @@
 
 For each prefix of a piece there is just one token that can end its encoding: the
 vocabulary token that ends there and is compatible with the last token of the prefix
-before it. An Aho-Corasick automaton over the vocabulary (the suffix links of all its
-tokens) reports the tokens ending at each place. Two tokens are compatible if merging
-their joint bytes would never merge across the boundary; this is read off the merges
-along the boundary and no text is merged. Back-pointers from the end give the ids.
+before it. A suffix automaton over the vocabulary tells which tokens end at each place.
+Two tokens are compatible if merging their joint bytes would never merge across the
+boundary; this is read off the merges along the boundary and no text is merged.
+Back-pointers from the end give the ids.
 """
 
 from __future__ import annotations
@@ -15,7 +15,6 @@ import re
 import struct
 from functools import lru_cache
 
-import ahocorasick
 import numpy as np
 import pandas as pd
 import regex
@@ -29,7 +28,8 @@ PIECES = (
 )
 
 NEVER = 1 << 62
-_CACHED_CHUNKS, _CACHED_LENGTH, _CACHED_PAIRS = 400_000, 48, 500_000
+_CACHED_PIECES, _CACHED_LENGTH, _CACHED_PAIRS, _CACHED_STEPS = 500_000, 48, 250_000, 100_000
+_LISTED_LENGTH = 1 << 20  # the pieces of longer texts are not put into a list
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -56,19 +56,62 @@ class _Pairs(dict):
         return fits
 
 
-class _Chunks(dict):
-    """Encoded chunks by text, computed when missing; emptied when full."""
+class SuffixAutomaton(dict):
+    """From (state * 256 + byte) to the state of the longest suffix that starts a token.
 
-    def __init__(self, encode, lead: str) -> None:
+    ending[state] holds the tokens that end in a state, longest first. Steps that are no
+    step of the trie follow suffix links; a bounded number of them is remembered.
+    """
+
+    def __init__(self, tokens: dict[bytes, int]) -> None:
         super().__init__()
-        self._encode, self._lead = encode, lead
+        own, levels = [-1], []
+        for data, token in tokens.items():
+            state = 0
+            for depth, byte in enumerate(data):
+                key = state << 8 | byte
+                state = self.get(key, 0)
+                if not state:
+                    state = self[key] = len(own)
+                    own.append(-1)
+                    if depth == len(levels):
+                        levels.append([])
+                    levels[depth].append((state, key))
+            own[state] = token
+        self._links = links = [0] * len(own)
+        self.ending: list[tuple[int, ...]] = [()] * len(own)
+        for state, key in (x for level in levels for x in level):
+            parent, byte = key >> 8, key & 255
+            link = links[parent]
+            while link and (link << 8 | byte) not in self:
+                link = links[link]
+            links[state] = self.get(link << 8 | byte, 0) if parent else 0
+            shorter = self.ending[links[state]]
+            self.ending[state] = (own[state], *shorter) if own[state] >= 0 else shorter
+        self._most = len(self) + _CACHED_STEPS
+
+    def __missing__(self, key: int) -> int:
+        state = key >> 8
+        to = self[self._links[state] << 8 | key & 255] if state else 0
+        if len(self) < self._most:
+            self[key] = to
+        return to
+
+
+class _Pieces(dict):
+    """Packed ids by piece, computed when missing; emptied when full."""
+
+    def __init__(self, encode) -> None:
+        super().__init__()
+        self._encode = encode
 
-    def __missing__(self, chunk: str) -> bytes:
-        ids = self._encode(self._lead + chunk)
-        if len(chunk) <= _CACHED_LENGTH:
-            if len(self) >= _CACHED_CHUNKS:
+    def __missing__(self, piece: str) -> bytes:
+        found = self._encode(piece.encode())
+        ids = struct.pack(f"<{len(found)}I", *found)
+        if len(piece) <= _CACHED_LENGTH:
+            if len(self) >= _CACHED_PIECES:
                 self.clear()
-            self[chunk] = ids
+            self[piece] = ids
         return ids
 
 
@@ -92,31 +135,27 @@ class Encoder:
         self._special = re.compile("|".join(map(re.escape, sorted(specials, key=len, reverse=True))) or r"(?!)")
         self._rank: dict[int, int] = {}
         self._size = size
-        parts: dict[int, tuple[int, int, int]] = {}
+        # the merge that makes a token: its parts and rank, -1 for single bytes
+        self._left, self._right, self._made = [-1] * size, [-1] * size, [-1] * size
         for rank, merge in enumerate(model["merges"]):
             left, right = merge if isinstance(merge, list) else merge.split(" ")
             a, b = ids[left], ids[right]
             self._rank[a * size + b] = rank
-            parts[ids[left + right]] = (a, b, rank)
-        self._ends = [self._spine(i, parts, 1) for i in range(size)]
-        self._starts = [self._spine(i, parts, 0) for i in range(size)]
+            made = ids[left + right]
+            self._left[made], self._right[made], self._made[made] = a, b, rank
         self._whole: dict[bytes, int] = {}
-        self._automaton = ahocorasick.Automaton()
         reached: set[int] = set()
-        for i in sorted(set(ids.values()), key=lambda i: parts[i][2] if i in parts else -1):
+        for i in sorted(set(ids.values()), key=self._made.__getitem__):
             # a token that merging its own bytes doesn't give is never part of an encoding
-            if i in parts and not ({*parts[i][:2]} <= reached and self._meet(*parts[i][:2], parts[i][2])):
-                continue
-            reached.add(i)
-            self._whole[self.bytes_of[i]] = i
-            self._automaton.add_word(self.bytes_of[i].decode("latin-1"), i)
-        self._automaton.make_automaton()
+            a, b, rank = self._left[i], self._right[i], self._made[i]
+            if rank < 0 or ({a, b} <= reached and self._meet(a, b, rank)):
+                reached.add(i)
+                self._whole[self.bytes_of[i]] = i
+        self._automaton = SuffixAutomaton(self._whole)
         self._lengths = [len(b) for b in self.bytes_of]
         self._pairs = _Pairs(self._meet, size)
-        self._find = regex.compile(PIECES).findall
-        # a single space after other text always starts a piece; Python's \S is the stricter one
-        self._split = re.compile(r"(?<=\S) ").split
-        self._first, self._later = _Chunks(self._encode_chunk, ""), _Chunks(self._encode_chunk, " ")
+        self._pieces = _Pieces(self._encode_piece)
+        self._pattern = regex.compile(PIECES)
 
     @staticmethod
     def _refuse_unknown(stored: dict) -> None:
@@ -133,65 +172,51 @@ class Encoder:
         if not plain:
             raise ValueError("only plain byte-level BPE files are understood")
 
-    @staticmethod
-    def _spine(token: int, parts: dict[int, tuple[int, int, int]], side: int) -> list[tuple[int, int]]:
-        """Tokens along one edge of a token's merges, from its byte up, with the rank that ends each."""
-        found, ends = [], NEVER
-        while True:
-            found.append((token, ends))
-            if token not in parts:
-                return found[::-1]
-            ends, token = parts[token][2], parts[token][side]
-
-    def _meet(self, a: int, b: int, last: int = NEVER) -> bool:
-        """Whether no merge of a rank below `last` joins a part of a with a part of b.
+    def _meet(self, a: int, b: int, before: int = NEVER) -> bool:
+        """Whether no merge of a rank below `before` joins a part of a with a part of b.
 
-        Both edges grow in the order of their ranks, the left one first at equal rank, as
-        merging goes from left to right. A pair on the boundary merges if its rank comes
-        before the merges that end its parts.
+        The merges that made a and b are undone along the boundary, the latest first. At
+        equal rank the right one is the later, as merging goes from left to right. Each
+        pair that met on the boundary would have merged, had its rank come before the
+        merges that ended its parts.
         """
-        left, right, rank, size = self._ends[a], self._starts[b], self._rank, self._size
-        i = j = 0
+        rank, made, size = self._rank, self._made, self._size
+        a_ends = b_ends = NEVER
         while True:
-            (x, x_ends), (y, y_ends) = left[i], right[j]
-            merge = rank.get(x * size + y)
-            if merge is not None and merge < last and merge < x_ends and merge <= y_ends:
+            merge = rank.get(a * size + b)
+            if merge is not None and merge < before and merge < a_ends and merge <= b_ends:
                 return False
-            if x_ends == NEVER and y_ends == NEVER:
-                return True
-            if x_ends <= y_ends:
-                i += 1
+            if made[a] > made[b]:
+                a, a_ends = self._right[a], made[a]
+            elif made[b] >= 0:
+                b, b_ends = self._left[b], made[b]
             else:
-                j += 1
+                return True
 
     def _encode_piece(self, piece: bytes) -> list[int]:
         whole = self._whole.get(piece)
         if whole is not None:
             return [whole]
-        last, done = [0] * (len(piece) + 1), 0
+        last, state = [0] * (len(piece) + 1), 0
+        step, ending = self._automaton, self._automaton.ending
         lengths, fits, size = self._lengths, self._pairs, self._size
-        for end, token in self._automaton.iter(piece.decode("latin-1")):
-            if end < done:
-                continue  # the prefix has its token
-            start = end + 1 - lengths[token]
-            if not start or fits[last[start] * size + token]:
-                done = end + 1
-                last[done] = token
+        for end, byte in enumerate(piece, 1):
+            state = step[state << 8 | byte]
+            for token in ending[state]:
+                start = end - lengths[token]
+                if not start or fits[last[start] * size + token]:
+                    last[end] = token
+                    break
         ids, at = [], len(piece)
         while at:
             ids.append(last[at])
             at -= lengths[last[at]]
         return ids[::-1]
 
-    def _encode_chunk(self, chunk: str) -> bytes:
-        ids = [i for piece in self._find(chunk) for i in self._encode_piece(piece.encode())]
-        return struct.pack(f"<{len(ids)}I", *ids)
-
     def _encode_plain(self, text: str) -> bytes:
-        if not text:
-            return b""
-        first, *later = self._split(text)
-        return self._first[first] + b"".join(map(self._later.__getitem__, later))
+        if len(text) <= _LISTED_LENGTH:
+            return b"".join(map(self._pieces.__getitem__, self._pattern.findall(text)))
+        return b"".join(self._pieces[m[0]] for m in self._pattern.finditer(text))
 
     def encode(self, text: str | None) -> bytes:
         """The ids of a whole text as little-endian unsigned 32-bit numbers; null is empty."""
@@ -247,12 +272,21 @@ def decode(rows: DataFrame, vocabulary: str, ids: str = "ids") -> DataFrame:
 
 
 def token_counts(documents: DataFrame, vocabulary: str, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256: a digest of encoding and round trip."""
-    encoded = encode(documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), vocabulary)
-    decoded = decode(encoded.select("row.doc_id", "ids"), vocabulary)
-    return decoded.select(
-        "row.doc_id",
-        F.expr("octet_length(row.ids) div 4").alias("n_tokens"),
-        F.sha2("row.ids", 256).alias("ids_sha256"),
-        F.sha2("text", 256).alias("decoded_sha256"),
+    """doc_id, n_tokens, ids_sha256, decoded_sha256: a digest of encoding and round trip.
+
+    Both directions run in one worker, so that ids do not travel back to be decoded.
+    """
+
+    def make(texts: pd.Series) -> pd.DataFrame:
+        use = encoder(vocabulary)
+        ids = [use.encode(t) for t in texts]
+        return pd.DataFrame({"ids": ids, "decoded": [use.decode(i) for i in ids]}, dtype=object)
+
+    both = F.pandas_udf(make, "ids binary, decoded string").asNondeterministic()  # so that it runs once for all uses
+    trips = documents.select(F.col(doc_id).alias("doc_id"), both(F.col(text)).alias("trip"))
+    return trips.select(
+        "doc_id",
+        F.expr("octet_length(trip.ids) div 4").alias("n_tokens"),
+        F.sha2("trip.ids", 256).alias("ids_sha256"),
+        F.sha2("trip.decoded", 256).alias("decoded_sha256"),
     )

@@ -56,6 +56,7 @@ def test_repeats_and_long_pieces(library, own):
         same(library, own, "".join(rng.choice("aAo. \n") for _ in range(rng.randrange(60))))
     same(library, own, prose(3, 20_000))
     same(library, own, "x" * 60_000)
+    same(library, own, prose(4, 200_000))
 
 
 def test_each_token_encodes_to_itself_or_is_never_used(library, own):
@@ -89,9 +90,9 @@ def test_other_kinds_of_vocabulary_are_refused(tmp_path):
 
 
 def test_caches_stay_bounded(monkeypatch):
-    monkeypatch.setattr(bpe, "_CACHED_CHUNKS", 50)
+    monkeypatch.setattr(bpe, "_CACHED_PIECES", 50)
     monkeypatch.setattr(bpe, "_CACHED_PAIRS", 50)
     encoder = bpe.Encoder(PATH)
     text = prose(8, 3000)
     assert encoder.decode(encoder.encode(text)) == text
-    assert max(len(encoder._later), len(encoder._pairs)) <= 50
+    assert max(len(encoder._pieces), len(encoder._pairs)) <= 50
