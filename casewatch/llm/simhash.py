@@ -99,45 +99,40 @@ def _bits_between(a: str, b: str) -> Column:
 
 
 def near_links(fingerprints: DataFrame, distance: int = DISTANCE, segments: int = SEGMENTS) -> DataFrame:
-    """(fp, root) for each distinct fingerprint that links with another one.
+    """(fp, root) for each fingerprint that links with another one; root is the smallest reached.
 
-    fingerprints: one column `fp`, distinct. Dense groups are contracted first: each
-    member of a segment bucket is compared with the bucket's smallest fingerprint
-    only. What then remains to be found are links between different contracted
-    groups, so the matches of a large group of near copies are compared in the join
-    but not emitted. Every link joins two fingerprints of one result component.
+    fingerprints: one column `fp`, distinct. Each is first compared with the smallest
+    fingerprint of its segment buckets only, and takes the smallest that it links with
+    as its label. Links are then sought between fingerprints of different labels and
+    counted by label inside the join's stage, so that a large group of near copies is
+    compared but its pairs are not returned.
     """
     # keys have no sign; grouping by it keeps the join below on exchanges of its own
     table = fingerprints.select("fp", F.explode(_keys(F.col("fp"), distance, segments, False)).alias("key"))
     first = table.groupBy("key", (F.col("key") < 0).alias("sign")).agg(F.min("fp").alias("low"))
-    short = table.join(first.drop("sign"), "key").filter(
-        (F.col("fp") != F.col("low")) & (_bits_between("fp", "low") <= distance)
-    )
-    coarse = components(short.select("fp", "low"))
+    linked = _bits_between("fp", "low") <= distance
+    labels = table.join(first.drop("sign"), "key").groupBy("fp").agg(F.min(F.when(linked, F.col("low"))).alias("label"))
+    labelled = checkpoint(labels.select("fp", F.coalesce("label", "fp").alias("label")))
 
-    grouped = fingerprints.join(coarse.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", F.coalesce("root", "fp").alias("coarse")
-    )
-    grouped = checkpoint(grouped)
-    probes = grouped.select(
+    probes = labelled.select(
         F.col("fp").alias("a"),
-        F.col("coarse").alias("coarse_a"),
+        F.col("label").alias("label_a"),
         F.explode(_keys(F.col("fp"), distance, segments, True)).alias("key"),
     )
-    targets = grouped.select(
+    targets = labelled.select(
         F.col("fp").alias("b"),
-        F.col("coarse").alias("coarse_b"),
+        F.col("label").alias("label_b"),
         F.explode(_keys(F.col("fp"), distance, segments, False)).alias("key"),
     )
     fits = (
         (probes["key"] == targets["key"])
         & (F.col("a") < F.col("b"))
-        & (F.col("coarse_a") != F.col("coarse_b"))
+        & (F.col("label_a") != F.col("label_b"))
         & (_bits_between("a", "b") <= distance)
     )
-    across = probes.join(targets, fits).select("coarse_a", "coarse_b").distinct()
-    joined = components(across).withColumnsRenamed({"node": "coarse", "root": "top"})
-    return grouped.join(joined, "coarse", "left").select("fp", F.coalesce("top", "coarse").alias("root"))
+    # a fingerprint becomes many keys, which Spark can't foresee: never broadcast them
+    across = probes.join(targets.hint("merge"), fits).select("label_a", "label_b").distinct()
+    return components(labelled.select("fp", "label").union(across)).select(F.col("node").alias("fp"), "root")
 
 
 def simhash_components(
@@ -157,10 +152,10 @@ def simhash_components(
     """
     prints = checkpoint(documents.select(F.col(doc_id).alias("doc_id"), fingerprint_of(F.col(text)).alias("fp")))
     per_print = prints.groupBy("fp").agg(F.min("doc_id").alias("low"))
-    linked = checkpoint(near_links(per_print.select("fp"), distance, segments))
-    named = per_print.join(linked, "fp")
+    linked = near_links(per_print.select("fp"), distance, segments)
+    named = per_print.join(linked, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     lowest = named.groupBy("root", (F.col("root") < 0).alias("sign")).agg(F.min("low").alias("component_id"))
-    members = linked.join(lowest, "root").select("fp", "component_id")
+    members = named.join(lowest, "root").select("fp", "component_id")
     return prints.join(members, "fp").select(
         "doc_id", "fp", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
@@ -182,7 +177,9 @@ def keep_one(documents: DataFrame, text: str = "text", doc_id: str = "doc_id") -
     nameless = found.filter("component_id is null").select("fp").distinct()
     if nameless.isEmpty():
         return kept
-    roots = near_links(nameless).select(F.col("fp").alias("print"), "root")
+    roots = nameless.join(near_links(nameless), "fp", "left").select(
+        F.col("fp").alias("print"), F.coalesce("root", "fp").alias("root")
+    )
     rows = documents.filter(F.col(doc_id).isNull()).select(
         F.struct("*").alias("row"), fingerprint_of(F.col(text)).alias("print")
     )
