@@ -40,10 +40,16 @@ def membership(tables: dict[str, DataFrame], key: str) -> DataFrame:
     return stacked.groupBy(key, "_width").agg(*(F.max(f).alias(f) for f in flags)).drop("_width")
 
 
-def surplus(df: DataFrame, key: str) -> DataFrame:
-    """One row, `n`: rows beyond the first of each key, NULL being a key."""
-    per_key = df.groupBy(key).agg(F.count("*").alias("rows"))
-    return per_key.agg(F.coalesce(F.sum(F.col("rows") - 1), F.lit(0)).alias("n"))
+def splittable_ids(df: DataFrame, key: str) -> DataFrame:
+    """Distinct non-NULL keys as (`key`, `_width`), for joins on either or both columns.
+
+    They are grouped by a third column that the key determines. So joins on the key, and
+    joins on key and width, all get exchanges of their own (see `membership`); and rows
+    that were joined on both columns are exchanged again for a later join on the key.
+    """
+    width, head = F.length(key).alias("_width"), F.ascii(key).alias("_head")
+    keys = df.filter(F.col(key).isNotNull()).select(key, width, head)
+    return keys.distinct().drop("_head")
 
 
 def total(column: str | Column) -> Column:

@@ -10,14 +10,17 @@ from casewatch.operators.silver import keep_valid, latest_version
 INSERTED, UPDATED, UNCHANGED = "inserted", "updated", "unchanged"
 
 
-def demo_actions(target: DataFrame, batch: DataFrame) -> DataFrame:
+def demo_actions(target: DataFrame, batch: DataFrame, one_per_case: bool = False) -> DataFrame:
     """The batch, one row per case, with what a merge does to it in `_action`.
 
+    A caller whose batch has one row per case already, such as cleaned DEMO, says so
+    with one_per_case and saves its window.
+
     A stored case is updated by a strictly newer version only. A NULL version
     on either side leaves it unchanged, and a NULL caseid matches nothing.
     Only two columns of the target take part in the join.
     """
-    source = latest_version(batch)
+    source = batch if one_per_case else latest_version(batch)
     stored = target.select("caseid", F.col("caseversion").alias("_stored_version")).withColumn(
         "_stored", F.lit(True)
     )
@@ -38,10 +41,12 @@ def apply_demo_actions(target: DataFrame, actions: DataFrame) -> DataFrame:
     The target's caseids are unique (NULL apart), which `latest_version` and this
     operator keep true. Its wide rows meet only the ids being replaced, so they
     stay where they are when AQE finds that id list small enough to broadcast.
+    Columns that only one side has are kept, with NULL for the other's rows.
     """
     replaced = actions.filter(F.col("_action") == UPDATED).select("caseid")
-    written = actions.filter(F.col("_action") != UNCHANGED).select(target.columns)
-    return target.join(replaced, "caseid", "left_anti").select(target.columns).unionByName(written)
+    written = actions.filter(F.col("_action") != UNCHANGED).drop("_action")
+    kept = target.join(replaced, "caseid", "left_anti").select(target.columns)
+    return kept.unionByName(written, allowMissingColumns=True)
 
 
 def merge_demo(target: DataFrame | None, batch: DataFrame) -> DataFrame:
@@ -72,7 +77,7 @@ def merge_child(target: DataFrame | None, batch: DataFrame, demo: DataFrame) ->
         return valid
     replaced = _batch_and_demo(batch, demo).filter("in_batch and in_demo").select("primaryid")
     kept = target.join(replaced, "primaryid", "left_anti")
-    return kept.select(target.columns).unionByName(valid)
+    return kept.select(target.columns).unionByName(valid, allowMissingColumns=True)
 
 
 def refresh_child(
@@ -93,7 +98,7 @@ def refresh_child(
         return valid
     staying = _batch_and_demo(batch, demo).filter("in_demo and not in_batch").select("primaryid")
     kept = target.join(staying, "primaryid", "left_semi")
-    return kept.select(target.columns).unionByName(valid)
+    return kept.select(target.columns).unionByName(valid, allowMissingColumns=True)
 
 
 def _batch_and_demo(batch: DataFrame, demo: DataFrame) -> DataFrame:

@@ -147,6 +147,6 @@ def age_samples(demo: DataFrame) -> DataFrame:
 
 
 def sample_reports(tables: dict[str, DataFrame], n: int = 200) -> dict[str, DataFrame]:
-    """All rows of the first n reports of DEMO. The id list is n rows, so it is broadcast."""
-    ids = F.broadcast(tables["demo"].select("primaryid").orderBy("primaryid").limit(n))
+    """All rows of the first n reports of DEMO. AQE broadcasts the ids if they are few."""
+    ids = tables["demo"].select("primaryid").distinct().orderBy("primaryid").limit(n)
     return {name: df.join(ids, "primaryid", "left_semi") for name, df in tables.items()}

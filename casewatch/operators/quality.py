@@ -1,17 +1,19 @@
 """Data-quality suite: 30 checks over the seven Silver tables.
 
-Each table is aggregated once, whatever the number of checks on it. Referential
-integrity and duplicate report ids come from one census over all report ids.
+Each table is scanned once, whatever the number of checks on it: conditions, row
+counts, referential integrity and duplicates are all counters of one census over report
+and case ids.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from casewatch.functions.cleaning import AGE_LIMITS, missing, outside
-from casewatch.operators.census import as_rows, census, surplus, total
+from casewatch.operators.census import as_rows, total
 from casewatch.schema import CHILDREN, OUTCOMES, ROLES, SEXES
 
 # Checked columns, and the tables whose rows are counted.
@@ -41,57 +43,80 @@ def _finding(check: str, table: str, n: Column, unit: str, severity: str, of: Co
     return (F.lit(check), F.lit(table.upper()), n, share, F.lit(unit), F.lit(severity))
 
 
-def _table_findings(table: str, df: DataFrame) -> DataFrame | None:
-    """Null, domain, range and row-count findings of one table, from one pass."""
-    rows = F.count("*")
-    findings = []
-    for column in CRITICAL.get(table, []):
-        findings.append((f"null_{column}", F.count_if(missing(column)), "nulls", FAIL, True))
-    for column in EXPECTED.get(table, []):
-        findings.append((f"null_{column}", F.count_if(missing(column)), "nulls", "BY_SHARE", True))
+def _measures(table: str) -> list[tuple[str, Column, str, str, bool]]:
+    """Row-wise conditions to be counted: check, condition, unit, severity, show as share."""
+    found = [(f"null_{c}", missing(c), "nulls", FAIL, True) for c in CRITICAL.get(table, [])]
+    found += [(f"null_{c}", missing(c), "nulls", "BY_SHARE", True) for c in EXPECTED.get(table, [])]
     for column, domain in DOMAINS.get(table, {}).items():
-        findings.append((f"domain_{column}", F.count_if(outside(column, domain)), "invalid values", FAIL, False))
+        found.append((f"domain_{column}", outside(column, domain), "invalid values", FAIL, False))
     if table == "demo":
         low, high = AGE_LIMITS
         age = F.col("age_in_years")
-        odd = F.count_if((age < low) | (age > high))
-        findings.append(("range_age_in_years", odd, f"out of range ({low}-{high})", WARN, False))
-    if table in COUNTED:
-        findings.append(("row_count", rows, "rows", PASS, False))
-    if not findings:
-        return None
-    counted = df.agg(rows.alias("_rows"), *(n.alias(f"_{i}") for i, (_, n, *_) in enumerate(findings)))
-    return counted.select(
-        as_rows(
-            _FINDING,
-            [
-                _finding(check, table, F.col(f"_{i}"), unit, severity, F.col("_rows") if share else None)
-                for i, (check, _, unit, severity, share) in enumerate(findings)
-            ],
-        )
-    )
+        odd = (age < low) | (age > high)
+        found.append(("range_age_in_years", odd, f"out of range ({low}-{high})", WARN, False))
+    return found
+
 
+def _counted(silver: Mapping[str, DataFrame], conditions: Mapping[str, Mapping[str, Column]]) -> DataFrame:
+    """One row with everything that is counted about the tables, from one scan of each.
 
-def _id_findings(silver: dict[str, DataFrame]) -> DataFrame:
-    """Orphan reports per child table and duplicate reports in DEMO."""
-    seen = census({"demo": silver["demo"]} | {c: silver[c] for c in CHILDREN}, "primaryid")
-    demo = F.col("demo")
-    counted = seen.agg(
-        *(F.count_if((demo == 0) & (F.col(c) > 0)).alias(c) for c in CHILDREN),
-        total(F.when(demo > 1, demo - 1)).alias("duplicates"),
+    Every row becomes a key with counters, DEMO rows two, as report and as case. Counters
+    are summed per key before and after the only exchange, then over all keys:
+    `rows_<table>`, `orphans_<child>`, `duplicate_primaryid`, `duplicate_caseid`, and the
+    rows that meet each named condition of a table.
+    """
+    tables = ["demo", *CHILDREN]
+    named = [(t, name) for t in tables for name in conditions.get(t, {})]
+
+    def counters(owner: str, as_case: bool) -> list[Column]:
+        rows = [F.lit(int(t == owner and not as_case)).cast("long").alias(f"rows_{t}") for t in tables]
+        rows.append(F.lit(int(as_case)).cast("long").alias("cases"))
+        for t, name in named:
+            met = conditions[t][name] if t == owner and not as_case else F.lit(False)
+            rows.append(F.coalesce(met, F.lit(False)).cast("long").alias(name))
+        return rows
+
+    def keyed(table: str) -> DataFrame:
+        keys = {"primaryid": False} | ({"caseid": True} if table == "demo" else {})
+        records = [
+            F.struct(F.lit(k).alias("kind"), F.col(k).cast("string").alias("key"), *counters(table, as_case))
+            for k, as_case in keys.items()
+        ]
+        return silver[table].select(F.inline(F.array(*records)))
+
+    stacked = reduce(DataFrame.unionAll, map(keyed, tables))
+    sums = [c for c in stacked.columns if c not in ("kind", "key")]
+    per_key = stacked.groupBy("kind", "key").agg(*(F.sum(c).alias(c) for c in sums))
+    report, demo, cases = F.col("kind") == "primaryid", F.col("rows_demo"), F.col("cases")
+    orphaned = {c: report & (demo == 0) & (F.col(f"rows_{c}") > 0) for c in CHILDREN}
+    return per_key.agg(
+        *(total(c).alias(c) for c in sums if c != "cases"),
+        *(F.count_if(met).alias(f"orphans_{c}") for c, met in orphaned.items()),
+        total(F.when(demo > 1, demo - 1)).alias("duplicate_primaryid"),
+        total(F.when(cases > 1, cases - 1)).alias("duplicate_caseid"),
     )
+
+
+def _id_records() -> list[tuple]:
+    """Findings about report and case ids."""
     records = [
-        _finding(f"ref_integrity_{c.upper()}", c, F.col(c), "orphan primaryids", FAIL) for c in CHILDREN
+        _finding(f"ref_integrity_{c.upper()}", c, F.col(f"orphans_{c}"), "orphan primaryids", FAIL) for c in CHILDREN
     ]
-    records.append(
-        _finding("duplicate_primaryid", "demo", F.col("duplicates"), "duplicate primaryids", FAIL)
-    )
-    return counted.select(as_rows(_FINDING, records))
+    for key, severity in (("primaryid", FAIL), ("caseid", WARN)):
+        records.append(_finding(f"duplicate_{key}", "demo", F.col(f"duplicate_{key}"), f"duplicate {key}s", severity))
+    return records
 
 
-def _case_findings(demo: DataFrame) -> DataFrame:
-    record = _finding("duplicate_caseid", "demo", F.col("n"), "duplicate caseids", WARN)
-    return surplus(demo, "caseid").select(as_rows(_FINDING, [record]))
+def _findings(silver: Mapping[str, DataFrame]) -> DataFrame:
+    measured = {t: {f"{t}_{check}": (check, *rest) for check, *rest in _measures(t)} for t in ("demo", *CHILDREN)}
+    conditions = {t: {name: rest[1] for name, rest in found.items()} for t, found in measured.items()}
+    records = [
+        _finding(check, t, F.col(name), unit, severity, F.col(f"rows_{t}") if share else None)
+        for t, found in measured.items()
+        for name, (check, _, unit, severity, share) in found.items()
+    ]
+    records += [_finding("row_count", t, F.col(f"rows_{t}"), "rows", PASS) for t in COUNTED]
+    return _counted(silver, conditions).select(as_rows(_FINDING, records + _id_records()))
 
 
 def run_checks(silver: dict[str, DataFrame], run_label: str = "unknown") -> DataFrame:
@@ -99,9 +124,7 @@ def run_checks(silver: dict[str, DataFrame], run_label: str = "unknown") -> Data
 
     `n` and `pct` carry the metric as numbers.
     """
-    parts = [_table_findings(t, df) for t, df in silver.items()]
-    parts += [_id_findings(silver), _case_findings(silver["demo"])]
-    findings = reduce(DataFrame.unionAll, [p for p in parts if p is not None])
+    findings = _findings(silver)
 
     share = F.bround(F.try_divide("n", "of") * 100, 2)
     pct = F.when(F.col("of").isNotNull(), F.coalesce(share, F.lit(0.0)))
@@ -146,20 +169,23 @@ def with_result(report: DataFrame, result: str) -> DataFrame:
 
 def post_checks(silver: dict[str, DataFrame]) -> DataFrame:
     """Proof after a transform or merge: every `n` should be 0."""
-    names = ["check_name", "table_name", "n"]
-    drug = silver["drug"].agg(
-        F.count_if(F.col("drugname") != F.upper("drugname")).alias("lower"),
-        F.count_if(F.col("drugname") != F.trim("drugname")).alias("padded"),
-    )
-    name_rows = drug.select(
-        as_rows(
-            names,
-            [
-                (F.lit("drugname_not_upper"), F.lit("DRUG"), F.col("lower")),
-                (F.lit("drugname_not_trimmed"), F.lit("DRUG"), F.col("padded")),
-            ],
-        )
-    )
-    ids = _id_findings(silver).unionAll(_case_findings(silver["demo"])).select(*names)
-    checked = name_rows.unionAll(ids)
+    name = F.col("drugname")
+    odd = {"drugname_not_upper": name != F.upper(name), "drugname_not_trimmed": name != F.trim(name)}
+    records = [_finding(check, "drug", F.col(check), "rows", FAIL) for check in odd]
+    counted = _counted(silver, {"drug": odd}).select(as_rows(_FINDING, records + _id_records()))
+    checked = counted.select("check_name", "table_name", "n")
     return checked.withColumn("result", F.when(F.col("n") == 0, PASS).otherwise(FAIL))
+
+
+def broken_lines(silver: Mapping[str, DataFrame]) -> DataFrame:
+    """Rows per table with a text field that holds a line break: table_name, n.
+
+    Such fields come from quoted text and are easily split by other readers. It is a
+    check beside the report, not a part of it.
+    """
+    counts = []
+    for table, df in silver.items():
+        texts = [c for c, kind in df.dtypes if kind == "string"]
+        broken = reduce(Column.__or__, (F.coalesce(F.col(c).rlike("[\\r\\n]"), F.lit(False)) for c in texts))
+        counts.append(df.agg(F.lit(table.upper()).alias("table_name"), F.count_if(broken).alias("n")))
+    return reduce(DataFrame.unionAll, counts)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from casewatch.functions import statistics as stats
-from casewatch.operators.census import census, total
+from casewatch.operators.census import census, splittable_ids, total
 from casewatch.schema import DEATH, PRIMARY_SUSPECT
 
 
@@ -53,10 +53,13 @@ def _pair_counts(drugs: DataFrame, events: DataFrame) -> DataFrame:
     return drugs.join(events, "primaryid").groupBy("drugname", "pt").agg(F.count("*").alias("a"))
 
 
-def _shared_reports(drugs: DataFrame, events: DataFrame) -> DataFrame:
-    """One row, N: reports with a suspect drug and a reaction."""
-    with_drug, with_event = (df.select("primaryid").distinct() for df in (drugs, events))
-    return with_drug.join(with_event, "primaryid").agg(F.count("*").alias("N"))
+def _report_ids(df: DataFrame) -> DataFrame:
+    return splittable_ids(df, "primaryid").select("primaryid")
+
+
+def _shared_reports(with_drug: DataFrame, with_event: DataFrame) -> DataFrame:
+    """One row, N: ids that are on both sides, each side unique."""
+    return with_drug.join(with_event, "primaryid", "left_semi").agg(F.count("*").alias("N"))
 
 
 def _two_by_two(pairs: DataFrame, drugs: DataFrame, events: DataFrame, reports: DataFrame) -> DataFrame:
@@ -76,27 +79,35 @@ def count_reports(drug: DataFrame, reac: DataFrame) -> DataFrame:
 
     Equal to `count_pairs(drug_event_pairs(drug, reac))`, with the many-to-many
     join run once. The totals need no pairs: a drug's total is its suspect rows
-    whose report has some reaction, so each is a join with unique report ids.
+    whose report has some reaction, so each is a semi-join with unique report ids, on
+    direct exchanges that AQE may split like those of the pairs.
     """
     drugs, events = suspect_drugs(drug), reactions(reac)
-    with_drug, with_event = (df.select("primaryid").distinct() for df in (drugs, events))
+    with_drug, with_event = _report_ids(drugs), _report_ids(events)
     one = F.count("*")
     return _two_by_two(
         _pair_counts(drugs, events),
-        drugs.join(with_event, "primaryid").groupBy("drugname").agg(one.alias("drug_total")),
-        events.join(with_drug, "primaryid").groupBy("pt").agg(one.alias("event_total")),
-        _shared_reports(drugs, events),
+        drugs.join(with_event, "primaryid", "left_semi").groupBy("drugname").agg(one.alias("drug_total")),
+        events.join(with_drug, "primaryid", "left_semi").groupBy("pt").agg(one.alias("event_total")),
+        _shared_reports(with_drug, with_event),
     )
 
 
 def count_pairs(pairs: DataFrame) -> DataFrame:
-    """2x2 counts from any (primaryid, drugname, pt) rows, repeats allowed."""
-    reports = F.count_distinct("primaryid")
+    """2x2 counts from any (primaryid, drugname, pt) rows, repeats allowed.
+
+    All four counts start from the same distinct rows, whose exchange Spark plans once.
+    """
+    once = pairs.distinct()
+
+    def reports(*by: str, name: str) -> DataFrame:
+        return once.select("primaryid", *by).distinct().groupBy(*by).agg(F.count("*").alias(name))
+
     return _two_by_two(
-        pairs.groupBy("drugname", "pt").agg(reports.alias("a")),
-        pairs.groupBy("drugname").agg(reports.alias("drug_total")),
-        pairs.groupBy("pt").agg(reports.alias("event_total")),
-        pairs.select("primaryid").distinct().agg(F.count("*").alias("N")),
+        once.groupBy("drugname", "pt").agg(F.count("*").alias("a")),
+        reports("drugname", name="drug_total"),
+        reports("pt", name="event_total"),
+        reports(name="N"),
     )
 
 
@@ -148,21 +159,24 @@ def signals(scored: DataFrame) -> DataFrame:
     return scored.filter("is_signal")
 
 
+# Shown name to scored column of the statistics.
+_STATISTICS = {
+    "PRR": "PRR",
+    "ROR": "ROR",
+    "ROR_95CI_lower": "ROR_lower",
+    "ROR_95CI_upper": "ROR_upper",
+    "chi2": "chi2",
+}
+
+
 def gold_columns(scored: DataFrame) -> DataFrame:
-    """The stored form of a scored table: int counts, statistics to 4 decimals."""
+    """The stored form of a scored table: bigint counts, statistics to 4 decimals."""
     counts = {"report_count": "a", "drug_no_event": "b", "event_no_drug": "c", "neither": "d"}
-    statistics = {
-        "PRR": "PRR",
-        "ROR": "ROR",
-        "ROR_95CI_lower": "ROR_lower",
-        "ROR_95CI_upper": "ROR_upper",
-        "chi2": "chi2",
-    }
     return scored.select(
         "drugname",
         "pt",
-        *(F.col(c).cast("int").alias(name) for name, c in counts.items()),
-        *(F.round(c, 4).alias(name) for name, c in statistics.items()),
+        *(F.col(c).cast("bigint").alias(name) for name, c in counts.items()),
+        *(F.round(c, 4).alias(name) for name, c in _STATISTICS.items()),
         "is_signal",
     )
 
@@ -189,26 +203,19 @@ def pair_summary(drug: DataFrame, reac: DataFrame) -> DataFrame:
             values("drugname").alias("drugs"),
             values("pt").alias("events"),
         )
-        .withColumn("reports", _shared_reports(drugs, events).scalar())
+        .withColumn("reports", _shared_reports(_report_ids(drugs), _report_ids(events)).scalar())
     )
 
 
 def top_signals(scored: DataFrame, n: int = 30) -> DataFrame:
     """Signals with the highest ROR, ranked and shown at 2 decimals."""
-    shown = {
-        "PRR": "PRR",
-        "ROR": "ROR",
-        "ROR_95CI_lower": "ROR_lower",
-        "ROR_95CI_upper": "ROR_upper",
-        "chi2": "chi2",
-    }
     return (
         signals(scored)
         .select(
             "drugname",
             "pt",
-            F.col("a").cast("int").alias("report_count"),
-            *(F.round(c, 2).alias(name) for name, c in shown.items()),
+            F.col("a").cast("bigint").alias("report_count"),
+            *(F.round(c, 2).alias(name) for name, c in _STATISTICS.items()),
         )
         .orderBy(F.desc("ROR"), "drugname", "pt")
         .limit(n)
@@ -251,11 +258,12 @@ def signal_rate(scored: DataFrame) -> DataFrame:
 def death_reports(drug: DataFrame, reac: DataFrame, outc: DataFrame) -> DataFrame:
     """Reports with outcome death per (drugname, pt).
 
-    The fatal suspects, a small part of all, are spread again by their full key, so
-    that the join with the reactions has direct exchanges as inputs.
+    The suspects meet the dead on the id and its length, and the reactions on the id
+    alone, so that either join has direct exchanges as inputs.
     """
-    died = outc.filter(F.col("outc_cod") == DEATH).select("primaryid").distinct()
-    fatal = suspect_drugs(drug).join(died, "primaryid").repartition("primaryid", "drugname")
+    died = splittable_ids(outc.filter(F.col("outc_cod") == DEATH), "primaryid")
+    suspects = suspect_drugs(drug).withColumn("_width", F.length("primaryid"))
+    fatal = suspects.join(died, ["primaryid", "_width"], "left_semi")
     return (
         fatal.join(reactions(reac), "primaryid")
         .groupBy("drugname", "pt")
@@ -276,7 +284,7 @@ def fatal_signals(scored: DataFrame, deaths: DataFrame, n: int | None = 20) -> D
         .select(
             "drugname",
             "pt",
-            F.col("a").cast("int").alias("total_reports"),
+            F.col("a").cast("bigint").alias("total_reports"),
             "death_reports",
             F.round("PRR", 2).alias("PRR"),
             F.round("ROR", 2).alias("ROR"),
@@ -297,7 +305,7 @@ def known_pairs(scored: DataFrame, known: list[tuple[str, str]]) -> DataFrame:
         F.upper("drugname").alias("drug"),
         F.upper("pt").alias("event"),
         F.lit(True).alias("found"),
-        F.col("a").cast("int").alias("report_count"),
+        F.col("a").cast("bigint").alias("report_count"),
         *(F.round(c, 2).alias(c) for c in ("PRR", "ROR", "chi2")),
         "is_signal",
     )

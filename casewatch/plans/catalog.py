@@ -14,10 +14,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from casewatch.functions.statistics import Thresholds
 from casewatch.lazy import LazyTables
 from casewatch.operators import merge, profile, quality, signals, silver
+from casewatch.operators.census import as_rows, census, total
 from casewatch.plans import layers
 from casewatch.plans.adapter import raw_tables
-from casewatch.schema import CHILDREN, PRIMARY_SUSPECT
-from casewatch.sources.tables import of_quarter, read_bronze, read_version
+from casewatch.schema import CHILDREN, COLUMNS, FILE_LINEAGE, PRIMARY_SUSPECT
+from casewatch.sources import files, raw
+from casewatch.sources.tables import of_quarter, read_bronze, read_version, versions, write_version
 
 # Parameters of registered queries, shared with their oracles.
 KNOWN = [
@@ -97,6 +99,10 @@ class Reports:
     def dq(self) -> DataFrame:
         return quality.run_checks(self.loaded, RUN_LABEL).drop("timestamp")
 
+    @cached_property
+    def dq_dirty(self) -> DataFrame:
+        return quality.run_checks(dirty(self), RUN_LABEL).drop("timestamp")
+
     @cached_property
     def dq_unfiltered(self) -> DataFrame:
         return quality.run_checks(self.unfiltered, RUN_LABEL).drop("timestamp")
@@ -112,19 +118,25 @@ def valid_children(r: Reports) -> DataFrame:
 
 
 def merge_child_counts(r: Reports) -> DataFrame:
-    def size(df: DataFrame, name: str) -> DataFrame:
-        return df.agg(F.count("*").alias(name))
-
-    counts = [
-        size(r.stored[t], "before").select(
-            F.lit(t).alias("table_name"),
-            "before",
-            size(r.batch[t], "batch").scalar().alias("batch"),
-            size(r.merged_child(t), "after").scalar().alias("after"),
-        )
-        for t in CHILDREN
-    ]
-    return reduce(DataFrame.unionAll, counts)
+    """Rows stored, in the batch and after the refresh per child table.
+
+    One census over report ids answers for all tables: of a report that DEMO keeps, the
+    batch's rows are there if it has any, else the stored ones.
+    """
+    quarters = {"old": r.raw_quarter(OLD_QUARTER), "new": r.raw_quarter(NEW_QUARTER)}
+    frames = {f"{q}_{t}": silver.clean_child(t, bronze[t]) for q, bronze in quarters.items() for t in CHILDREN}
+    demos = {"stored": r.stored["demo"], "batch": r.batch["demo"], "merged": r.merged_demo}
+    seen = census(frames | demos, "primaryid")
+    counts = {}
+    for t in CHILDREN:
+        before = F.when(F.col("stored") > 0, F.col(f"old_{t}")).otherwise(0)
+        batch = F.when(F.col("batch") > 0, F.col(f"new_{t}")).otherwise(0)
+        after = F.when(F.col("merged") > 0, F.when(batch > 0, batch).otherwise(before))
+        counts |= {f"before_{t}": total(before), f"batch_{t}": total(batch), f"after_{t}": total(after)}
+    one = seen.agg(*(c.alias(n) for n, c in counts.items()))
+    names = ["before", "batch", "after"]
+    records = [(F.lit(t), *(F.col(f"{n}_{t}") for n in names)) for t in CHILDREN]
+    return one.select(as_rows(["table_name", *names], records))
 
 
 def case_version_summary(r: Reports) -> DataFrame:
@@ -142,31 +154,155 @@ def sample_export(r: Reports) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+def _kept(r: Reports, layout: layers.Layout, result: DataFrame) -> DataFrame:
+    """The result in the checkpoint folder; the project that it was read from is removed."""
+    kept = result.checkpoint()
+    files.delete(r.spark, layout.root)
+    return kept
+
+
 def bronze_ingest(r: Reports) -> DataFrame:
     """Both quarters as text files, ingested, then profiled as stored."""
     layout = ingested(r)
-    return profile.layer_profile({t: read_bronze(r.spark, f"{layout.bronze}/{t}") for t in r.raw})
+    stored = {t: read_bronze(r.spark, f"{layout.bronze}/{t}") for t in r.raw}
+    return _kept(r, layout, profile.layer_profile(stored))
+
+
+def bronze_rows(table: str) -> Callable[[Reports], DataFrame]:
+    """All rows of a table after the way through text files and Bronze."""
+
+    def query(r: Reports) -> DataFrame:
+        layout = ingested(r, [table])
+        stored = read_bronze(r.spark, f"{layout.bronze}/{table}").drop(*FILE_LINEAGE)
+        return _kept(r, layout, stored)
+
+    return query
+
+
+def partition_scan(r: Reports) -> DataFrame:
+    """One quarter of a stored Bronze table, of which only that partition is read."""
+    layout = ingested(r, ["drug"])
+    quarter = of_quarter(read_bronze(r.spark, f"{layout.bronze}/drug"), YEAR, NEW_QUARTER)
+    return _kept(r, layout, quarter.drop(*FILE_LINEAGE))
+
+
+def loaded_and_merged(r: Reports) -> layers.Layout:
+    layout = ingested(r)
+    layers.load_silver(r.spark, layout, YEAR, OLD_QUARTER)
+    layers.upsert_quarter(r.spark, layout, YEAR, NEW_QUARTER)
+    return layout
 
 
 def layer_run(r: Reports) -> DataFrame:
     """Text files to Gold through all stored layers, Q2 merged into Q1."""
+    layout = loaded_and_merged(r)
+    layers.build_gold(r.spark, layout, RUN_LABEL)
+    gold = read_version(r.spark, layout.gold("drug_event_contingency")).drop("_computed_ts")
+    return _kept(r, layout, gold)
+
+
+def quality_log(r: Reports) -> DataFrame:
+    """Two logged quality runs, before and after the merge, read back from the log."""
     layout = ingested(r)
     layers.load_silver(r.spark, layout, YEAR, OLD_QUARTER)
+    layers.log_quality(r.spark, layout, OLD_QUARTER)
     layers.upsert_quarter(r.spark, layout, YEAR, NEW_QUARTER)
-    layers.build_gold(r.spark, layout, RUN_LABEL)
-    return read_version(r.spark, layout.gold("drug_event_contingency")).drop("_computed_ts")
+    layers.log_quality(r.spark, layout, RUN_LABEL)
+    log = r.spark.read.parquet(layout.gold("data_quality_log")).drop("timestamp")
+    return _kept(r, layout, log)
 
 
-def ingested(r: Reports) -> layers.Layout:
+def stored_snapshot_diff(r: Reports) -> DataFrame:
+    """The first and the last stored version of DEMO compared."""
+    layout = loaded_and_merged(r)
+    first, *_, last = versions(r.spark, layout.silver("demo"))
+    before, after = (read_version(r.spark, layout.silver("demo"), v) for v in (first, last))
+    return _kept(r, layout, merge.snapshot_diff(before, after))
+
+
+def drop_orphans_counts(r: Reports) -> DataFrame:
+    """Orphan removal on stored tables into which all orphans of the quarter were put."""
+    layout = ingested(r, quarters=[OLD_QUARTER])
+    layers.load_silver(r.spark, layout, YEAR, OLD_QUARTER)
+    bronze = layers.read_quarter(r.spark, layout, YEAR, OLD_QUARTER)
+    for t in CHILDREN:
+        write_version(silver.clean_child(t, bronze[t]), layout.silver(t))
+    stats = layers.drop_orphans(r.spark, layout)
+    rows = [(t, s["before"], s["after"], s["removed"]) for t, s in stats.items()]
+    files.delete(r.spark, layout.root)
+    return r.spark.createDataFrame(rows, "table_name string, before bigint, after bigint, removed bigint")
+
+
+def changed_columns(r: Reports) -> DataFrame:
+    """Two quarters of which the second has one more column and lacks another, upserted."""
     layout = layers.Layout(layers.scratch_folder(r.spark))
-    for quarter in (OLD_QUARTER, NEW_QUARTER):
-        layers.write_raw(r.raw_quarter(quarter), layout, YEAR, quarter)
+    old, new = (r.raw_quarter(q) for q in (OLD_QUARTER, NEW_QUARTER))
+    changed = {t: new[t] for t in CHILDREN}
+    changed["demo"] = new["demo"].withColumn("auth_num", F.concat(F.lit("A"), "primaryid")).drop("occr_country")
+    changed["reac"] = new["reac"].withColumn("drug_rec_act", F.lit("X"))
+    for quarter, bronze in ((OLD_QUARTER, old), (NEW_QUARTER, changed)):
+        layers.write_raw({t: bronze[t] for t in ("demo", "reac")}, layout, YEAR, quarter, all_columns=True)
+        layers.ingest(r.spark, layout, YEAR, quarter)
+    layers.load_silver(r.spark, layout, YEAR, OLD_QUARTER)
+    layers.upsert_quarter(r.spark, layout, YEAR, NEW_QUARTER)
+    stored = layers.read_silver(r.spark, layout)
+    demo = stored["demo"].select(
+        F.lit("demo").alias("table_name"), "primaryid", "occr_country", F.col("auth_num").alias("added")
+    )
+    reac = stored["reac"].select(
+        F.lit("reac"), "primaryid", F.lit(None).cast("string"), F.col("drug_rec_act")
+    )
+    return _kept(r, layout, demo.unionAll(reac))
+
+
+def sample_export_text(r: Reports) -> DataFrame:
+    """The sampled REAC rows written as delimited text and read back."""
+    layout = layers.Layout(layers.scratch_folder(r.spark))
+    sample = profile.sample_reports({"demo": r.raw["demo"], "reac": r.raw["reac"]})
+    raw.write_delimited(sample["reac"].select(COLUMNS["reac"]), f"{layout.root}/REAC.txt")
+    return _kept(r, layout, raw.read_file(r.spark, f"{layout.root}/REAC.txt", multi_line=False))
+
+
+def ingested(
+    r: Reports, only: list[str] | None = None, quarters: tuple[str, ...] | list[str] = (OLD_QUARTER, NEW_QUARTER)
+) -> layers.Layout:
+    """A new project with quarters written as text and ingested; all tables unless named."""
+    layout = layers.Layout(layers.scratch_folder(r.spark))
+    for quarter in quarters:
+        bronze = r.raw_quarter(quarter)
+        layers.write_raw({t: bronze[t] for t in only or bronze}, layout, YEAR, quarter)
         layers.ingest(r.spark, layout, YEAR, quarter)
     return layout
 
 
 def pair_samples(r: Reports) -> DataFrame:
-    return profile.sample_rows(r.pairs, ["primaryid", "drugname", "pt"], 15)
+    """The first pairs in order. They belong to the lowest ids that have a drug and a
+    reaction, so that only those reports' rows are joined."""
+    drugs, events = signals.suspect_drugs(r.child("drug")), signals.reactions(r.child("reac"))
+    both = drugs.select("primaryid").join(events.select("primaryid"), "primaryid", "left_semi").distinct()
+    ids = both.orderBy("primaryid").limit(15)
+    few = [df.join(ids, "primaryid", "left_semi") for df in (drugs, events)]
+    return profile.sample_rows(few[0].join(few[1], "primaryid"), ["primaryid", "drugname", "pt"], 15)
+
+
+def dirty(r: Reports) -> dict[str, DataFrame]:
+    """DEMO's latest versions and all children before cleaning: every check finds something."""
+    demo = silver.latest_version(r.versions)
+    broken = F.col("primaryid").cast("bigint") % 100 == 0
+    demo = demo.withColumns(
+        {
+            "age_in_years": F.col("age").try_cast("double"),
+            "caseversion": F.when(~broken, F.col("caseversion")),
+            "primaryid": F.when(broken, "").otherwise(F.col("primaryid")),
+            "caseid": F.when(~broken, F.col("caseid")),
+        }
+    )
+    children = {t: r.raw[t] for t in CHILDREN}
+    children["drug"] = children["drug"].withColumns(
+        {"drugname": F.when(F.col("dose_amt") != "1", F.col("drugname")), "primaryid": F.nullif("primaryid", F.lit("1"))}
+    )
+    children["reac"] = children["reac"].withColumn("primaryid", F.nullif("primaryid", F.lit("1")))
+    return {"demo": demo} | children
 
 
 def suspect_samples(r: Reports) -> DataFrame:
@@ -182,6 +318,12 @@ QUERIES: dict[str, Callable[[Reports], DataFrame]] = {
     # Stored layers
     "bronze_ingest": bronze_ingest,
     "layer_run": layer_run,
+    **{f"bronze_rows_{t}": bronze_rows(t) for t in COLUMNS},
+    "changed_columns": changed_columns,
+    "quality_log": quality_log,
+    "stored_snapshot_diff": stored_snapshot_diff,
+    "drop_orphans_counts": drop_orphans_counts,
+    "sample_export_text": sample_export_text,
     # Silver
     "silver_demo": lambda r: r.loaded["demo"],
     "silver_drug": lambda r: r.child("drug"),
@@ -191,11 +333,12 @@ QUERIES: dict[str, Callable[[Reports], DataFrame]] = {
     "silver_ther": lambda r: r.child("ther"),
     "silver_indi": lambda r: r.child("indi"),
     "valid_children": valid_children,
-    "partition_scan": lambda r: of_quarter(r.raw["drug"], YEAR, NEW_QUARTER),
+    "partition_scan": partition_scan,
     # Upserts
     "merge_demo": lambda r: r.merged_demo,
     "merge_demo_stats": lambda r: merge.demo_merge_stats(r.actions),
     "merge_child": lambda r: r.merged_child("drug"),
+    **{f"merge_child_{t}": lambda r, t=t: r.merged_child(t) for t in CHILDREN if t != "drug"},
     "merge_child_with_orphans": lambda r: merge.merge_child(
         r.stored["drug"], r.batch["drug"], r.merged_demo
     ),
@@ -226,13 +369,15 @@ QUERIES: dict[str, Callable[[Reports], DataFrame]] = {
     # Quality
     "dq_checks": lambda r: r.dq,
     "dq_checks_unfiltered": lambda r: r.dq_unfiltered,
-    "dq_summary": lambda r: quality.verdict_counts(r.dq_unfiltered),
-    "dq_failures": lambda r: quality.with_result(r.dq_unfiltered, quality.FAIL),
+    "dq_checks_dirty": lambda r: r.dq_dirty,
+    "dq_summary": lambda r: quality.verdict_counts(r.dq_dirty),
+    "dq_failures": lambda r: quality.with_result(r.dq_dirty, quality.FAIL),
     "dq_warnings": lambda r: quality.with_result(r.dq_unfiltered, quality.WARN),
     "post_checks": lambda r: quality.post_checks(r.loaded),
     "post_checks_unfiltered": lambda r: quality.post_checks(r.unfiltered),
     # Profiles
     "layer_profile": lambda r: profile.layer_profile(r.raw),
+    "layer_profile_typed": lambda r: profile.layer_profile(r.unfiltered),
     "layer_deltas": lambda r: profile.layer_deltas(
         {"demo": r.versions} | {t: r.child(t) for t in CHILDREN}, r.loaded["demo"]
     ),

@@ -6,7 +6,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import tempfile
 import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
@@ -16,7 +15,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from casewatch.functions.statistics import Thresholds
 from casewatch.operators import merge, quality, signals
 from casewatch.operators.silver import clean_child, clean_demo, keep_valid
-from casewatch.schema import CHILDREN, COLUMNS, TABLES
+from casewatch.schema import CHILDREN, COLUMNS, TABLES, data_columns
 from casewatch.sources import files, raw, tables
 
 
@@ -41,11 +40,10 @@ class Layout:
 
 
 def read_quarter(spark: SparkSession, layout: Layout, year: str, quarter: str) -> dict[str, DataFrame]:
-    """Bronze rows of one quarter, for every table that was ingested."""
+    """Bronze rows of one quarter; a table that was never ingested has none."""
     return {
-        t: tables.of_quarter(tables.read_bronze(spark, f"{layout.bronze}/{t}"), year, quarter)
+        t: tables.of_quarter(tables.read_bronze_or_empty(spark, f"{layout.bronze}/{t}", t), year, quarter)
         for t in TABLES
-        if files.exists(spark, f"{layout.bronze}/{t}")
     }
 
 
@@ -69,22 +67,29 @@ def load_silver(
     written = {"demo": tables.write_version(clean_demo(bronze["demo"], as_of), layout.silver("demo"))}
     demo = tables.read_version(spark, layout.silver("demo"))
     for table in CHILDREN:
-        if table in bronze:
-            child = keep_valid(clean_child(table, bronze[table], as_of), demo)
-            written[table] = tables.write_version(child, layout.silver(table))
+        child = keep_valid(clean_child(table, bronze[table], as_of), demo)
+        written[table] = tables.write_version(child, layout.silver(table))
     return written
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """A new folder in the cluster's shared folder; a local one only where none is set."""
+    """A new folder in the cluster's shared folder, which must be set."""
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return f"{shared or tempfile.gettempdir()}/casewatch-{uuid.uuid4()}"
+    if not shared:
+        raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
+    return f"{shared}/casewatch-{uuid.uuid4()}"
 
 
-def write_raw(bronze: Mapping[str, DataFrame], layout: Layout, year: str, quarter: str) -> None:
-    """Writes the tables of one quarter as delimited text, each a folder of part files."""
+def write_raw(
+    bronze: Mapping[str, DataFrame], layout: Layout, year: str, quarter: str, all_columns: bool = False
+) -> None:
+    """Writes the tables of one quarter as delimited text, each a folder of part files.
+
+    The known columns are written, or with all_columns what the frames hold but lineage.
+    """
     for table in bronze:
-        rows = bronze[table].select(COLUMNS[table])
+        names = data_columns(bronze[table].columns) if all_columns else COLUMNS[table]
+        rows = bronze[table].select(names)
         name = f"{table.upper()}{year[-2:]}{quarter}.txt"
         raw.write_delimited(rows, f"{layout.raw(year, quarter)}/{name}")
 
@@ -100,22 +105,27 @@ def shared_checkpoints(spark: SparkSession, fallback: str) -> None:
         context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or fallback)
 
 
-def merge_demo_table(spark: SparkSession, layout: Layout, batch: DataFrame) -> dict[str, int]:
+def merge_demo_table(
+    spark: SparkSession, layout: Layout, batch: DataFrame, one_per_case: bool = False
+) -> dict[str, int]:
     """Upserts a cleaned DEMO batch and returns the row counts of the merge.
 
-    The decided batch is checkpointed: it feeds the counts, the replaced ids and
-    the written rows, and survives the loss of an executor.
+    Which case gets which action is checkpointed as two narrow columns: they feed the
+    counts, the replaced ids and the written rows, and survive the loss of an executor.
     """
     path = layout.silver("demo")
     if not tables.versions(spark, path):
-        tables.write_version(merge.merge_demo(None, batch), path)
+        tables.write_version(batch if one_per_case else merge.latest_version(batch), path)
         rows = tables.read_version(spark, path).count()
         return {"source_rows": rows, "inserted": rows, "matched": 0, "updated": 0, "unchanged": 0}
     shared_checkpoints(spark, f"{layout.root}/checkpoints")
     target = tables.read_version(spark, path)
-    actions = merge.demo_actions(target, batch).checkpoint()
-    tables.write_version(merge.apply_demo_actions(target, actions), path)
-    return merge.demo_merge_stats(actions).first().asDict()
+    source = batch if one_per_case else merge.latest_version(batch)
+    actions = merge.demo_actions(target, source, one_per_case=True)
+    decided = actions.select("caseid", "_action").checkpoint()
+    acted = source.join(decided, source["caseid"].eqNullSafe(decided["caseid"])).select(*(source[c] for c in source.columns), "_action")
+    tables.write_version(merge.apply_demo_actions(target, acted), path)
+    return merge.demo_merge_stats(decided).first().asDict()
 
 
 def merge_child_table(
@@ -144,11 +154,10 @@ def upsert_quarter(
     bronze = read_quarter(spark, layout, year, quarter)
     shared_checkpoints(spark, f"{layout.root}/checkpoints")
     demo = clean_demo(bronze["demo"], as_of).checkpoint()
-    stats = {"demo": merge_demo_table(spark, layout, demo)}
+    stats = {"demo": merge_demo_table(spark, layout, demo, one_per_case=True)}
     for table in CHILDREN:
-        if table in bronze:
-            batch = keep_valid(clean_child(table, bronze[table], as_of), demo)
-            stats[table] = merge_child_table(spark, layout, table, batch)
+        batch = keep_valid(clean_child(table, bronze[table], as_of), demo)
+        stats[table] = merge_child_table(spark, layout, table, batch)
     return stats
 
 

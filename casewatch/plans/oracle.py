@@ -115,6 +115,7 @@ def _base_tables() -> list[tuple[str, str]]:
         ctes.append((f"demo{suffix}", _finished(picked)))
     for t in CHILDREN:
         ctes.append((t, _child(t, f"raw_{t}")))
+        ctes.append((f"stored_q1_{t}", f"select * from {t} where _quarter = 'Q1' and primaryid in (select primaryid from demo_q1)"))
         for suffix, condition in (("", "true"), ("_q1", "_quarter = 'Q1'"), ("_q2", "_quarter = 'Q2'")):
             ctes.append(
                 (
@@ -125,6 +126,25 @@ def _base_tables() -> list[tuple[str, str]]:
     return ctes
 
 
+def _dirty_tables() -> list[tuple[str, str]]:
+    """Uncleaned tables with some keys blanked out, as the dirty quality run has them."""
+    blank = "cast(primaryid as bigint) % 100 = 0"
+    ctes = [
+        (
+            "dirty_demo",
+            f"select * replace (case when {blank} then '' else primaryid end as primaryid, "
+            f"case when not {blank} then caseid end as caseid, "
+            f"case when not {blank} then caseversion end as caseversion), age as age_in_years "
+            f"from versions qualify {LAST_VERSION}",
+        )
+    ]
+    changed = {
+        "drug": " replace (case when dose_amt <> '1' then drugname end as drugname, nullif(primaryid, '1') as primaryid)",
+        "reac": " replace (nullif(primaryid, '1') as primaryid)",
+    }
+    return ctes + [(f"dirty_{t}", f"select *{changed.get(t, '')} from raw_{t}") for t in CHILDREN]
+
+
 def _merge_tables() -> list[tuple[str, str]]:
     ctes = [
         (
@@ -190,8 +210,8 @@ def _score_tables(tag: str, drug: str, reac: str, prr: float, chi2: float, repor
         ),
         (
             f"gold{tag}",
-            "select drugname, pt, a::integer as report_count, b_::integer as drug_no_event, "
-            "c_::integer as event_no_drug, d_::integer as neither, "
+            "select drugname, pt, a::bigint as report_count, b_::bigint as drug_no_event, "
+            "c_::bigint as event_no_drug, d_::bigint as neither, "
             f"{exact_round('prr', 4)} as \"PRR\", {exact_round('ror', 4)} as \"ROR\", "
             f"{exact_round('lo', 4)} as \"ROR_95CI_lower\", {exact_round('hi', 4)} as \"ROR_95CI_upper\", "
             f"{exact_round('chi2', 4)} as chi2, is_signal from scored{tag}",
@@ -213,7 +233,7 @@ def _signal_tables() -> list[tuple[str, str]]:
         ),
         (
             "fatal",
-            "select s.drugname, s.pt, s.a::integer as total_reports, coalesce(x.death_reports, 0) as death_reports, "
+            "select s.drugname, s.pt, s.a::bigint as total_reports, coalesce(x.death_reports, 0) as death_reports, "
             f"{exact_round('prr', 2)} as \"PRR\", {exact_round('ror', 2)} as \"ROR\" from scored s "
             "left join deaths x on s.drugname = x.drugname and s.pt = x.pt "
             "where s.is_signal and coalesce(x.death_reports, 0) > 0",
@@ -335,6 +355,30 @@ def _profile(table: str) -> str:
     )
 
 
+def _stored(table: str) -> str:
+    """Rows as they come back from text files, where blank text is NULL."""
+    items = cols([f"nullif({c}, '') as {c}" for c in COLUMNS[table]] + PARTITIONS)
+    return f"select {items} from raw_{table}"
+
+
+# Data columns of the cleaned tables that are no text, and those that cleaning adds.
+TYPED = {
+    "demo": (["caseversion", "age", "wt", "event_dt_parsed", "age_in_years"], 2),
+    "drug": (["drug_seq"], 0),
+    "ther": (["dsg_drug_seq", "start_dt_parsed", "end_dt_parsed"], 2),
+    "indi": (["indi_drug_seq"], 0),
+}
+
+
+def _typed_profile(table: str) -> str:
+    names, added = TYPED.get(table, ([], 0))
+    source = "demo_all" if table == "demo" else table
+    return (
+        f"select '{table.upper()}' as table_name, count(*) as rows, {len(COLUMNS[table]) + added}::integer as data_columns, "
+        f"'{','.join(names)}' as non_string, count(distinct (_year, _quarter)) as partitions from {source}"
+    )
+
+
 def _deltas() -> str:
     rows = ["select 'DEMO' as table_name, (select count(*) from versions) as rows_before, (select count(*) from demo) as rows_after"]
     rows += [
@@ -346,7 +390,7 @@ def _deltas() -> str:
 def _known() -> str:
     values = ", ".join(f"('{d}', '{e}')" for d, e in KNOWN)
     return (
-        f"select k.drug, k.event, s.a is not null as found, s.a::integer as report_count, "
+        f"select k.drug, k.event, s.a is not null as found, s.a::bigint as report_count, "
         f"{exact_round('prr', 2)} as \"PRR\", {exact_round('ror', 2)} as \"ROR\", "
         f"{exact_round('chi2', 2)} as chi2, s.is_signal "
         f"from (values {values}) k(drug, event) left join scored s on s.drugname = k.drug and s.pt = k.event"
@@ -364,7 +408,7 @@ def _sample_export() -> str:
 
 def _top_signals(order: str, n: int) -> str:
     return (
-        "select * from (select drugname, pt, a::integer as report_count, "
+        "select * from (select drugname, pt, a::bigint as report_count, "
         f"{exact_round('prr', 2)} as \"PRR\", {exact_round('ror', 2)} as \"ROR\", "
         f"{exact_round('lo', 2)} as \"ROR_95CI_lower\", {exact_round('hi', 2)} as \"ROR_95CI_upper\", "
         f"{exact_round('chi2', 2)} as chi2 from scored where is_signal) order by {order} limit {n}"
@@ -394,13 +438,15 @@ def _final_selects() -> dict[str, str]:
         "occr_country, mfr_sndr, occp_cod, _year, _quarter, event_dt_parsed, age_in_years"
     )
     selects = {f"silver_{t}": f"select * from {t}" for t in CHILDREN}
+    selects |= {f"merge_child_{t}": f"select * from merged_{t}" for t in CHILDREN if t != "drug"}
+    selects |= {f"bronze_rows_{t}": _stored(t) for t in TABLES}
     selects |= {
         "silver_demo": f"select {demo_columns} from demo",
         "valid_children": " union all ".join(
             f"select primaryid, count(*) as rows, '{t}' as table_name from valid_{t} group by primaryid"
             for t in CHILDREN
         ),
-        "partition_scan": "select * from raw_drug where _year = '2024' and _quarter = 'Q2'",
+        "partition_scan": f"{_stored('drug')} where _year = '2024' and _quarter = 'Q2'",
         "merge_demo": f"select {demo_columns} from merged",
         "merge_demo_stats": (
             "select count(*) as source_rows, count(*) filter (act = 'inserted') as inserted, "
@@ -408,6 +454,12 @@ def _final_selects() -> dict[str, str]:
             "count(*) filter (act = 'unchanged') as unchanged from actions"
         ),
         "merge_child": "select * from merged_drug",
+        "stored_snapshot_diff": (
+            "select (select count(*) from demo_q1) as rows_before, (select count(*) from merged) as rows_after, "
+            "(select count(*) from merged) - (select count(*) from demo_q1) as net_new_rows, "
+            "(select count(*) from (select caseid from merged except select caseid from demo_q1)) as new_cases, "
+            "(select count(*) from (select caseid from demo_q1 except select caseid from merged)) as lost_cases"
+        ),
         "merge_child_with_orphans": (
             "select * from valid_drug_q1 where primaryid not in "
             "(select primaryid from valid_drug_q2 where primaryid in (select primaryid from merged)) "
@@ -464,8 +516,31 @@ def _final_selects() -> dict[str, str]:
         "known_pairs": _known(),
         "dq_checks": _dq("demo", "valid_"),
         "dq_checks_unfiltered": _dq("demo_all", ""),
-        "dq_summary": f"select result, count(*) as count from ({_dq('demo_all', '')}) group by result",
-        "dq_failures": f"select * from ({_dq('demo_all', '')}) where result = 'FAIL'",
+        "dq_checks_dirty": _dq("dirty_demo", "dirty_"),
+        "dq_summary": f"select result, count(*) as count from ({_dq('dirty_demo', 'dirty_')}) group by result",
+        "dq_failures": f"select * from ({_dq('dirty_demo', 'dirty_')}) where result = 'FAIL'",
+        "quality_log": (
+            f"select * replace ('Q1' as run_label) from ({_dq('demo_q1', 'stored_q1_')}) "
+            f"union all select * from ({_dq('merged', 'merged_')})"
+        ),
+        "changed_columns": (
+            "select 'demo' as table_name, primaryid, "
+            "case when _quarter = 'Q1' then occr_country end as occr_country, "
+            "case when _quarter = 'Q2' then 'A' || primaryid end as added from merged "
+            "union all select 'reac', primaryid, null, case when _quarter = 'Q2' then 'X' end from merged_reac"
+        ),
+        "drop_orphans_counts": " union all ".join(
+            f"select '{t}' as table_name, count(*) as before, "
+            f"count(*) filter (primaryid in (select primaryid from demo_q1)) as after, "
+            f"count(*) filter (primaryid not in (select primaryid from demo_q1)) as removed "
+            f"from {t} where _quarter = 'Q1'"
+            for t in CHILDREN
+        ),
+        "sample_export_text": (
+            "select primaryid, nullif(pt, '') as pt from raw_reac "
+            "where primaryid in (select primaryid from raw_demo order by primaryid limit 200)"
+        ),
+        "layer_profile_typed": " union all ".join(_typed_profile(t) for t in TABLES),
         "dq_warnings": f"select * from ({_dq('demo_all', '')}) where result = 'WARN'",
         "post_checks": _post_checks("demo", "valid_"),
         "post_checks_unfiltered": _post_checks("demo_all", ""),
@@ -519,7 +594,7 @@ def _final_selects() -> dict[str, str]:
 
 
 def oracle_sql() -> dict[str, str]:
-    ctes = [*_base_tables(), *_merge_tables(), *_signal_tables()]
+    ctes = [*_base_tables(), *_dirty_tables(), *_merge_tables(), *_signal_tables()]
     bodies = dict(ctes)
 
     def needed(sql: str) -> set[str]:

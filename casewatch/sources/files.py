@@ -21,3 +21,27 @@ def names(spark: SparkSession, path: str) -> list[str]:
     if not fs.exists(hadoop_path):
         return []
     return sorted(status.getPath().getName() for status in fs.listStatus(hadoop_path))
+
+
+def leaves(spark: SparkSession, path: str) -> list[str]:
+    """The data files at a path: the file itself, or those directly in a folder."""
+    hadoop_path, fs = _open(spark, path)
+    found = (status.getPath() for status in fs.listStatus(hadoop_path))
+    return sorted(p.toString() for p in found if not p.getName().startswith(("_", ".")))
+
+
+def first_line(spark: SparkSession, path: str, encoding: str) -> str | None:
+    """The first line of a file; None when it is empty."""
+    hadoop_path, fs = _open(spark, path)
+    java = spark._jvm.java.io
+    reader = java.BufferedReader(java.InputStreamReader(fs.open(hadoop_path), encoding))
+    try:
+        return reader.readLine()
+    finally:
+        reader.close()
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Removes a file or a folder with all it holds; nothing when it does not exist."""
+    hadoop_path, fs = _open(spark, path)
+    fs.delete(hadoop_path, True)

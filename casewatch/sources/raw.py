@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from casewatch.schema import COLUMNS, PARTITIONS, TABLES
+from casewatch.schema import COLUMNS, PARTITIONS, TABLES, raw_schema
 from casewatch.sources import files
 
 # The text format of the source files.
@@ -24,45 +26,46 @@ def table_files(spark: SparkSession, raw_dir: str, table: str) -> list[str]:
     ]
 
 
-def needs_whole_file(spark: SparkSession, path: str) -> bool:
-    """Whether a line-by-line parse might differ from a whole-file parse.
+# A line all of whose quoted fields are closed; a quote inside a bare field is text.
+_FIELD = r'(?:"(?:[^"\\]|"")*+"|[^"$][^$]*+|)'
+CLOSED_LINE = rf"^{_FIELD}(?:\${_FIELD})*+\r?\z"
+
+
+def whole_files(spark: SparkSession, paths: list[str]) -> set[str]:
+    """Those of the files that a line-by-line parse might read differently.
 
-    An odd number of quotes, or a quote with an escape, may leave a field open over
-    the line end. Lone carriage returns, mixed line ends and blank lines are read
-    differently too. One distributed scan of the text decides.
+    A field that opens with a quote may go on over the line end. Escapes, lone carriage
+    returns, mixed line ends and blank lines are read differently too. One distributed
+    scan over all files decides, with one row per file as its result.
     """
     line = F.col("value")
     bare = F.replace(line, F.lit("\r"), F.lit(""))
     ends = line.endswith("\r")
-    quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
+    quoted = line.contains('"')
     doubtful = (
-        (quotes % 2 == 1)
-        | ((quotes > 0) & line.contains("\\"))
+        (quoted & (line.contains("\\") | ~line.rlike(CLOSED_LINE)))
         | (F.length(line) - F.length(bare) > F.when(ends, 1).otherwise(0))
         | bare.rlike(r"^\s+$")
     )
-    lines = spark.read.option("lineSep", "\n").text(path)
-    seen = lines.agg(
-        F.coalesce(F.bool_or(doubtful), F.lit(False)).alias("doubtful"),
-        F.count_if(ends).alias("returns"),
-        F.count("*").alias("lines"),
-    ).first()
-    return seen.doubtful or seen.returns not in (0, seen.lines)
+    lines = spark.read.option("lineSep", "\n").text(paths)
+    seen = lines.groupBy(F.col("_metadata.file_path").alias("path")).agg(
+        F.bool_or(doubtful).alias("doubtful"), F.count_if(ends).alias("returns"), F.count("*").alias("lines")
+    )
+    return {_plain(r.path) for r in seen.collect() if r.doubtful or r.returns not in (0, r.lines)}
 
 
-def read_file(
-    spark: SparkSession, path: str, multi_line: bool | None = None, quote: str = '"'
-) -> DataFrame:
-    """One delimited file, all columns strings, names from its header.
+def _plain(path: str) -> str:
+    """A path without percent-encoding and without its scheme's empty authority."""
+    return re.sub(r"^file:/+", "file:/", unquote(path))
 
-    Line breaks inside quoted fields need a whole-file parse, which Spark cannot
-    split. With multi_line=None the file is scanned for such fields first, and
-    only a file that may have some is read in one task; others are split.
-    """
-    if multi_line is None:
-        multi_line = needs_whole_file(spark, path)
+
+def needs_whole_file(spark: SparkSession, path: str) -> bool:
+    return bool(whole_files(spark, [path]))
+
+
+def _read(spark: SparkSession, paths: list[str], multi_line: bool, quote: str) -> DataFrame:
     return spark.read.csv(
-        path,
+        paths,
         sep=SEPARATOR,
         header=True,
         inferSchema=False,
@@ -73,14 +76,50 @@ def read_file(
     )
 
 
+def read_file(
+    spark: SparkSession, path: str, multi_line: bool | None = None, quote: str = '"'
+) -> DataFrame:
+    """One delimited file, all columns strings, names from its header.
+
+    Line breaks inside quoted fields need a whole-file parse, which Spark cannot
+    split. With multi_line=None the file is scanned for such fields first, and
+    only a file that may have some is read in one task; others are split. An empty
+    quote takes quotes for text, so that every file is split.
+    """
+    if multi_line is None:
+        multi_line = bool(quote) and needs_whole_file(spark, path)
+    return _read(spark, [path], multi_line, quote)
+
+
+def read_files(
+    spark: SparkSession, paths: list[str], multi_line: bool | None = None, quote: str = '"'
+) -> list[DataFrame]:
+    """Frames that together hold all files: one for each header and way of parsing.
+
+    However many files there are, they are examined by one job and read by as many
+    scans as there are different headers, or twice as many if some files need a
+    whole-file parse. Files without a line hold nothing.
+    """
+    found = [leaf for path in paths for leaf in files.leaves(spark, path)]
+    whole = set(map(_plain, found)) if multi_line else set()
+    if multi_line is None and quote and found:
+        whole = whole_files(spark, found)
+    groups: dict[tuple[str, bool], list[str]] = {}
+    for leaf in found:
+        header = files.first_line(spark, leaf, ENCODING)
+        if header is not None:
+            groups.setdefault((header, _plain(leaf) in whole), []).append(leaf)
+    return [_read(spark, group, multi, quote) for (_, multi), group in groups.items()]
+
+
 def _with_table_columns(df: DataFrame, table: str) -> DataFrame:
-    """The known columns first (NULL when the file lacks one), then any others."""
+    """The known columns first (NULL when the file lacks one), then any others, in lower case."""
     found = {c.lower(): c for c in df.columns}
     known = [
         F.col(found[c]).alias(c) if c in found else F.lit(None).cast("string").alias(c)
         for c in COLUMNS[table]
     ]
-    return df.select(*known, *(c for c in df.columns if c.lower() not in COLUMNS[table]))
+    return df.select(*known, *(F.col(c).alias(low) for low, c in found.items() if low not in COLUMNS[table]))
 
 
 def bronze_rows(
@@ -91,16 +130,16 @@ def bronze_rows(
     quarter: str,
     multi_line: bool | None = None,
 ) -> DataFrame:
-    """All files of one table and quarter, with lineage columns."""
+    """All files of one table and quarter, with lineage columns; no files give no rows."""
 
-    def stamped(path: str) -> DataFrame:
-        source = read_file(spark, path, multi_line)
+    def stamped(source: DataFrame) -> DataFrame:
         named = source.withColumn("_source_file", F.col("_metadata.file_name"))
         return _with_table_columns(named, table)
 
-    rows = reduce(
-        lambda left, right: left.unionByName(right, allowMissingColumns=True), map(stamped, paths)
-    )
+    frames = [stamped(df) for df in read_files(spark, paths, multi_line)]
+    if not frames:
+        return spark.createDataFrame([], raw_schema(table))
+    rows = reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), frames)
     return rows.withColumns(
         {
             "_ingestion_ts": F.current_timestamp(),
@@ -110,19 +149,23 @@ def bronze_rows(
     )
 
 
-def write_bronze(rows: DataFrame, path: str) -> int:
-    """Replaces the quarters present in `rows` and returns the row count.
+def quarter_folder(path: str, year: str, quarter: str) -> str:
+    return f"{path}/{PARTITIONS[0]}={year}/{PARTITIONS[1]}={quarter}"
+
 
-    Ingesting a quarter again replaces it; other quarters stay. The count is
-    observed during the write, so the text is parsed once.
+def write_bronze(rows: DataFrame, path: str, year: str, quarter: str) -> int:
+    """Replaces one quarter of a Bronze table and returns the row count.
+
+    The quarter's folder is named, not taken from the rows, so that no rows replace the
+    old ones too. Other quarters stay. The count is observed during the write, so the
+    text is parsed once.
     """
     written = Observation()
     (
-        rows.observe(written, F.count("*").alias("rows"))
+        rows.drop(*PARTITIONS)
+        .observe(written, F.count("*").alias("rows"))
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*PARTITIONS)
-        .parquet(path)
+        .parquet(quarter_folder(path, year, quarter))
     )
     return written.get["rows"]
 
@@ -135,21 +178,32 @@ def ingest_quarter(
     quarter: str,
     multi_line: bool | None = None,
 ) -> dict[str, int]:
-    """Rows written per table; 0 for a table without a file, {} without a directory."""
+    """Rows written per table; 0 for a table without a file, {} without a directory.
+
+    A table whose files have gone since the last ingest of the quarter loses that
+    quarter's rows.
+    """
     if not files.exists(spark, raw_dir):
         return {}
     counts = {}
     for table in TABLES:
-        paths = table_files(spark, raw_dir, table)
+        paths, target = table_files(spark, raw_dir, table), f"{bronze_dir}/{table}"
         counts[table] = 0
-        if paths:
+        if paths or files.exists(spark, quarter_folder(target, year, quarter)):
             rows = bronze_rows(spark, paths, table, year, quarter, multi_line)
-            counts[table] = write_bronze(rows, f"{bronze_dir}/{table}")
+            counts[table] = write_bronze(rows, target, year, quarter)
     return counts
 
 
 def write_delimited(df: DataFrame, path: str) -> None:
-    """Text with the separator and header of the source files; NULL is empty."""
+    """Text with the separator and header of the source files; NULL is empty, blanks stay."""
     df.write.mode("overwrite").csv(
-        path, sep=SEPARATOR, header=True, encoding=ENCODING, nullValue="", emptyValue=""
+        path,
+        sep=SEPARATOR,
+        header=True,
+        encoding=ENCODING,
+        nullValue="",
+        emptyValue="",
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
     )

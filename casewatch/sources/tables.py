@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
-from casewatch.schema import PARTITIONS
+from casewatch.schema import PARTITIONS, raw_schema
 from casewatch.sources import files
 
 _PREFIX = "version="
@@ -29,21 +29,30 @@ def read_version(spark: SparkSession, path: str, version: int | None = None) ->
     return spark.read.parquet(f"{path}/{_PREFIX}{version}")
 
 
-def write_version(df: DataFrame, path: str) -> int:
+def write_version(df: DataFrame, path: str, keep_versions: int | None = None) -> int:
     """Writes df as the table's next version and returns its number.
 
-    df may read the table's current version. Its schema replaces the old one.
+    df may read the table's current version. Its schema replaces the old one. All
+    versions are kept unless keep_versions says how many finished ones stay; frames
+    that still read a removed version fail.
     """
-    taken = [int(n[len(_PREFIX) :]) for n in files.names(df.sparkSession, path) if n.startswith(_PREFIX)]
+    spark = df.sparkSession
+    taken = [int(n[len(_PREFIX) :]) for n in files.names(spark, path) if n.startswith(_PREFIX)]
     version = max(taken, default=0) + 1
     df.write.mode("errorifexists").parquet(f"{path}/{_PREFIX}{version}")
+    if keep_versions is not None:
+        for old in versions(spark, path)[: -max(1, keep_versions)]:
+            files.delete(spark, f"{path}/{_PREFIX}{old}")
     return version
 
 
-def read_bronze(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
+def read_bronze(spark: SparkSession, path: str, merge_schema: bool = True) -> DataFrame:
     """A partitioned Bronze table with its year and quarter as text.
 
-    Spark would infer a number for the year, so the schema is stated.
+    Quarters may differ in their columns: all are found, with NULL where a quarter
+    lacks one, which reads the footers of all files in a distributed job. Without
+    merge_schema the columns of one file are taken. Spark would infer a number for the
+    year, so the schema is stated.
     """
     found = spark.read.option("mergeSchema", merge_schema).parquet(path).schema
     texts = [
@@ -52,6 +61,13 @@ def read_bronze(spark: SparkSession, path: str, merge_schema: bool = False) -> D
     return spark.read.schema(T.StructType(texts)).parquet(path)
 
 
+def read_bronze_or_empty(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """`read_bronze`, or no rows of the table's layout where it was never ingested."""
+    if files.exists(spark, path):
+        return read_bronze(spark, path)
+    return spark.createDataFrame([], raw_schema(table))
+
+
 def of_quarter(bronze: DataFrame, year: str, quarter: str) -> DataFrame:
     """Rows of one quarter; on a Bronze table only its partition is read."""
     return bronze.filter((bronze["_year"] == year) & (bronze["_quarter"] == quarter))

@@ -92,7 +92,7 @@ def main():
     con = connect(sf_dir)
     queries, sqls = e.queries(), e.oracle_sql()
     bad = 0
-    for name in sys.argv[2:] or queries:
+    for name in sys.argv[2:] or [q for q in queries if q in sqls]:
         start = time.time()
         try:
             problem = compare(spark, con, name, queries[name], sqls[name], sf_dir)

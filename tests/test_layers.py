@@ -4,6 +4,7 @@ import datetime as dt
 
 import pytest
 from frames import rows
+from pyspark.sql import functions as F
 
 from casewatch.operators import merge, quality, signals, silver
 from casewatch.plans import layers
@@ -42,9 +43,10 @@ def test_two_quarters(spark, project):
     demo, children = expected_merge(spark)
     stored = layers.read_silver(spark, project)
     assert rows(stored["demo"], *demo.columns) == rows(demo)
-    for t in ("drug", "rpsr"):
+    for t in CHILDREN:
         # Blank text comes back from the files as NULL.
-        assert rows(stored[t], "primaryid") == rows(children[t], "primaryid")
+        kept = children[t].select(*(F.nullif(c, F.lit("")).alias(c) if k == "string" else c for c, k in children[t].dtypes))
+        assert rows(stored[t], *kept.columns) == rows(kept)
     assert stats["demo"]["source_rows"] == sum(stats["demo"][k] for k in ("inserted", "updated", "unchanged"))
     assert stats["drug"]["after"] == stored["drug"].count()
     assert quality.post_checks(stored).filter("result <> 'PASS'").isEmpty()
@@ -54,8 +56,12 @@ def test_two_quarters(spark, project):
     assert rows(layers.read_silver(spark, project)["demo"]) == rows(stored["demo"])
     assert again["drug"]["after"] == stats["drug"]["after"]
 
+    for t in CHILDREN:
+        planted = stored[t].limit(3).withColumn("primaryid", F.lit("no such report"))
+        tables.write_version(stored[t].unionByName(planted), project.silver(t))
     removed = layers.drop_orphans(spark, project)
-    assert {t: s["removed"] for t, s in removed.items()} == {t: 0 for t in CHILDREN}
+    assert {t: s["removed"] for t, s in removed.items()} == {t: 3 for t in CHILDREN}
+    stored = layers.read_silver(spark, project)
 
     layers.build_gold(spark, project, "run 1")
     gold = tables.read_version(spark, project.gold("drug_event_contingency"))
@@ -85,6 +91,37 @@ def test_merge_of_an_empty_batch(spark, project):
     assert layers.merge_demo_table(spark, project, layers.read_silver(spark, project)["demo"].limit(0))["inserted"] == 0
 
 
+def test_tables_that_were_never_ingested_are_empty(spark, tmp_path):
+    layout = layers.Layout(str(tmp_path))
+    source = raw_tables(spark, SF)
+    layers.write_raw({t: source[t] for t in ("demo", "reac")}, layout, "2024", "Q1")
+    layers.ingest(spark, layout, "2024", "Q1")
+    assert layers.load_silver(spark, layout, "2024", "Q1", AS_OF) == {t: 1 for t in TABLES}
+    layers.build_gold(spark, layout, "r")
+    assert layers.log_quality(spark, layout, "r").count() == 30
+    assert tables.read_version(spark, layout.gold("drug_event_contingency")).count() == 0
+    assert set(layers.upsert_quarter(spark, layout, "2024", "Q1", AS_OF)) == set(TABLES)
+
+
+class _Unset:
+    """A session without a shared folder."""
+
+    class conf:
+        @staticmethod
+        def get(key, default):
+            return default
+
+    class sparkContext:
+        @staticmethod
+        def getCheckpointDir():
+            return None
+
+
+def test_an_unset_shared_folder_is_refused():
+    with pytest.raises(ValueError):
+        layers.scratch_folder(_Unset)
+
+
 def test_scratch_and_checkpoints_follow_the_cluster_setting(spark, tmp_path):
     shared = spark.conf.get("spark.checkpoint.dir")
     assert layers.scratch_folder(spark).startswith(f"{shared}/")

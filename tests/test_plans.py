@@ -64,29 +64,59 @@ def test_counts_share_their_exchanges(spark, stored, no_broadcast):
     assert not re.search(r"hashpartitioning\(primaryid#\d+, drugname#\d+, pt", final)
 
 
-def test_orphan_filter_splits_a_hot_report(spark, no_broadcast):
-    """The child and DEMO both hold a report with a third of their rows."""
-    child = spark.range(0, 30000, 1, 8).selectExpr(
-        "if(id % 3 = 0, 'hot', cast(id as string)) primaryid", "concat('row ', id) x"
-    )
-    demo = child.select("primaryid")
+@pytest.fixture()
+def small_partitions(spark):
+    """Partitions of a few KB already count as skewed."""
     settings = {
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4KB",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB",
+        # a partition is split by the map tasks that it comes from, so several are needed
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB",
     }
     for k, v in settings.items():
         spark.conf.set(k, v)
-    try:
-        kept = silver.keep_valid(child, demo)
-        assert len(kept.collect()) == 30000
-        assert "SortMergeJoin(skew=true) [primaryid" in plan(kept)
-        refreshed = merge.refresh_child(child, child.filter("primaryid <> 'hot'"), demo)
-        assert len(refreshed.collect()) == 30000
-        assert "SortMergeJoin(skew=true) [primaryid" in plan(refreshed)
-    finally:
-        for k in settings:
-            spark.conf.unset(k)
+    yield
+    for k in settings:
+        spark.conf.unset(k)
+
+
+def hot_rows(spark, n, *columns):
+    """n rows, a third of them of one report."""
+    key = "if(id % 3 = 0, 'hot', cast(id % 1000 as string)) primaryid"
+    return spark.range(0, n, 1, 8).selectExpr(key, *columns)
+
+
+def test_orphan_filter_splits_a_hot_report(spark, no_broadcast, small_partitions):
+    """The child and DEMO both hold a report with a third of their rows."""
+    child = hot_rows(spark, 30000, "concat('row ', id) x")
+    demo = child.select("primaryid")
+    kept = silver.keep_valid(child, demo)
+    assert len(kept.collect()) == 30000
+    assert "SortMergeJoin(skew=true) [primaryid" in plan(kept)
+    refreshed = merge.refresh_child(child, child.filter("primaryid <> 'hot'"), demo)
+    assert len(refreshed.collect()) == 30000
+    assert "SortMergeJoin(skew=true) [primaryid" in plan(refreshed)
+
+
+@pytest.mark.parametrize("n_drugs,n_events", [(30000, 60), (60, 30000)])
+def test_hot_report_is_split(spark, no_broadcast, small_partitions, n_drugs, n_events):
+    """Pairs, the totals of the hot side and deaths split a report with very many rows."""
+    drug = hot_rows(spark, n_drugs, "'PS' role_cod", "concat('drug ', id) drugname")
+    reac = hot_rows(spark, n_events, "concat('event ', id) pt")
+    outc = spark.createDataFrame([("hot", "DE"), ("1", "DE"), ("x", "DE")], "primaryid string, outc_cod string")
+    counts = signals.count_reports(drug, reac)
+    assert counts.count() == counts.select("drugname", "pt").distinct().count()
+    counts.collect()
+    joins = re.findall(r"SortMergeJoin(?:\(skew=true\))? \[primaryid[^\n]*", plan(counts))
+    assert sum("skew=true" in j for j in joins) >= 2 and any("skew=true" in j and "LeftSemi" in j for j in joins)
+    deaths = signals.death_reports(drug, reac, outc)
+    deaths.collect()
+    text = plan(deaths).split("Initial Plan")[0]  # the final plan; it has no subqueries
+    joins = re.findall(r"SortMergeJoin(?:\(skew=true\))? \[primaryid[^\n]*", text)
+    assert len(joins) == 2 and "skew=true" in joins[0]
+    assert n_drugs < n_events or "skew=true" in joins[1]
+    assert "REPARTITION" not in text
 
 
 def test_stored_rows_move_once_in_an_upsert(spark, stored, no_broadcast):
@@ -106,8 +136,7 @@ def test_demo_upsert_joins_two_columns_of_the_target(spark, stored, no_broadcast
 
 def test_quality_scans_each_table_few_times(spark, stored):
     text = plan(quality.run_checks(stored))
-    # One scan for its own checks, one narrow scan for the id census (DEMO: also caseid).
-    assert text.count("FileScan") <= 2 * 7 + 1
+    assert text.count("FileScan") == 7 and text.count("Exchange hashpartitioning") == 1
     assert "Join" not in text
 
 

@@ -85,3 +85,10 @@ def test_post_checks(spark):
     clean = silver(spark)
     clean = {t: df.filter("primaryid = '1'") for t, df in clean.items()}
     assert quality.post_checks(clean).filter(F.col("result") != "PASS").isEmpty()
+
+
+def test_line_breaks_are_counted_beside_the_report(spark):
+    tables = silver(spark)
+    tables["reac"] = strings(spark, ["primaryid", "pt"], [("1", "a\nb"), ("2", "c"), ("3", None), ("4", "x\r")])
+    found = {r.table_name: r.n for r in quality.broken_lines(tables).collect()}
+    assert found == {t.upper(): 2 if t == "reac" else 0 for t in tables}

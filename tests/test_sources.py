@@ -62,6 +62,63 @@ def test_quote_option_keeps_unbalanced_quotes(spark, tmp_path):
     assert rows(raw.read_file(spark, path, multi_line=False, quote="")) == [("1", '"open'), ("2", "b")]
 
 
+def test_a_stray_quote_leaves_a_file_splittable(spark, tmp_path):
+    body = "".join(f"{i}$drug number {i} {'x' * 80}\n" for i in range(40_000)) + '9$5" pipe\n'
+    path = write(tmp_path / "a.txt", "primaryid$drugname\n" + body)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+    try:
+        df = raw.read_file(spark, path)
+        assert not raw.needs_whole_file(spark, path) and df.rdd.getNumPartitions() > 1
+        assert rows(df) == rows(raw.read_file(spark, path, multi_line=True))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_files_are_scanned_together(spark, tmp_path):
+    """The plan grows with different headers, not with files."""
+    for i in range(6):
+        write(tmp_path / f"reac{i}.txt", f"primaryid$pt\n{i}$a\n")
+    write(tmp_path / "reac6b.txt", 'PT$primaryid\n"two\nlines"$6\n')
+    write(tmp_path / "reac7.txt", "")
+    paths = raw.table_files(spark, str(tmp_path), "reac")
+    assert len(raw.read_files(spark, paths)) == 2
+    df = raw.bronze_rows(spark, paths, "reac", "2024", "Q1")
+    assert rows(df, "primaryid", "pt", "_source_file") == [(str(i), "a", f"reac{i}.txt") for i in range(6)] + [
+        ("6", "two\nlines", "reac6b.txt")
+    ]
+
+
+def test_an_empty_or_vanished_file_replaces_its_quarter(spark, tmp_path):
+    make_raw(tmp_path / "raw", drug_names=("a", "b"))
+    out, source = str(tmp_path / "bronze"), str(tmp_path / "raw")
+    for quarter in ("Q1", "Q2"):
+        raw.ingest_quarter(spark, source, out, "2024", quarter)
+    write(tmp_path / "raw" / "DRUG24Q1.txt", "primaryid$drug_seq$role_cod$drugname\n")
+    os.remove(tmp_path / "raw" / "drug24q1_more.txt")
+    os.remove(tmp_path / "raw" / "DEMO24Q1.txt")
+    counts = raw.ingest_quarter(spark, source, out, "2024", "Q1")
+    assert counts["drug"] == counts["demo"] == 0
+    for table, kept in (("drug", 3), ("demo", 1)):
+        stored = tables.read_bronze(spark, f"{out}/{table}")
+        assert tables.of_quarter(stored, "2024", "Q1").count() == 0
+        assert tables.of_quarter(stored, "2024", "Q2").count() == kept
+
+
+def test_columns_of_all_quarters_are_read(spark, tmp_path):
+    for quarter, text in (("Q1", "primaryid$pt\n1$a\n"), ("Q2", "primaryid$pt$Drug_Rec_Act\n2$b$x\n")):
+        write(tmp_path / quarter / "REAC.txt", text)
+        raw.ingest_quarter(spark, str(tmp_path / quarter), str(tmp_path / "bronze"), "2024", quarter)
+    stored = tables.read_bronze(spark, str(tmp_path / "bronze" / "reac"))
+    assert rows(stored, "primaryid", "pt", "drug_rec_act") == [("1", "a", None), ("2", "b", "x")]
+
+
+def test_old_versions_can_be_removed(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for i in range(4):
+        tables.write_version(strings(spark, ["a"], [(str(i),)]), path, keep_versions=2)
+    assert tables.versions(spark, path) == [3, 4]
+
+
 def test_table_files_by_prefix(spark, tmp_path):
     for name in ("DEMO24Q1.txt", "demo24q2.TXT", "DEMO.csv", "DRUG24Q1.txt"):
         write(tmp_path / name, PLAIN)
@@ -106,8 +163,8 @@ def test_ingest_without_directory(spark, tmp_path):
 def test_partition_filter_reads_one_quarter(spark, tmp_path):
     rows_ = [{"primaryid": "1", "pt": "x"}]
     path = str(tmp_path / "reac")
-    raw.write_bronze(bronze(spark, "reac", rows_, quarter="Q1"), path)
-    raw.write_bronze(bronze(spark, "reac", rows_ * 2, quarter="Q2"), path)
+    raw.write_bronze(bronze(spark, "reac", rows_, quarter="Q1"), path, "2024", "Q1")
+    raw.write_bronze(bronze(spark, "reac", rows_ * 2, quarter="Q2"), path, "2024", "Q2")
     q2 = tables.of_quarter(tables.read_bronze(spark, path), "2024", "Q2")
     assert q2.count() == 2
     assert len(q2.inputFiles()) > 0 and "PushedFilters: []" in plan(q2)
