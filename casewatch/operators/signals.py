@@ -7,6 +7,8 @@ multiply in the join, and the join's inputs are direct exchanges that AQE may sp
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from casewatch.functions import statistics as stats
@@ -293,12 +295,26 @@ def fatal_signals(scored: DataFrame, deaths: DataFrame, n: int | None = 20) -> D
     return fatal if n is None else fatal.orderBy(F.desc("death_reports"), "drugname", "pt").limit(n)
 
 
-def known_pairs(scored: DataFrame, known: list[tuple[str, str]]) -> DataFrame:
+# Drug and reaction pairs that are well known to be signals.
+KNOWN_SIGNALS = (
+    ("METFORMIN", "LACTIC ACIDOSIS"),
+    ("WARFARIN", "HAEMORRHAGE"),
+    ("METHOTREXATE", "PANCYTOPENIA"),
+    ("ISOTRETINOIN", "DEPRESSION"),
+    ("INFLIXIMAB", "TUBERCULOSIS"),
+    ("SIMVASTATIN", "RHABDOMYOLYSIS"),
+    ("ATORVASTATIN", "RHABDOMYOLYSIS"),
+)
+
+
+def known_pairs(
+    scored: DataFrame, known: Sequence[tuple[str, str]] = KNOWN_SIGNALS
+) -> DataFrame:
     """Looks a short list of (drug, event) names up; absent ones have found = false.
 
     The names also filter the scored table, which Catalyst pushes into the scans.
     """
-    names = scored.sparkSession.createDataFrame(known, "drug string, event string")
+    names = scored.sparkSession.createDataFrame(list(known), "drug string, event string")
     drugs, events = (sorted(set(side)) for side in zip(*known))
     hits = scored.filter(F.upper("drugname").isin(drugs) & F.upper("pt").isin(events))
     matched = hits.select(
