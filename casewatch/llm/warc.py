@@ -38,7 +38,7 @@ PAGE_URN = "urn:x-page:"
 
 LINES_PER_BLOCK, LEVEL, FILE_BYTES, READ_BYTES = 3000, 4, 1 << 30, 32 << 20
 
-CAPTURES = "key string, page_id bigint, file string, offset bigint, length bigint"
+CAPTURES = "key string, page_id string, file string, offset bigint, length bigint"
 BLOCKS = "first_key string, last_key string, file string, offset bigint, length bigint, lines bigint"
 RECORDS = (
     "page_id bigint, url string, record_type string, payload_bytes bigint, payload_digest string, "
@@ -216,11 +216,11 @@ def write(pages: DataFrame, root: str, page_id: str = "page_id", url: str = "url
         for batch in batches:
             found = []
             for row in batch.itertuples(index=False):
-                number = None if pd.isna(row.page_id) else int(row.page_id)
-                refers_to = None if pd.isna(row.refers_to) else int(row.refers_to)
+                number = None if row.page_id is None else int(row.page_id)
+                refers_to = None if row.refers_to is None else int(row.refers_to)
                 payload = row.html.encode()
                 data = record(number, row.url, payload, base32_sha1(payload), refers_to, row.revisit)
-                found.append((url_key(row.url), number, *out.put(data)))
+                found.append((url_key(row.url), row.page_id, *out.put(data)))
             yield _frame(found, ["key", "page_id", "file", "offset", "length"])
         out.close()
 
@@ -228,19 +228,21 @@ def write(pages: DataFrame, root: str, page_id: str = "page_id", url: str = "url
         out, held = _Writer(root, "cdx"), []
 
         def block(rows: list[tuple]) -> tuple:
-            lines = "".join("\t".join([_one_line(r[0]), "" if r[1] is None else str(r[1]), r[2], str(r[3]), str(r[4])]) + "\n" for r in rows)
+            lines = "".join("\t".join([_one_line(r[0]), r[1] or "", r[2], str(r[3]), str(r[4])]) + "\n" for r in rows)
             return (rows[0][0], rows[-1][0], *out.put(lines.encode()), len(rows))
 
         names = ["first_key", "last_key", "file", "offset", "length", "lines"]
         for batch in batches:
-            held += [(r.key, None if pd.isna(r.page_id) else int(r.page_id), r.file, r.offset, r.length) for r in batch.itertuples(index=False)]
+            held += [(r.key, r.page_id, r.file, r.offset, r.length) for r in batch.itertuples(index=False)]
             full = len(held) // LINES_PER_BLOCK * LINES_PER_BLOCK
             yield _frame([block(held[i : i + LINES_PER_BLOCK]) for i in range(0, full, LINES_PER_BLOCK)], names)
             held = held[full:]
         yield _frame([block(held)] if held else [], names)
         out.close()
 
-    captures = checkpoint(_decided(rows).mapInPandas(write_records, CAPTURES))
+    # ids travel as text: in pandas, numbers with a null among them would become doubles
+    texts = {c: F.col(c).cast("string") for c in ("page_id", "refers_to")}
+    captures = checkpoint(_decided(rows).withColumns(texts).mapInPandas(write_records, CAPTURES))
     order = ["key", "page_id", "file", "offset"]
     sorted_captures = captures.repartitionByRange(*order).sortWithinPartitions(*order)
     blocks = checkpoint(sorted_captures.mapInPandas(write_blocks, BLOCKS))
@@ -285,7 +287,7 @@ def _captures_in(root: str):
                 for line in ranges.get(file, int(offset), int(length)).decode().splitlines():
                     key, page_id, *place = line.split("\t")
                     if (key := _unquoted(key)) in keys:
-                        found.append((key, int(page_id) if page_id else None, place[0], int(place[1]), int(place[2])))
+                        found.append((key, page_id or None, place[0], int(place[1]), int(place[2])))
             yield _frame(found, ["key", "page_id", "file", "offset", "length"])
 
     return read

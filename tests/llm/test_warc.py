@@ -32,7 +32,7 @@ def awkward():
     rows = [(i, f"http://Host{i % 5}.example.com/p{i}?q={i}", f"<p>page {i % 17}") for i in range(120)]
     rows += [(200, None, None), (201, None, ""), (None, "http://a.com/", "<p>lone"), (202, "no scheme\r\nX: y", "é" * 70_000)]
     rows += [(203, "http://a.com/%41\t", "a\r\n\r\nb"), (204, "http://a.com/", "WARC/1.1\r\n\r\n"), (205, "http://u:1/", "x"), (205, "http://u:1/", "x")]
-    return rows
+    return rows + [(2**60 + 1, "http://big.com/", "z"), (2**60 + 3, "http://big.com/", "z")]
 
 
 def test_round_trip(spark, tmp_path):
