@@ -13,10 +13,12 @@ from __future__ import annotations
 import json
 import re
 import struct
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 
@@ -28,7 +30,8 @@ PIECES = (
 )
 
 NEVER = 1 << 62
-_CACHED_PIECES, _CACHED_LENGTH, _CACHED_PAIRS, _CACHED_STEPS = 500_000, 48, 250_000, 100_000
+_CACHED_PIECES, _CACHED_LENGTH, _CACHED_PAIRS, _CACHED_STEPS = 200_000, 48, 150_000, 100_000
+_ROWS_AT_ONCE = 256  # bounds what a worker holds besides its input
 _LISTED_LENGTH = 1 << 20  # the pieces of longer texts are not put into a list
 
 
@@ -277,16 +280,20 @@ def token_counts(documents: DataFrame, vocabulary: str, text: str = "text", doc_
     Both directions run in one worker, so that ids do not travel back to be decoded.
     """
 
-    def make(texts: pd.Series) -> pd.DataFrame:
+    def trip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         use = encoder(vocabulary)
-        ids = [use.encode(t) for t in texts]
-        return pd.DataFrame({"ids": ids, "decoded": [use.decode(i) for i in ids]}, dtype=object)
-
-    both = F.pandas_udf(make, "ids binary, decoded string").asNondeterministic()  # so that it runs once for all uses
-    trips = documents.select(F.col(doc_id).alias("doc_id"), both(F.col(text)).alias("trip"))
+        for batch in batches:
+            for at in range(0, batch.num_rows, _ROWS_AT_ONCE):
+                some = batch.slice(at, _ROWS_AT_ONCE)
+                ids = [use.encode(t) for t in some.column("text").to_pylist()]
+                columns = [some.column("doc_id"), pa.array(ids, pa.binary()), pa.array(map(use.decode, ids), pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "decoded"])
+
+    rows = documents.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
+    trips = rows.mapInArrow(trip, "doc_id bigint, ids binary, decoded string")
     return trips.select(
         "doc_id",
-        F.expr("octet_length(trip.ids) div 4").alias("n_tokens"),
-        F.sha2("trip.ids", 256).alias("ids_sha256"),
-        F.sha2("trip.decoded", 256).alias("decoded_sha256"),
+        F.expr("octet_length(ids) div 4").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )
