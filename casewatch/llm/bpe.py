@@ -221,6 +221,11 @@ class Encoder:
             return b"".join(map(self._pieces.__getitem__, self._pattern.findall(text)))
         return b"".join(self._pieces[m[0]] for m in self._pattern.finditer(text))
 
+    def forget(self) -> None:
+        """Empties the caches of pieces and pairs."""
+        self._pieces.clear()
+        self._pairs.clear()
+
     def encode(self, text: str | None) -> bytes:
         """The ids of a whole text as little-endian unsigned 32-bit numbers; null is empty."""
         text, found, at = text or "", [], 0
@@ -288,6 +293,8 @@ def token_counts(documents: DataFrame, vocabulary: str, text: str = "text", doc_
                 ids = [use.encode(t) for t in some.column("text").to_pylist()]
                 columns = [some.column("doc_id"), pa.array(ids, pa.binary()), pa.array(map(use.decode, ids), pa.string())]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "decoded"])
+        use.forget()  # the worker may go on with other work
+        pa.default_memory_pool().release_unused()
 
     rows = documents.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     trips = rows.mapInArrow(trip, "doc_id bigint, ids binary, decoded string")
