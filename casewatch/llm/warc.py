@@ -284,7 +284,7 @@ def _captures_in(root: str):
             found = []
             for (file, offset, length), asked in batch.groupby(["file", "offset", "length"], sort=False)["key"]:
                 keys = set(asked)
-                for line in ranges.get(file, int(offset), int(length)).decode().splitlines():
+                for line in ranges.get(file, int(offset), int(length)).decode().removesuffix("\n").split("\n"):  # other line ends may be in a key
                     key, page_id, *place = line.split("\t")
                     if (key := _unquoted(key)) in keys:
                         found.append((key, page_id or None, place[0], int(place[1]), int(place[2])))

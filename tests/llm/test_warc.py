@@ -46,6 +46,15 @@ def test_round_trip(spark, tmp_path):
     assert payloads == {(p, u): (h or "").encode() for p, u, h in rows if (p, u) in payloads}
 
 
+def test_urls_with_line_ends_beyond_ascii(spark, tmp_path):
+    rows = [(i, f"http://a.com/x{c}y", f"<p>{i}") for i, c in enumerate("\x85\u2028\u2029\x0b\x1c\n\r\t%")]
+    rows += [(100, "http://b\u2028c.com/", "<p>host"), (101, "\u2029", "<p>no scheme")]
+    table = pages(spark, rows)
+    found = warc.fetch(warc.write(table, str(tmp_path / "l")), table)
+    columns = ["page_id", "url", "record_type", "payload_bytes", "payload_digest", "refers_to"]
+    assert tuples(found, *columns) == plain(rows)
+
+
 def test_many_blocks_and_one_hot_url(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(warc, "LINES_PER_BLOCK", 7)
     monkeypatch.setattr(warc, "FILE_BYTES", 2000)
