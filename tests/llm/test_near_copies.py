@@ -1,0 +1,63 @@
+import random
+
+import corpus_pipeline as pipeline
+from casewatch.llm import near_copies, simhash
+
+from .helpers import awkward_documents, documents, prose, tuples
+
+EXTRA = ("fp", "key", "id", "root", "nth", "row", "keep", "digest", "n", "rank")
+
+
+def plain_set(text):
+    words = (text or "").encode().lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def plain_kept(rows):
+    """(doc_id, text) of the rows that stay, by comparing all pairs."""
+    sets = [plain_set(t) for _, t in rows]
+    group = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            both, either = len(sets[i] & sets[j]), len(sets[i] | sets[j])
+            if 5 * both >= 4 * either and group[i] != group[j]:
+                group = [group[j] if g == group[i] else g for g in group]
+    best = {}
+    for (doc_id, text), g in zip(rows, group):
+        rank = (doc_id is None, doc_id or 0)
+        if g not in best or rank < best[g][0]:
+            best[g] = (rank, doc_id, text)
+    return sorted(((d, t) for _, d, t in best.values()), key=repr)
+
+
+def edited(text, n, seed):
+    words = text.split()
+    for at in random.Random(seed).sample(range(len(words)), n):
+        words[at] = f"edit{seed}x{at}"
+    return " ".join(words)
+
+
+def edited_rows():
+    rows = []
+    for k in range(40):
+        base = prose(900 + k, 150)
+        rows += [(10 * k, base), (10 * k + 1, edited(base, 1 + k % 6, k)), (10 * k + 2, edited(base, 1 + k % 4, 50 + k))]
+    return rows
+
+
+def test_stage_equals_brute_force_around_the_similarity(spark):
+    rows = edited_rows()
+    far = [a for a in range(0, len(rows), 3) if (simhash.fingerprint(rows[a][1]) ^ simhash.fingerprint(rows[a + 1][1])).bit_count() > 4]
+    frame = documents(spark, [(i, t, "en", "a", 1) for i, t in rows])
+    found = tuples(pipeline.without_near_copies(spark, frame, ""), "doc_id", "text")
+    assert far and found == plain_kept(rows)
+
+
+def test_awkward_rows(spark):
+    rows = awkward_documents() + [(11, prose(60, 90), "x", "y", 1), (11, prose(61, 90), "x", "y", 1), (3, prose(61, 90), "x", "y", 1)]
+    frame = documents(spark, rows, EXTRA)
+    kept = near_copies.keep_one(frame)
+    assert kept.columns == frame.columns
+    normal = lambda pairs: sorted(((i, (t or "").strip()) for i, t in pairs), key=repr)
+    assert normal(tuples(kept, "doc_id", "text")) == normal(plain_kept([r[:2] for r in rows]))
+    assert tuples(near_copies.keep_one(documents(spark, []))) == []
