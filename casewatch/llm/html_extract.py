@@ -55,9 +55,12 @@ _TOKEN = re.compile(
     r"|(?P<text>[^<]+|<)",
     re.S,
 )
-_ATTRIBUTE = re.compile(r"""(?:^|[\s"'])(class|id|role|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+# one attribute after the other: a name, then its value, so that no value is read as a name
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=][^\s"'>/=]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?|"[^"]*"|'[^']*'|[\s\S]""")
 _PUNCTUATION = re.compile(r"[.,;:!?。，、；：！？]")
 _SPACE = re.compile(r"\s+")
+# Class words like these tell how an element is laid out, as `has-sidebar` or `share-enabled`.
+_MODIFIER = re.compile(r"(?:has|no|with|without|hide|show)[-_]|.*[-_](?:enabled|disabled)\Z", re.S)
 
 SMOOTHING, THRESHOLD = 1.0, 0.1
 
@@ -69,22 +72,29 @@ class Block:
     section: bool
 
 
-def _is_boilerplate(name: str, attributes: str, in_section: bool) -> bool:
+def _names_boilerplate(word: str) -> bool:
+    """Whether a class, id or role word is one of BOILERPLATE_WORDS or made of them, as `ad-slot`."""
+    parts = [word, *re.split(r"[-_]+", word)]
+    return not BOILERPLATE_WORDS.isdisjoint(parts) and not _MODIFIER.match(word)
+
+
+def _is_boilerplate(name: str, attributes: str, in_section: bool, by_word: bool) -> bool:
     if name in NO_ARTICLE or (name == "header" and not in_section):
         return True
     for key, value in _ATTRIBUTE.findall(attributes):
         key, value = key.lower(), value.strip("\"'").lower()
         if key == "hidden" or (key == "aria-hidden" and value == "true"):
             return True
-        if key in ("class", "id", "role") and any(
-            not BOILERPLATE_WORDS.isdisjoint([w, *re.split(r"[-_]+", w)]) for w in value.split()
-        ):
+        if by_word and key in ("class", "id", "role") and any(map(_names_boilerplate, value.split())):
             return name not in ("html", "body", "article", "main")
     return False
 
 
-def blocks(page: str) -> list[Block]:
-    """Text blocks of a page in order, without those that are no article by their kind."""
+def blocks(page: str, by_word: bool = True) -> list[Block]:
+    """Text blocks of a page in order, without those that are no article by their kind.
+
+    by_word: whether words in class, id and role count.
+    """
     found: list[Block] = []
     stack: list[tuple[str, str, bool, bool]] = []  # name, path, dropped, in a section
     pieces: list[str] = []
@@ -150,7 +160,7 @@ def blocks(page: str) -> list[Block]:
                 break
         parent = stack[-1] if stack else ("", "", False, False)
         section = parent[3] or name in SECTIONS
-        dropped = parent[2] or _is_boilerplate(name, token["attributes"], parent[3])
+        dropped = parent[2] or _is_boilerplate(name, token["attributes"], parent[3], by_word)
         if name not in INLINE:
             flush()
             path = f"{state[0]}/{name}"
@@ -180,8 +190,9 @@ def main_text(page: str | None, threshold: float = THRESHOLD, sigma: float = SMO
     the sequence of blocks and fused by multiplication. A path takes the median fused
     value of its blocks and is kept if that reaches `threshold` times the page's mean. Where
     article elements hold half of the fused weight or more, their blocks are the article.
+    Words in class, id and role are not believed where they would leave a page no text.
     """
-    found = blocks(page or "")
+    found = blocks(page or "") or blocks(page or "", by_word=False)
     if not found:
         return ""
     lengths, marks, counts = defaultdict(int), defaultdict(int), defaultdict(int)

@@ -36,6 +36,26 @@ def test_article_without_its_surroundings():
     assert main_text(page) == f"Title {' '.join(LONG.split())} Short. one two"
 
 
+@pytest.mark.parametrize(
+    "attributes",
+    [
+        'aria-label="Hidden costs of war"', "data-title='the hidden life'", "data-x=\"a class='ad' b\"", "hidden-title=x",
+        'class="content has-sidebar"', 'class="no-sidebar"', 'class="post share-enabled"', "data-class=ad",
+    ],
+)
+def test_attributes_that_mark_no_boilerplate(attributes):
+    assert main_text(f"<div {attributes}><p>{LONG}</p></div><p>Other.</p>").startswith("A long paragraph")
+
+
+@pytest.mark.parametrize("attributes", ["hidden", "x=1 HIDDEN=''", "aria-hidden = true", "class=ad", 'title="a" class="x ad-slot"', "id='sidebar-left'"])
+def test_attributes_that_mark_boilerplate(attributes):
+    assert main_text(f"<div {attributes}><p>{LONG}</p></div><p>Other, text.</p>") == "Other, text."
+
+
+def test_class_words_never_leave_a_page_empty():
+    assert main_text(f'<div class="search"><p>{LONG}</p><nav>no</nav></div>') == " ".join(LONG.split())
+
+
 def test_short_boilerplate_path_falls_below_the_threshold():
     links = "".join(f"<div><span>link {n}</span></div>" for n in range(20))
     page = f"<body><section><p>{LONG}</p><p>{LONG}</p></section><table>{links}</table></body>"
