@@ -6,9 +6,10 @@ codebooks make a large grid of cells. A vector visits cells in the order of thei
 distance until the target recall is reached, and only vectors in visited cells are
 verified by their full cosine.
 
-How far to go is calibrated on the sample: each sample vector gets a partner at exactly
-the threshold's cosine in a random direction, and the limit on the distance beyond the
-vector's own cell is set so that the wanted share of partners is met from either side.
+How far to go is calibrated on the sample: its linked pairs are found by brute force, and
+the limit on the distance beyond the vector's own cell is set so that the wanted share of
+them is met from either side. It is no less than what partners at exactly the threshold's
+cosine need, in random directions and towards each vector's nearest neighbour.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ from casewatch.llm.components import components
 THRESHOLD, RECALL = 0.9, 0.999
 CODEWORDS, SAMPLE_ROWS, ITERATIONS = 64, 20_000, 12
 MEMBER_BLOCK, PROBE_BLOCK = 2048, 16_384
+#: Calibration: sample vectors that are compared with the whole sample, and linked pairs of each that count.
+QUERIES, PAIRS_PER_QUERY, _QUERY_BLOCK = 4000, 64, 128
 _SEED = 11
 
 
@@ -91,18 +94,51 @@ def fit(vectors: list, width: int, codewords: int = CODEWORDS, threshold: float
     units = unit(vectors, width)
     half = width // 2
     index = Index(width, _codebook(units[:, :half], codewords, rng), _codebook(units[:, half:], codewords, rng), 0.0)
-    away = rng.normal(size=units.shape)
-    away -= (away * units).sum(axis=1, keepdims=True) * units
-    away /= np.maximum(np.sqrt((away * away).sum(axis=1, keepdims=True)), 1e-300)
-    partners = threshold * units + np.sqrt(1 - threshold**2) * away
-    here, there = index.beyond(units), index.beyond(partners)
     rows = np.arange(len(units))
 
-    def reach(of: tuple, to: tuple) -> np.ndarray:
-        return of[0][rows, to[0].argmin(axis=1)] + of[1][rows, to[1].argmin(axis=1)]
+    def needed(here: tuple, there: tuple, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The limit at which a of here and b of there meet, from either side."""
 
-    needed = np.minimum(reach(here, there), reach(there, here))
-    return Index(width, index.first, index.second, float(np.quantile(needed, recall, method="higher")))
+        def reach(of: tuple, i: np.ndarray, to: tuple, j: np.ndarray) -> np.ndarray:
+            return of[0][i, to[0].argmin(axis=1)[j]] + of[1][i, to[1].argmin(axis=1)[j]]
+
+        return np.minimum(reach(here, a, there, b), reach(there, b, here, a))
+
+    def partners(units: np.ndarray, away: np.ndarray) -> np.ndarray:
+        away = away - (away * units).sum(axis=1, keepdims=True) * units
+        away /= np.maximum(np.sqrt((away * away).sum(axis=1, keepdims=True)), 1e-300)
+        return threshold * units + np.sqrt(1 - threshold**2) * away
+
+    here = index.beyond(units)
+    limits = [needed(here, index.beyond(partners(units, rng.normal(size=units.shape))), rows, rows)]
+    asked = rng.choice(len(units), min(QUERIES, len(units)), replace=False)
+    nearest, pairs = _neighbours(units, asked, threshold, rng)
+    limits.append(needed(here, here, *pairs))
+    other = nearest >= 0
+    towards = partners(units[asked[other]], units[nearest[other]])
+    limits.append(needed(here, index.beyond(towards), asked[other], np.arange(len(towards))))
+    limit = max(float(np.quantile(found, recall, method="higher")) for found in limits if len(found))
+    return Index(width, index.first, index.second, limit)
+
+
+def _neighbours(units: np.ndarray, asked: np.ndarray, threshold: float, rng: np.random.Generator) -> tuple:
+    """By brute force, for the rows `asked`: the nearest other row that is no copy, -1 if
+    there is none, and (a, b) of their linked pairs, at most PAIRS_PER_QUERY of each row by chance.
+    """
+    nearest, left, right = np.full(len(asked), -1), [], []
+    for at in range(0, len(asked), _QUERY_BLOCK):
+        some = asked[at : at + _QUERY_BLOCK]
+        cosines = units[some] @ units.T
+        cosines[cosines > 1 - 1e-9] = -2  # itself and copies
+        best = cosines.argmax(axis=1)
+        nearest[at : at + len(some)] = np.where(cosines[np.arange(len(some)), best] > -1, best, -1)
+        for row, found in zip(some, cosines >= threshold):
+            near = np.flatnonzero(found)
+            if len(near) > PAIRS_PER_QUERY:
+                near = rng.choice(near, PAIRS_PER_QUERY, replace=False)
+            left.append(np.full(len(near), row))
+            right.append(near)
+    return nearest, (np.concatenate(left).astype(int), np.concatenate(right).astype(int))
 
 
 def _labels(links: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

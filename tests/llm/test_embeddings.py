@@ -75,6 +75,24 @@ def test_recall_at_the_threshold_itself():
     assert (met(here, there) | met(there, here)).mean() >= 0.9
 
 
+@pytest.mark.parametrize("dimension", [4, 8, 16])
+def test_recall_of_real_pairs_near_a_subspace(dimension):
+    rng = np.random.default_rng(dimension)
+    inner = rng.normal(size=(4000, dimension))
+    inner[2000:] = inner[:2000] + rng.normal(size=(2000, dimension)) * 0.4 * np.linalg.norm(inner[:2000], axis=1, keepdims=True) / dimension**0.5
+    vectors = inner @ rng.normal(size=(dimension, 64)) + rng.normal(size=(4000, 64)) * 0.01
+    index = embeddings.fit(vectors.tolist(), 64)
+    units = embeddings.unit(vectors.tolist(), 64)
+    a, b = np.nonzero(np.triu(units @ units.T >= 0.9, 1))
+    beyond = index.beyond(units)
+    first, second = beyond[0].argmin(axis=1), beyond[1].argmin(axis=1)
+
+    def met(i, j):
+        return beyond[0][i, first[j]] + beyond[1][i, second[j]] <= index.limit
+
+    assert len(a) > 500 and (met(a, b) | met(b, a)).mean() >= 0.998
+
+
 def test_awkward_vectors(spark):
     vectors = [
         (1, None), (2, []), (3, [0.0, 0.0]), (4, [float("nan"), 1.0]), (5, [float("inf"), 1.0]), (6, [None, 1.0]),
