@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import string
 
+from casewatch.llm.centroids import CENTROIDS, ROUNDS, SCALE, SEED, WIDTH
 from casewatch.llm.common import SPACE_CLASS
 from casewatch.llm.quality_rules import MAX_REPEAT_PERCENT, MIN_WORDS, RULES, STOP_WORDS, SYMBOLS
 from casewatch.llm.url_filters import PATTERN_RULES, SITE_RULES
@@ -94,9 +95,93 @@ def warc_sql() -> str:
     """
 
 
+def _crc32_rows() -> str:
+    """The remainder of each byte for the reversed polynomial of CRC-32, as an SQL list."""
+    rows = list(range(256))
+    for _ in range(8):
+        rows = [(r >> 1) ^ (0xEDB88320 if r & 1 else 0) for r in rows]
+    return "[" + ", ".join(map(str, rows)) + "]::BIGINT[]"
+
+
+def prefix_trie_sql() -> str:
+    step = f"xor(a >> 8, ({_crc32_rows()})[(xor(a, b) & 255) + 1])"
+    letters = "list_prepend(4294967295::BIGINT, [ascii(x)::BIGINT FOR x IN string_split(conv_id::VARCHAR, '')])"
+    return f"""
+    WITH turns AS MATERIALIZED (
+        SELECT conv_id, chars, item, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, item[:32]) AS spot
+        FROM (
+            SELECT conv_id, turn, length(coalesce(text, '')) AS chars,
+                   sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS item
+            FROM conversations WHERE conv_id IS NOT NULL
+        )
+    ), convs AS MATERIALIZED (
+        SELECT conv_id, conv_id - conv_id % 100 AS base,
+               xor(list_reduce({letters}, lambda a, b: {step}), 4294967295) % 6 AS h
+        FROM (SELECT DISTINCT conv_id FROM turns)
+    ), rebuilt AS (
+        SELECT c.conv_id, 0 AS part, b.spot, b.item, b.chars FROM convs c JOIN turns b ON b.conv_id = c.base AND b.spot <= c.h
+        UNION ALL SELECT t.conv_id, 1, t.spot, t.item, t.chars FROM turns t JOIN convs c USING (conv_id) WHERE t.spot > c.h
+    ), paths AS MATERIALIZED (
+        SELECT conv_id, list(item) OVER w AS path, row_number() OVER w AS depth, chars,
+               count(*) OVER (PARTITION BY conv_id) AS len
+        FROM rebuilt WINDOW w AS (PARTITION BY conv_id ORDER BY part, spot)
+        UNION ALL
+        SELECT conv_id, []::VARCHAR[], 0, 0, (SELECT count(*) FROM rebuilt r WHERE r.conv_id = c.conv_id) FROM convs c
+    ), nodes AS MATERIALIZED (
+        SELECT path, min(conv_id) AS conv_id, any_value(depth) AS depth, count(*) AS n_convs, any_value(chars) AS chars,
+               sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (depth = len), '')) AS ends_sha256
+        FROM paths GROUP BY path
+    ), children AS (
+        SELECT path[:-2] AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1
+    ), counted AS MATERIALIZED (
+        SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN children USING (path)
+    ), sums AS (
+        SELECT path[:up] AS path, sum((n_children = 0)::BIGINT)::BIGINT AS n_leaves,
+               sum((n_convs - 1) * chars)::BIGINT AS saved_tokens
+        FROM (SELECT *, unnest(range(0, depth + 1)) AS up FROM counted) GROUP BY 1
+    )
+    SELECT c.conv_id, c.depth, p.conv_id AS parent_conv_id, c.n_convs, c.n_children, n_leaves, saved_tokens, c.ends_sha256
+    FROM counted c JOIN sums USING (path) LEFT JOIN nodes p ON c.depth > 0 AND p.path = c.path[:-2]
+    """
+
+
+def centroids_sql() -> str:
+    """All rounds written out; numbers are exact, as sums stay below 2^53 on the tables compared."""
+    nearest = """
+        SELECT rid, arg_min(cluster, (d, cluster)) AS cluster, min(d) AS distance FROM (
+            SELECT rid, cluster, list_sum([(x[1] - x[2]) * (x[1] - x[2]) FOR x IN list_zip(v.q, c.q)])::BIGINT AS d
+            FROM vectors v, {0} c) GROUP BY rid"""
+    rounds = []
+    for k in range(ROUNDS):
+        rounds.append(f"near{k} AS MATERIALIZED ({nearest.format(f'centroids{k}')})")
+        rounds.append(f"""centroids{k + 1} AS MATERIALIZED (
+        SELECT cluster, coalesce(m.q, c.q) AS q FROM centroids{k} c LEFT JOIN (
+            SELECT cluster, list(floor(total / n)::BIGINT ORDER BY place) AS q FROM (
+                SELECT cluster, place, sum(x) AS total, count(*) AS n
+                FROM (SELECT rid, unnest(q) AS x, generate_subscripts(q, 1) AS place FROM vectors) JOIN near{k} USING (rid)
+                GROUP BY cluster, place) GROUP BY cluster) m USING (cluster))""")
+    steps = ",\n    ".join(rounds)
+    return f"""
+    WITH vectors AS MATERIALIZED (
+        SELECT vec_id, row_number() OVER () AS rid, [floor({SCALE} * x)::BIGINT FOR x IN values] AS q
+        FROM (SELECT vec_id, embedding::DOUBLE[] AS values FROM embeddings)
+        WHERE len(values) = {WIDTH} AND list_bool_and([coalesce(isfinite(x), false) FOR x IN values])
+    ), centroids0 AS MATERIALIZED (
+        SELECT row_number() OVER (ORDER BY sha256('{SEED}:' || vec_id) NULLS LAST, q) - 1 AS cluster, q
+        FROM vectors QUALIFY cluster < {CENTROIDS}
+    ), {steps},
+    final AS MATERIALIZED ({nearest.format(f"centroids{ROUNDS}")})
+    SELECT vec_id, cluster::INTEGER AS cluster, distance, sum(distance) OVER (PARTITION BY cluster)::BIGINT AS cluster_inertia,
+           sum(distance) OVER ()::BIGINT AS inertia, sha256(array_to_string(c.q, ',')) AS centroid_sha256
+    FROM final JOIN vectors USING (rid) JOIN centroids{ROUNDS} c USING (cluster)
+    """
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op4_quality_rules": quality_rules_sql(),
         "op5_url_filters": url_filters_sql(),
         "op8_warc": warc_sql(),
+        "op11_prefix_trie": prefix_trie_sql(),
+        "op13_centroid_clustering": centroids_sql(),
     }

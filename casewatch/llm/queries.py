@@ -6,7 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from casewatch.llm import bpe, embeddings, html_extract, licenses, mixing, oracle, quality_gam, quality_rules, simhash, url_filters, warc
+from casewatch.llm import (
+    bpe,
+    centroids,
+    embeddings,
+    html_extract,
+    licenses,
+    mixing,
+    oracle,
+    packing,
+    prefix_trie,
+    quality_gam,
+    quality_rules,
+    simhash,
+    url_filters,
+    warc,
+)
 from casewatch.llm.common import shared_folder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,6 +87,20 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations")).drop("node")
+
+
+def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = packing.pieces(table(spark, sf_dir, "documents"), vocabulary_file())
+    digests = cut.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return packing.pack(digests).placed.select("row.*", "sequence_id", "offset")
+
+
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.described(centroids.cluster(table(spark, sf_dir, "embeddings")))
+
+
 def vocabulary_file(name: str = "byte_bpe_50k.json") -> str:
     """Path of a public tokenizer's file, which is installed on every machine."""
     import public_tokenizers
@@ -80,7 +109,7 @@ def vocabulary_file(name: str = "byte_bpe_50k.json") -> str:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_simhash, op2_html_extraction, op3_embedding_dedup, op4_quality_rules, op5_url_filters, op6_quality_classifier, op7_mixing, op8_warc, op9_bpe, op10_license_scan)}
+    return {f.__name__: f for f in (op1_simhash, op2_html_extraction, op3_embedding_dedup, op4_quality_rules, op5_url_filters, op6_quality_classifier, op7_mixing, op8_warc, op9_bpe, op10_license_scan, op11_prefix_trie, op12_best_fit_packing, op13_centroid_clustering)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -1,0 +1,70 @@
+import hashlib
+
+import numpy as np
+import pytest
+
+from casewatch.llm import centroids
+from tests.llm.helpers import tuples
+
+SCHEMA = "vec_id bigint, embedding array<double>, label int"
+
+
+def brute(rows, k, rounds):
+    """Clusters by plain integer arithmetic."""
+    kept = [(i, [int(np.floor(x * 256)) for x in v]) for i, v, _ in rows if v is not None and len(v) == 64 and all(x is not None and np.isfinite(x) for x in v)]
+    order = sorted(kept, key=lambda p: (p[0] is None, hashlib.sha256(f"2:{p[0]}".encode()).hexdigest() if p[0] is not None else "", p[1]))
+    centres = [list(v) for _, v in order[:k]]
+
+    def near(v):
+        return min((sum((a - b) ** 2 for a, b in zip(v, c)), n) for n, c in enumerate(centres))
+
+    for _ in range(rounds):
+        found = [near(v)[1] for _, v in kept]
+        for n in set(found):
+            own = [v for (_, v), f in zip(kept, found) if f == n]
+            centres[n] = [sum(x) // len(own) for x in zip(*own)]
+    found = [(i, *near(v)[::-1]) for i, v in kept]
+    total = sum(d for _, _, d in found)
+    sha = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in centres]
+    return sorted(((i, n, d, sum(e for _, m, e in found if m == n), total, sha[n]) for i, n, d in found), key=repr)
+
+
+def vectors(seed, n):
+    rng = np.random.default_rng(seed)
+    rows = [(k, (rng.normal(size=64) * 0.3).tolist(), 1) for k in range(n)]
+    tie = [0.25] * 64
+    rows += [(900 + k, tie, None) for k in range(5)] + [(3, tie, 2), (3, [-0.001] * 64, 2), (3, tie, 2), (None, [0.5] * 64, 1)]
+    rows += [(950, [100.5] + [0.0] * 63, 1), (951, [-2000.25] + [1.0] * 63, 1)]
+    bad = [None, [], [0.1] * 63, [0.1] * 65, [None] + [0.1] * 63, [float("nan")] + [0.1] * 63, [float("inf")] + [0.1] * 63]
+    return rows + [(800 + k, v, 1) for k, v in enumerate(bad)]
+
+
+@pytest.mark.parametrize("k", [6, 40, 500])
+def test_equals_brute_force(spark, k):
+    rows = vectors(5, 60)
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    found = centroids.cluster(frame, centroids=k, rounds=3)
+    assert tuples(centroids.described(found)) == brute(rows, k, 3)
+
+
+def test_empty_tables_and_vectors_left_out(spark):
+    empty = centroids.cluster(spark.createDataFrame([], SCHEMA))
+    assert centroids.described(empty).count() == 0 and empty.centroids == []
+    huge = spark.createDataFrame([(1, [3e5] * 64, 1), (2, [1e300] * 64, 1), (3, [0.5] * 64, 1), (4, None, 1)], SCHEMA)
+    assert tuples(centroids.described(centroids.cluster(huge)), "vec_id", "cluster", "distance") == [(3, 0, 0)]
+
+
+def test_extra_columns_may_clash(spark):
+    rows = [(k, [k / 7] * 64, 1) for k in range(9)]
+    frame = spark.createDataFrame(rows, SCHEMA).withColumnRenamed("label", "cluster").selectExpr("*", "1 as q", "2 as distance")
+    assert tuples(centroids.described(centroids.cluster(frame, centroids=3, rounds=2))) == brute(rows, 3, 2)
+
+
+def test_planes_give_exact_products():
+    rng = np.random.default_rng(2)
+    for size in (1, 2, 300, 1 << 25):
+        a, b = (rng.integers(-size, size, (50, 64)) for _ in range(2))
+        planes = centroids.planes_of(a)
+        assert (centroids.unpacked(planes) == a).all()
+        for row in b:
+            assert (centroids.dots(planes, centroids.planes_of(row[None])[0]) == a @ row).all()
