@@ -9,7 +9,7 @@ from urllib.parse import unquote
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from casewatch.schema import COLUMNS, PARTITIONS, TABLES, raw_schema
-from casewatch.sources import files
+from casewatch.sources import files, spanning
 
 # The text format of the source files.
 SEPARATOR = "$"
@@ -26,12 +26,7 @@ def table_files(spark: SparkSession, raw_dir: str, table: str) -> list[str]:
     ]
 
 
-# A line all of whose quoted fields are closed; a quote inside a bare field is text.
-_FIELD = r'(?:"(?:[^"\\]|"")*+"|[^"$][^$]*+|)'
-CLOSED_LINE = rf"^{_FIELD}(?:\${_FIELD})*+\r?\z"
-
-
-def whole_files(spark: SparkSession, paths: list[str]) -> set[str]:
+def doubtful_files(spark: SparkSession, paths: list[str]) -> set[str]:
     """Those of the files that a line-by-line parse might read differently.
 
     A field that opens with a quote may go on over the line end. Escapes, lone carriage
@@ -43,7 +38,7 @@ def whole_files(spark: SparkSession, paths: list[str]) -> set[str]:
     ends = line.endswith("\r")
     quoted = line.contains('"')
     doubtful = (
-        (quoted & (line.contains("\\") | ~line.rlike(CLOSED_LINE)))
+        (quoted & (line.contains("\\") | ~spanning.is_closed(line, SEPARATOR)))
         | (F.length(line) - F.length(bare) > F.when(ends, 1).otherwise(0))
         | bare.rlike(r"^\s+$")
     )
@@ -60,7 +55,8 @@ def _plain(path: str) -> str:
 
 
 def needs_whole_file(spark: SparkSession, path: str) -> bool:
-    return bool(whole_files(spark, [path]))
+    """Whether records of the file may go on over line ends."""
+    return bool(doubtful_files(spark, [path]))
 
 
 def _read(spark: SparkSession, paths: list[str], multi_line: bool, quote: str) -> DataFrame:
@@ -79,37 +75,50 @@ def _read(spark: SparkSession, paths: list[str], multi_line: bool, quote: str) -
 def read_file(
     spark: SparkSession, path: str, multi_line: bool | None = None, quote: str = '"'
 ) -> DataFrame:
-    """One delimited file, all columns strings, names from its header.
-
-    Line breaks inside quoted fields need a whole-file parse, which Spark cannot
-    split. With multi_line=None the file is scanned for such fields first, and
-    only a file that may have some is read in one task; others are split. An empty
-    quote takes quotes for text, so that every file is split.
-    """
-    if multi_line is None:
-        multi_line = bool(quote) and needs_whole_file(spark, path)
-    return _read(spark, [path], multi_line, quote)
+    """One delimited file, all columns strings, names from its header; as `read_files`."""
+    if multi_line is None and quote:
+        return reduce(DataFrame.unionByName, read_files(spark, [path]))
+    return _read(spark, [path], bool(multi_line), quote)
 
 
 def read_files(
-    spark: SparkSession, paths: list[str], multi_line: bool | None = None, quote: str = '"'
+    spark: SparkSession,
+    paths: list[str],
+    multi_line: bool | None = None,
+    quote: str = '"',
+    source: str | None = None,
 ) -> list[DataFrame]:
     """Frames that together hold all files: one for each header and way of parsing.
 
-    However many files there are, they are examined by one job and read by as many
-    scans as there are different headers, or twice as many if some files need a
-    whole-file parse. Files without a line hold nothing.
+    However many files there are, they are examined by one job, and those that are no
+    lines of closed fields by a second one. Files in which quoted fields go on over line
+    ends are parsed in byte ranges all the same (`spanning`); only those whose quotes that
+    module does not understand are parsed whole, each in one task. multi_line=True parses
+    every file so, False every line by itself, and an empty quote takes quotes for text.
+    `source` adds a column with the file's name. Files without a line hold nothing.
     """
     found = [leaf for path in paths for leaf in files.leaves(spark, path)]
-    whole = set(map(_plain, found)) if multi_line else set()
+    doubtful, known = set(map(_plain, found)) if multi_line else set(), None
     if multi_line is None and quote and found:
-        whole = whole_files(spark, found)
-    groups: dict[tuple[str, bool], list[str]] = {}
+        doubtful = doubtful_files(spark, found)
+        asked = [leaf for leaf in found if _plain(leaf) in doubtful]
+        known = spanning.borders(spark, asked, SEPARATOR, ENCODING) if asked else None
+    odd = set(map(_plain, known.odd)) if known else doubtful
+    groups: dict[tuple[str, bool, bool], list[str]] = {}
     for leaf in found:
         header = files.first_line(spark, leaf, ENCODING)
         if header is not None:
-            groups.setdefault((header, _plain(leaf) in whole), []).append(leaf)
-    return [_read(spark, group, multi, quote) for (_, multi), group in groups.items()]
+            groups.setdefault((header, _plain(leaf) in doubtful, _plain(leaf) in odd), []).append(leaf)
+    frames = []
+    for (_, several_lines, whole), group in groups.items():
+        if several_lines and not whole:
+            columns = _read(spark, group[:1], False, quote).columns
+            named = spanning.read_spanning(spark, group, SEPARATOR, ENCODING, columns, known, source or "_source")
+            frames.append(named if source else named.drop("_source"))
+        else:
+            frame = _read(spark, group, whole, quote)
+            frames.append(frame.withColumn(source, F.col("_metadata.file_name")) if source else frame)
+    return frames
 
 
 def _with_table_columns(df: DataFrame, table: str) -> DataFrame:
@@ -132,11 +141,7 @@ def bronze_rows(
 ) -> DataFrame:
     """All files of one table and quarter, with lineage columns; no files give no rows."""
 
-    def stamped(source: DataFrame) -> DataFrame:
-        named = source.withColumn("_source_file", F.col("_metadata.file_name"))
-        return _with_table_columns(named, table)
-
-    frames = [stamped(df) for df in read_files(spark, paths, multi_line)]
+    frames = [_with_table_columns(df, table) for df in read_files(spark, paths, multi_line, source="_source_file")]
     if not frames:
         return spark.createDataFrame([], raw_schema(table))
     rows = reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), frames)
