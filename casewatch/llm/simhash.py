@@ -13,7 +13,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.functions import pandas_udf
 
 from casewatch.llm.common import checkpoint
@@ -135,6 +135,14 @@ def near_links(fingerprints: DataFrame, distance: int = DISTANCE, segments: int
     return components(labelled.select("fp", "label").union(across)).select(F.col("node").alias("fp"), "root")
 
 
+def _classes(prints: DataFrame, rank: Column, distance: int, segments: int) -> tuple[DataFrame, DataFrame]:
+    """(fp, root) of every fingerprint, and (root, least rank) of every component."""
+    per_print = prints.groupBy("fp").agg(F.min(rank).alias("low"))
+    linked = near_links(per_print.select("fp"), distance, segments)
+    named = per_print.join(linked, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    return named, named.groupBy("root", (F.col("root") < 0).alias("sign")).agg(F.min("low").alias("low")).drop("sign")
+
+
 def simhash_components(
     documents: DataFrame,
     text: str = "text",
@@ -151,45 +159,36 @@ def simhash_components(
     the named columns are read, so other columns may have any name.
     """
     prints = checkpoint(documents.select(F.col(doc_id).alias("doc_id"), fingerprint_of(F.col(text)).alias("fp")))
-    per_print = prints.groupBy("fp").agg(F.min("doc_id").alias("low"))
-    linked = near_links(per_print.select("fp"), distance, segments)
-    named = per_print.join(linked, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    lowest = named.groupBy("root", (F.col("root") < 0).alias("sign")).agg(F.min("low").alias("component_id"))
-    members = named.join(lowest, "root").select("fp", "component_id")
+    named, lowest = _classes(prints, F.col("doc_id"), distance, segments)
+    members = named.join(lowest.withColumnRenamed("low", "component_id"), "root").select("fp", "component_id")
     return prints.join(members, "fp").select(
         "doc_id", "fp", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
 
 
-def keep_one(documents: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """`documents` without near-duplicates: of each component the smallest doc_id stays.
+def keep_one(
+    documents: DataFrame,
+    text: str = "text",
+    doc_id: str = "doc_id",
+    distance: int = DISTANCE,
+    segments: int = SEGMENTS,
+) -> DataFrame:
+    """`documents` without near-duplicates: one row of each component stays.
 
-    Rows that share a doc_id are one document, of which one row stays (the first by a
-    hash of its text). Rows without an id stay only where no near copy has one, one row
-    for each such component. All columns are kept, whatever their names.
+    It is a row with the component's smallest doc_id, of equal ids the one with the first
+    text by digest, of equal texts too the first by a hash of the row. Null ids come last.
+    Rows that share a doc_id but not their text are documents of their own. Null and
+    word-less texts are one component. All columns are kept, whatever their names; an
+    empty table gives no rows.
     """
-    found = checkpoint(simhash_components(documents, text, doc_id))
-    firsts = found.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("keep"))
-    kept = documents.join(firsts, documents[doc_id] == firsts["keep"], "left_semi")
-    ids = found.filter("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n"))
-    if not ids.filter("n > 1").isEmpty():
-        kept = _first_row(kept, documents.columns, F.col(doc_id), text)
-    nameless = found.filter("component_id is null").select("fp").distinct()
-    if nameless.isEmpty():
-        return kept
-    roots = nameless.join(near_links(nameless), "fp", "left").select(
-        F.col("fp").alias("print"), F.coalesce("root", "fp").alias("root")
-    )
-    rows = documents.filter(F.col(doc_id).isNull()).select(
-        F.struct("*").alias("row"), fingerprint_of(F.col(text)).alias("print")
-    )
-    lone = _first_row(rows.join(roots, "print"), ["row"], F.col("root"), f"row.{text}")
-    return kept.unionByName(lone.select("row.*"))
-
-
-def _first_row(rows: DataFrame, columns: list[str], group: Column, text: str) -> DataFrame:
-    """One row of each group; a window over a struct, so that no column name can clash."""
-    packed = rows.select(F.struct(*columns).alias("whole"), group.alias("group"), F.col(text).alias("text"))
-    order = Window.partitionBy("group").orderBy(F.xxhash64("text"), "text")
-    first = packed.withColumn("nth", F.row_number().over(order)).filter("nth = 1")
-    return first.select("whole.*")
+    digest = F.md5(F.coalesce(F.col(text), F.lit("")))
+    prints = checkpoint(documents.select(F.col(doc_id).alias("doc_id"), digest.alias("digest"), fingerprint_of(F.col(text)).alias("fp")))
+    # a struct is ordered by its first field first
+    rank = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "digest")
+    _, lowest = _classes(prints, rank, distance, segments)
+    winners = checkpoint(lowest.select(F.col("low.doc_id").alias("keep"), F.col("low.digest").alias("print")))
+    packed = documents.select(F.struct("*").alias("row"), F.col(doc_id).alias("id"), digest.alias("digest"))
+    kept = packed.join(winners, (F.col("digest") == F.col("print")) & F.col("id").eqNullSafe(F.col("keep")), "left_semi")
+    if not prints.groupBy("digest", "doc_id").agg(F.count("*").alias("rows")).filter("rows > 1").isEmpty():
+        kept = kept.groupBy("digest", "id").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+    return kept.select("row.*")

@@ -1,3 +1,5 @@
+import hashlib
+
 import numpy as np
 import pytest
 import xxhash
@@ -89,10 +91,23 @@ def test_one_document_of_each_group_stays(spark):
     frame = documents(spark, rows, EXTRA)
     kept = simhash.keep_one(frame)
     assert kept.columns == frame.columns
-    found = plain_components([r[:2] for r in rows])
-    ids = [r.doc_id for r in kept.collect()]
-    assert sorted(i for i in ids if i is not None) == sorted({c for i, _, c in found if i is not None and i == c})
-    assert ids.count(None) == 0  # each null id has a near copy with an id
+    prints = {r[1]: simhash.fingerprint(r[1]) for r in rows}
+    groups = []  # of texts, by links between fingerprints
+    for text, print_ in prints.items():
+        near = [g for g in groups if any((prints[t] ^ print_).bit_count() <= simhash.DISTANCE for t in g)]
+        groups = [g for g in groups if g not in near] + [{text}.union(*near)]
+
+    def first(group):
+        own = [r for r in rows if r[1] in group]
+        return min(own, key=lambda r: (r[0] is None, r[0] or 0, hashlib.md5((r[1] or "").encode()).hexdigest()))[:2]
+
+    assert tuples(kept, "doc_id", "text") == sorted((first(g) for g in groups), key=repr)
+
+
+def test_rows_of_one_id_with_other_texts_stay_as_documents_of_their_own(spark):
+    rows = [(1, prose(1, 60), "a", "s", 1), (1, prose(2, 60), "b", "s", 1), (2, prose(2, 60), "c", "s", 1), (1, prose(1, 60), "d", "s", 1)]
+    kept = tuples(simhash.keep_one(documents(spark, rows)), "doc_id", "text")
+    assert kept == sorted({(1, prose(1, 60)), (1, prose(2, 60))}, key=repr)
 
 
 def test_rows_without_any_id_keep_one_per_group(spark):
