@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from casewatch.llm import bpe, mixing, near_copies, quality_gam, quality_rules
+from casewatch.llm import bpe, mixing, quality_gam, quality_rules, simhash
 from casewatch.llm.common import shared_folder, ship, table
 from casewatch.llm.queries import vocabulary_file
 
@@ -28,9 +28,9 @@ def passing_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: 0.8 or more of their five-word shingles in common."""
+    """One document of each group of near copies by SimHash: four-word shingles, up to 4 of 64 bits apart."""
     ship(spark)
-    return near_copies.keep_one(docs)
+    return simhash.keep_one(docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
