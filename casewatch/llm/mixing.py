@@ -22,6 +22,7 @@ from casewatch.llm.common import SPACE_CLASS, SPACES, checkpoint, local_table
 
 WEIGHTS, MAX_PASSES = (1.0, 2.0, 3.0), 3
 BLOCK_WORDS, SHARD_SLOTS, BUCKET_ROWS = 64, 4096, 4_000
+TASK_SLOTS = 1 << 17
 MAX_SOURCES = 100_000
 
 _WORD = re.compile(rf"[^{SPACES}]+")
@@ -134,7 +135,8 @@ def _slots(documents: DataFrame, sources: list[Source], seed: int) -> DataFrame:
     )
     before = Window.partitionBy("source_no").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     numbered = drawn.withColumn("first", F.coalesce(F.sum("n").over(before), F.lit(0)))
-    spread = numbered.repartition("shard", "source_no")
+    # by the slots, as their rows are too few and small for Spark to see the work behind them
+    spread = numbered.repartition(max(1, -(-shards * SHARD_SLOTS // TASK_SLOTS)), "shard", "source_no")
     return spread.mapInPandas(places, "shard bigint, source_no int, pass bigint, block bigint")
 
 
@@ -247,21 +249,33 @@ def mixed_documents(
     """The mix as documents: one row per document and pass with the words taken in that pass.
 
     All columns are kept; `text` holds the words taken, whole texts unchanged, and
-    `length` (if the table has it) their code points. Documents not taken are missing.
+    `length` (if the table has it) their code points. Documents not taken are missing, and
+    with them null and word-less texts; an empty table gives no rows. Null ids and sources
+    are values like any other. Rows that agree in id, source and text are documents of their
+    own, of which each takes its other columns from the first of them by a hash of the row.
     """
     mixed = mix(documents, text, doc_id, source)
     span = F.struct("first_word", "n_words")
     passes = mixed.pieces.filter("pass is not null").groupBy("source_no", "start", "doc_id", "digest", "pass")
-    taken = passes.agg(F.sort_array(F.collect_list(span)).alias("spans")).select("doc_id", "digest", "spans")
+    spans = passes.agg(F.sort_array(F.collect_list(span)).alias("spans"))
+    schema = T.StructType([T.StructField("source_no", T.IntegerType()), T.StructField("name", T.StringType())])
+    names = local_table(documents.sparkSession, [(s.number, s.name) for s in mixed.sources], schema)
+    taken = spans.join(names, "source_no").select("doc_id", "name", "digest", "spans")
 
     def cuts(texts: pd.Series, spans: pd.Series) -> pd.Series:
         return pd.Series([cut(t, [(s["first_word"], s["n_words"]) for s in p]) for t, p in zip(texts, spans)], dtype=object)
 
     make = F.pandas_udf(cuts, T.StringType()).asNondeterministic()  # so that it runs once for text and length
-    whole = documents.select(F.struct("*").alias("row"), F.col(doc_id).alias("id"), F.xxhash64(F.col(text)).alias("hash"))
-    once = Window.partitionBy("id", "hash").orderBy("hash")
-    single = whole.withColumn("nth", F.row_number().over(once)).filter("nth = 1")
-    same = single["id"].eqNullSafe(taken["doc_id"]) & (single["hash"] == taken["digest"])
+    single = documents.select(
+        F.struct("*").alias("row"), F.col(doc_id).alias("id"), F.col(source).alias("origin"), F.xxhash64(F.col(text)).alias("hash")
+    )
+    if not mixed.sized.groupBy("doc_id", "source", "digest").agg(F.count("*").alias("rows")).filter("rows > 1").isEmpty():
+        single = single.groupBy("id", "origin", "hash").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+    same = (
+        single["id"].eqNullSafe(taken["doc_id"])
+        & single["origin"].eqNullSafe(taken["name"])
+        & (single["hash"] == taken["digest"])
+    )
     rows = single.join(taken, same).select("row", make(F.col(f"row.{text}"), "spans").alias("taken"))
     values = {text: F.col("taken")} | ({length: F.length("taken").cast("bigint")} if length in documents.columns else {})
     return rows.select(*(values.get(c, F.col(f"row.{c}")).alias(c) for c in documents.columns))

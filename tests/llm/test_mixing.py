@@ -97,6 +97,46 @@ def test_mixed_documents_hold_the_words_taken(spark):
     assert words == {i: n for i, n in taken.items() if n}
 
 
+def test_one_id_and_text_in_two_sources_are_two_documents(spark):
+    text = prose(3, 500)
+    rows = [(1, text, "en", "a", 1), (1, text, "de", "b", 1), (2, prose(4, 500), "fr", None, 1), (2, prose(4, 500), "fr", None, 1)]
+    mixed = mixing.mix(documents(spark, rows))
+    wanted = {}
+    for r in mixed.pieces.filter("pass is not null").select("source_no", "start", "pass", "n_words").collect():
+        key = (["a", "b", None][r.source_no], r["pass"])
+        wanted[key] = wanted.get(key, 0) + r.n_words
+    out = mixing.mixed_documents(documents(spark, rows)).collect()
+    per_source = {}
+    for r in out:
+        assert (r.source, r.lang) in {("a", "en"), ("b", "de"), (None, "fr")}
+        per_source[r.source] = per_source.get(r.source, 0) + len(r.text.split())
+    for name in ("a", "b", None):
+        assert per_source.get(name, 0) == sum(n for (s, _), n in wanted.items() if s == name)
+    assert per_source["b"] > 0
+
+
+def test_mixed_documents_of_an_empty_table(spark):
+    assert mixing.mixed_documents(documents(spark, [])).count() == 0
+
+
+def test_taken_words_by_hand(spark):
+    """`taken` from the slots alone: blocks are cut from each source's stream of words."""
+    frame = documents(spark, big(60))
+    mixed = mixing.mix(frame)
+    slots = {}
+    for r in mixing._slots(frame, mixed.sources, 7).collect():
+        slots[r.source_no, r.block] = slots.get((r.source_no, r.block), 0) + 1
+    places = mixed.pieces.select("source_no", "doc_id", "start", "size").distinct().collect()
+    wanted = {}
+    for r in places:
+        n = sum(slots.get((r.source_no, w // mixing.BLOCK_WORDS), 0) for w in range(r.start, r.start + r.size))
+        wanted[r.doc_id] = wanted.get(r.doc_id, 0) + n
+    found = {}
+    for r in mixing.taken_words(mixed).collect():
+        found[r.doc_id] = found.get(r.doc_id, 0) + r.taken
+    assert found == wanted
+
+
 def test_cut_keeps_white_space_and_joins_neighbours():
     text = "  a b\n\nc  d e "
     assert mixing.cut(text, [(0, 5)]) == text
