@@ -36,7 +36,7 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HTTP_HEAD = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {}\r\n\r\n"
 PAGE_URN = "urn:x-page:"
 
-LINES_PER_BLOCK, LEVEL, FILE_BYTES, READ_BYTES = 3000, 4, 1 << 30, 32 << 20
+LINES_PER_BLOCK, LEVEL, FILE_BYTES, READ_BYTES = 3000, 4, 1 << 30, 8 << 20
 
 CAPTURES = "key string, page_id string, file string, offset bigint, length bigint"
 BLOCKS = "first_key string, last_key string, file string, offset bigint, length bigint, lines bigint"
@@ -318,7 +318,9 @@ def fetch(archive: Archive, urls: DataFrame, url: str = "url", payloads: bool =
     place = "file string, offset bigint, length bigint"
     blocks = sorted_keys.mapInPandas(_blocks_of(archive.directory), f"key string, {place}")
     by_block = blocks.repartition("file", "offset").sortWithinPartitions("file", "offset")
-    captures = by_block.mapInPandas(_captures_in(archive.root), CAPTURES)
-    by_range = captures.withColumn("stretch", F.floor(F.col("offset") / READ_BYTES)).repartition("file", "stretch")
+    captures = checkpoint(by_block.mapInPandas(_captures_in(archive.root), CAPTURES))
+    # by the bytes to be read, which the rows' own size does not tell
+    tasks = max(1, -(-(captures.agg(F.sum("length")).first()[0] or 0) // READ_BYTES))
+    by_range = captures.withColumn("stretch", F.floor(F.col("offset") / READ_BYTES)).repartition(tasks, "file", "stretch")
     ordered = by_range.sortWithinPartitions("file", "offset").drop("stretch")
     return ordered.mapInPandas(_records_at(archive.root, payloads), RECORDS)
