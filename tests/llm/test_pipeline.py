@@ -34,7 +34,7 @@ def test_stages_in_order(spark, tmp_path):
     assert good <= set(kept["quality_classifier"]) and not {i for i in range(300) if i % 3 == 0} & set(kept["quality_classifier"])
     assert good <= set(kept["quality_rules"]) and not {2000, 2001} & set(kept["quality_rules"])
     assert sorted(kept["simhash"]) == sorted(good)
-    assert set(kept["mixing"]) <= good and len(kept["mixing"]) > 0 and kept["bpe"].sort() == kept["mixing"].sort()
+    assert set(kept["mixing"]) <= good and len(kept["mixing"]) > 0 and sorted(kept["bpe"]) == sorted(kept["mixing"])
     mixed = spark.read.parquet(f"{tmp_path}/out/mixing").collect()
     encoder = bpe.encoder(queries.vocabulary_file())
     expected = sorted((r.doc_id, len(encoder.encode(r.text)) // 4) for r in mixed)
