@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, functions as F
 
-from casewatch.operators.census import census, membership, total
+from casewatch.operators.census import census, membership, splittable_ids, total
 from casewatch.operators.silver import keep_valid, latest_version
 
 INSERTED, UPDATED, UNCHANGED = "inserted", "updated", "unchanged"
@@ -101,6 +101,35 @@ def refresh_child(
     return kept.select(target.columns).unionByName(valid, allowMissingColumns=True)
 
 
+def changed_reports(batch: DataFrame, replaced: DataFrame, demo: DataFrame) -> DataFrame:
+    """primaryid, was_stored, present: the reports that a DEMO merge may have touched.
+
+    They are the batch's and those of the stored rows that it replaced. `present` tells
+    whether the merged DEMO has the report; of that table one column is read.
+    """
+    flag = F.max("was_stored").alias("was_stored")
+    asked = batch.select("primaryid", F.lit(False).alias("was_stored")).unionAll(
+        replaced.select("primaryid", F.lit(True))
+    )
+    asked = asked.filter("primaryid is not null").groupBy("primaryid", F.length("primaryid").alias("_width")).agg(flag)
+    there = demo.select("primaryid").join(asked.select("primaryid"), "primaryid", "left_semi").distinct()
+    known = asked.drop("_width").join(there.withColumn("present", F.lit(True)), "primaryid", "left")
+    return known.select("primaryid", "was_stored", F.coalesce("present", F.lit(False)).alias("present"))
+
+
+def replace_reports(stored: DataFrame, batch: DataFrame, changed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Child rows after a DEMO merge, for `stored` rows without orphans, and the ids replaced or gone.
+
+    Rows of the batch whose report the merged DEMO has take the place of that report's
+    rows; rows of reports that it lost go. Both inputs of each join are direct exchanges.
+    """
+    valid = batch.join(changed.filter("present").select("primaryid"), "primaryid", "left_semi")
+    gone = changed.filter("was_stored and not present").select("primaryid")
+    ids = splittable_ids(valid.select("primaryid").unionAll(gone), "primaryid").select("primaryid")
+    kept = stored.join(ids, "primaryid", "left_anti")
+    return kept.select(stored.columns).unionByName(valid, allowMissingColumns=True), ids
+
+
 def _batch_and_demo(batch: DataFrame, demo: DataFrame) -> DataFrame:
     return membership({"batch": batch, "demo": demo}, "primaryid")
 

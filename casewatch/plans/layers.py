@@ -16,14 +16,15 @@ from casewatch.functions.statistics import Thresholds
 from casewatch.operators import merge, quality, signals
 from casewatch.operators.silver import clean_child, clean_demo, keep_valid
 from casewatch.schema import CHILDREN, COLUMNS, TABLES, data_columns
-from casewatch.sources import files, raw, tables
+from casewatch.sources import buckets, files, raw, tables
 
 
 @dataclass(frozen=True)
 class Layout:
-    """Where the layers of one project live."""
+    """Where the layers of one project live, and in how many buckets Silver tables lie."""
 
     root: str
+    buckets: int = buckets.BUCKETS
 
     def raw(self, year: str, quarter: str) -> str:
         return f"{self.root}/raw/{year}{quarter.lower()}"
@@ -64,11 +65,11 @@ def load_silver(
     once and not once per child table.
     """
     bronze = read_quarter(spark, layout, year, quarter)
-    written = {"demo": tables.write_version(clean_demo(bronze["demo"], as_of), layout.silver("demo"))}
+    written = {"demo": buckets.write(clean_demo(bronze["demo"], as_of), layout.silver("demo"), "caseid", layout.buckets)}
     demo = tables.read_version(spark, layout.silver("demo"))
     for table in CHILDREN:
         child = keep_valid(clean_child(table, bronze[table], as_of), demo)
-        written[table] = tables.write_version(child, layout.silver(table))
+        written[table] = buckets.write(child, layout.silver(table), "primaryid", layout.buckets)
     return written
 
 
@@ -108,39 +109,76 @@ def shared_checkpoints(spark: SparkSession, fallback: str) -> None:
 def merge_demo_table(
     spark: SparkSession, layout: Layout, batch: DataFrame, one_per_case: bool = False
 ) -> dict[str, int]:
-    """Upserts a cleaned DEMO batch and returns the row counts of the merge.
+    """Upserts a cleaned DEMO batch and returns the row counts of the merge."""
+    return _merge_demo(spark, layout, batch, one_per_case)[0]
+
+
+def _merge_demo(
+    spark: SparkSession, layout: Layout, batch: DataFrame, one_per_case: bool
+) -> tuple[dict[str, int], DataFrame | None]:
+    """Counts of the merge, and the reports that it may have touched; None for a first load.
 
     Which case gets which action is checkpointed as two narrow columns: they feed the
     counts, the replaced ids and the written rows, and survive the loss of an executor.
+    Of a table in buckets, those of the batch's cases are read and those of changed cases
+    written; if there are none, no version is.
     """
     path = layout.silver("demo")
     if not tables.versions(spark, path):
-        tables.write_version(batch if one_per_case else merge.latest_version(batch), path)
-        rows = tables.read_version(spark, path).count()
-        return {"source_rows": rows, "inserted": rows, "matched": 0, "updated": 0, "unchanged": 0}
+        buckets.write(batch if one_per_case else merge.latest_version(batch), path, "caseid", layout.buckets)
+        rows = buckets.manifest(spark, path).rows
+        return {"source_rows": rows, "inserted": rows, "matched": 0, "updated": 0, "unchanged": 0}, None
     shared_checkpoints(spark, f"{layout.root}/checkpoints")
-    target = tables.read_version(spark, path)
     source = batch if one_per_case else merge.latest_version(batch)
+    known, target = buckets.manifest(spark, path), tables.read_version(spark, path)
+    if known:
+        target = buckets.read(spark, path, known, buckets.buckets_with(source, known.key, known.buckets))
     actions = merge.demo_actions(target, source, one_per_case=True)
     decided = actions.select("caseid", "_action").checkpoint()
-    acted = source.join(decided, source["caseid"].eqNullSafe(decided["caseid"])).select(*(source[c] for c in source.columns), "_action")
-    tables.write_version(merge.apply_demo_actions(target, acted), path)
-    return merge.demo_merge_stats(decided).first().asDict()
+    stats = merge.demo_merge_stats(decided).first().asDict()
+    updated = decided.filter(F.col("_action") == merge.UPDATED).select("caseid")
+    replaced = target.select("primaryid", "caseid").join(updated, "caseid", "left_semi").checkpoint()
+    if stats["inserted"] or stats["updated"]:
+        only = None
+        if known:
+            only = buckets.buckets_with(decided.filter(F.col("_action") != merge.UNCHANGED), known.key, known.buckets)
+            target = buckets.read(spark, path, known, only)
+        acted = source.join(decided, source["caseid"].eqNullSafe(decided["caseid"]))
+        acted = acted.select(*(source[c] for c in source.columns), "_action")
+        buckets.write(merge.apply_demo_actions(target, acted), path, "caseid", layout.buckets, only)
+    merged = tables.read_version(spark, path)
+    return stats, merge.changed_reports(source, replaced, merged).checkpoint()
 
 
 def merge_child_table(
-    spark: SparkSession, layout: Layout, table: str, batch: DataFrame
+    spark: SparkSession, layout: Layout, table: str, batch: DataFrame, changed: DataFrame | None = None
 ) -> dict[str, int]:
-    """Replaces the batch's reports in a child table and drops orphaned rows."""
+    """Replaces the batch's reports in a child table and drops orphaned rows.
+
+    With the reports that a DEMO merge touched, and a table in buckets, only the buckets of
+    replaced and lost reports are read and written; rows that were orphans before stay for
+    `drop_orphans`. Otherwise the table is rewritten.
+    """
     path = layout.silver(table)
+    known = buckets.manifest(spark, path) if tables.versions(spark, path) else None
+    if changed is not None and known:
+        stored = buckets.read(spark, path, known)
+        _, ids = merge.replace_reports(stored.limit(0), batch, changed)
+        only = buckets.buckets_with(ids, known.key, known.buckets)
+        written = 0
+        if only:
+            rows, _ = merge.replace_reports(buckets.read(spark, path, known, only), batch, changed)
+            buckets.write(rows, path, "primaryid", only=only)
+            written = batch.join(changed.filter("present"), "primaryid", "left_semi").count()
+        return {"before": known.rows, "written": written, "after": buckets.manifest(spark, path).rows}
     demo = tables.read_version(spark, layout.silver("demo"))
     stored = tables.read_version(spark, path) if tables.versions(spark, path) else None
     written = Observation()
-    tables.write_version(merge.refresh_child(stored, batch, demo, written), path)
+    buckets.write(merge.refresh_child(stored, batch, demo, written), path, "primaryid", layout.buckets)
     return {
         "before": stored.count() if stored is not None else 0,
         "written": written.get["rows"],
-        "after": tables.read_version(spark, path).count(),
+        "after": buckets.manifest(spark, path).rows,
     }
 
 
@@ -154,11 +192,9 @@ def upsert_quarter(
     bronze = read_quarter(spark, layout, year, quarter)
     shared_checkpoints(spark, f"{layout.root}/checkpoints")
     demo = clean_demo(bronze["demo"], as_of).checkpoint()
-    stats = {"demo": merge_demo_table(spark, layout, demo, one_per_case=True)}
-    for table in CHILDREN:
-        batch = keep_valid(clean_child(table, bronze[table], as_of), demo)
-        stats[table] = merge_child_table(spark, layout, table, batch)
-    return stats
+    merged, changed = _merge_demo(spark, layout, demo, one_per_case=True)
+    batches = {t: keep_valid(clean_child(t, bronze[t], as_of), demo) for t in CHILDREN}
+    return {"demo": merged} | {t: merge_child_table(spark, layout, t, batches[t], changed) for t in CHILDREN}
 
 
 def drop_orphans(spark: SparkSession, layout: Layout) -> dict[str, dict[str, int]]:
@@ -169,8 +205,8 @@ def drop_orphans(spark: SparkSession, layout: Layout) -> dict[str, dict[str, int
         path = layout.silver(table)
         if tables.versions(spark, path):
             stored = tables.read_version(spark, path)
-            tables.write_version(keep_valid(stored, demo), path)
-            before, after = stored.count(), tables.read_version(spark, path).count()
+            buckets.write(keep_valid(stored, demo), path, "primaryid", layout.buckets)
+            before, after = stored.count(), buckets.manifest(spark, path).rows
             stats[table] = {"before": before, "after": after, "removed": before - after}
     return stats
 

@@ -41,6 +41,26 @@ def first_line(spark: SparkSession, path: str, encoding: str) -> str | None:
         reader.close()
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file."""
+    hadoop_path, fs = _open(spark, path)
+    stream = fs.open(hadoop_path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Writes a small text file, which must not exist."""
+    hadoop_path, fs = _open(spark, path)
+    stream = fs.create(hadoop_path, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Removes a file or a folder with all it holds; nothing when it does not exist."""
     hadoop_path, fs = _open(spark, path)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 from casewatch.schema import PARTITIONS, raw_schema
-from casewatch.sources import files
+from casewatch.sources import buckets, files
 
 _PREFIX = "version="
 
@@ -23,12 +23,21 @@ def versions(spark: SparkSession, path: str) -> list[int]:
 
 
 def read_version(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
-    """A version of a table, the latest by default."""
+    """A version of a table, with or without buckets; the latest by default."""
     if version is None:
         version = versions(spark, path)[-1]
+    known = buckets.manifest(spark, path, version)
+    if known:
+        return buckets.read(spark, path, known)
     return spark.read.parquet(f"{path}/{_PREFIX}{version}")
 
 
+def next_version(spark: SparkSession, path: str) -> int:
+    """One more than the highest number taken, by an unfinished write too."""
+    taken = [int(n[len(_PREFIX) :]) for n in files.names(spark, path) if n.startswith(_PREFIX)]
+    return max(taken, default=0) + 1
+
+
 def write_version(df: DataFrame, path: str, keep_versions: int | None = None) -> int:
     """Writes df as the table's next version and returns its number.
 
@@ -37,8 +46,7 @@ def write_version(df: DataFrame, path: str, keep_versions: int | None = None) ->
     that still read a removed version fail.
     """
     spark = df.sparkSession
-    taken = [int(n[len(_PREFIX) :]) for n in files.names(spark, path) if n.startswith(_PREFIX)]
-    version = max(taken, default=0) + 1
+    version = next_version(spark, path)
     df.write.mode("errorifexists").parquet(f"{path}/{_PREFIX}{version}")
     if keep_versions is not None:
         for old in versions(spark, path)[: -max(1, keep_versions)]:
