@@ -117,17 +117,20 @@ def changed_reports(batch: DataFrame, replaced: DataFrame, demo: DataFrame) -> D
     return known.select("primaryid", "was_stored", F.coalesce("present", F.lit(False)).alias("present"))
 
 
-def replace_reports(stored: DataFrame, batch: DataFrame, changed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Child rows after a DEMO merge, for `stored` rows without orphans, and the ids replaced or gone.
+def replacing_rows(batch: DataFrame, changed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The batch's child rows whose report the merged DEMO has, and the reports whose stored rows go.
 
-    Rows of the batch whose report the merged DEMO has take the place of that report's
-    rows; rows of reports that it lost go. Both inputs of each join are direct exchanges.
+    Those are the reports of these rows, and the ones that DEMO lost.
     """
     valid = batch.join(changed.filter("present").select("primaryid"), "primaryid", "left_semi")
     gone = changed.filter("was_stored and not present").select("primaryid")
-    ids = splittable_ids(valid.select("primaryid").unionAll(gone), "primaryid").select("primaryid")
+    return valid, splittable_ids(valid.select("primaryid").unionAll(gone), "primaryid").select("primaryid")
+
+
+def replace_reports(stored: DataFrame, valid: DataFrame, ids: DataFrame) -> DataFrame:
+    """Stored child rows without those of the reports `ids`, and the rows that replace them."""
     kept = stored.join(ids, "primaryid", "left_anti")
-    return kept.select(stored.columns).unionByName(valid, allowMissingColumns=True), ids
+    return kept.select(stored.columns).unionByName(valid, allowMissingColumns=True)
 
 
 def _batch_and_demo(batch: DataFrame, demo: DataFrame) -> DataFrame:

@@ -64,15 +64,18 @@ def _shared_reports(with_drug: DataFrame, with_event: DataFrame) -> DataFrame:
     return with_drug.join(with_event, "primaryid", "left_semi").agg(F.count("*").alias("N"))
 
 
-def _two_by_two(pairs: DataFrame, drugs: DataFrame, events: DataFrame, reports: DataFrame) -> DataFrame:
+def two_by_two(pairs: DataFrame, drugs: DataFrame, events: DataFrame, reports: DataFrame) -> DataFrame:
     """Counts put together: one row per pair with a, both totals and N.
 
-    N is a scalar subquery: part of the plan, neither an action nor a cross join.
+    N is a scalar subquery: part of the plan, neither an action nor a cross join. It is a
+    column of the drugs' totals, so that it is planned once: above the joins, each use of N
+    in a filter or score would get a copy of the subquery.
     """
+    counted = drugs.withColumn("N", reports.scalar())
     return (
-        pairs.join(drugs, "drugname")
+        pairs.join(counted, "drugname")
         .join(events, "pt")
-        .select("pt", "drugname", "a", "drug_total", "event_total", reports.scalar().alias("N"))
+        .select("pt", "drugname", "a", "drug_total", "event_total", "N")
     )
 
 
@@ -84,10 +87,14 @@ def count_reports(drug: DataFrame, reac: DataFrame) -> DataFrame:
     whose report has some reaction, so each is a semi-join with unique report ids, on
     direct exchanges that AQE may split like those of the pairs.
     """
-    drugs, events = suspect_drugs(drug), reactions(reac)
+    return two_by_two(*count_parts(suspect_drugs(drug), reactions(reac)))
+
+
+def count_parts(drugs: DataFrame, events: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """a per pair, drug_total per drug, event_total per event, and N, of distinct drugs and events of reports."""
     with_drug, with_event = _report_ids(drugs), _report_ids(events)
     one = F.count("*")
-    return _two_by_two(
+    return (
         _pair_counts(drugs, events),
         drugs.join(with_event, "primaryid", "left_semi").groupBy("drugname").agg(one.alias("drug_total")),
         events.join(with_drug, "primaryid", "left_semi").groupBy("pt").agg(one.alias("event_total")),
@@ -105,7 +112,7 @@ def count_pairs(pairs: DataFrame) -> DataFrame:
     def reports(*by: str, name: str) -> DataFrame:
         return once.select("primaryid", *by).distinct().groupBy(*by).agg(F.count("*").alias(name))
 
-    return _two_by_two(
+    return two_by_two(
         once.groupBy("drugname", "pt").agg(F.count("*").alias("a")),
         reports("drugname", name="drug_total"),
         reports("pt", name="event_total"),

@@ -13,12 +13,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from casewatch.functions.statistics import Thresholds
 from casewatch.lazy import LazyTables
-from casewatch.operators import merge, profile, quality, signals, silver
+from casewatch.operators import incremental, merge, profile, quality, signals, silver
 from casewatch.operators.census import as_rows, census, total
 from casewatch.plans import layers
 from casewatch.plans.adapter import raw_tables
 from casewatch.schema import CHILDREN, COLUMNS, FILE_LINEAGE, PRIMARY_SUSPECT
-from casewatch.sources import files, raw
+from casewatch.sources import compare, files, raw
 from casewatch.sources.tables import of_quarter, read_bronze, read_version, versions, write_version
 
 # Parameters of registered queries, shared with their oracles.
@@ -32,6 +32,7 @@ NAME_FRAGMENTS = ["widget", "anvil"]
 STRICT = Thresholds(prr=3.0, chi2=6.63, reports=5)
 YEAR, OLD_QUARTER, NEW_QUARTER = "2024", "Q1", "Q2"
 RUN_LABEL = "all_quarters"
+STORED_BUCKETS = 8  # of Silver tables in stored runs
 
 
 class Reports:
@@ -220,6 +221,49 @@ def stored_snapshot_diff(r: Reports) -> DataFrame:
     return _kept(r, layout, merge.snapshot_diff(before, after))
 
 
+def stored_row_changes(r: Reports) -> DataFrame:
+    """The cases of DEMO that were added, lost or changed between its first and its last version."""
+    layout = loaded_and_merged(r)
+    path = layout.silver("demo")
+    first, *_, last = versions(r.spark, path)
+    return _kept(r, layout, compare.changed_rows(r.spark, path, "caseid", first, last))
+
+
+def stored_silver(table: str) -> Callable[[Reports], DataFrame]:
+    """A Silver table as stored after the merge of the second quarter."""
+
+    def query(r: Reports) -> DataFrame:
+        layout = loaded_and_merged(r)
+        return _kept(r, layout, read_version(r.spark, layout.silver(table)))
+
+    return query
+
+
+def contingency_carried_on(r: Reports) -> DataFrame:
+    """Scores after the second quarter, from the first one's counts and the reports touched since."""
+    layout = ingested(r)
+    layers.load_silver(r.spark, layout, YEAR, OLD_QUARTER)
+    layers.store_counts(r.spark, layout)
+    _, reports = layers.upsert_reports(r.spark, layout, YEAR, NEW_QUARTER)
+    layers.update_counts(r.spark, layout, reports)
+    counts = layers.read_counts(r.spark, layout)
+    return _kept(r, layout, signals.gold_columns(incremental.scored(counts)))
+
+
+def bronze_line_breaks(r: Reports) -> DataFrame:
+    """DRUG with line breaks in its ingredients, after the way through text files and Bronze."""
+    layout = layers.Layout(layers.scratch_folder(r.spark), STORED_BUCKETS)
+    broken = F.concat_ws("\n", "prod_ai", F.concat(F.lit(" $"), F.trim("route")), F.lit(""))
+    for quarter in (OLD_QUARTER, NEW_QUARTER):
+        drug = r.raw_quarter(quarter)["drug"]
+        some = F.when(F.col("primaryid").cast("bigint") % 3 == 0, broken).otherwise(F.col("prod_ai"))
+        layers.write_raw({"drug": drug.withColumn("prod_ai", some)}, layout, YEAR, quarter)
+        layers.ingest(r.spark, layout, YEAR, quarter)
+    stored = read_bronze(r.spark, f"{layout.bronze}/drug")
+    named = F.col("_source_file").isNotNull() & F.col("_ingestion_ts").isNotNull()
+    return _kept(r, layout, stored.withColumn("has_lineage", named).drop(*FILE_LINEAGE))
+
+
 def drop_orphans_counts(r: Reports) -> DataFrame:
     """Orphan removal on stored tables into which all orphans of the quarter were put."""
     layout = ingested(r, quarters=[OLD_QUARTER])
@@ -235,7 +279,7 @@ def drop_orphans_counts(r: Reports) -> DataFrame:
 
 def changed_columns(r: Reports) -> DataFrame:
     """Two quarters of which the second has one more column and lacks another, upserted."""
-    layout = layers.Layout(layers.scratch_folder(r.spark))
+    layout = layers.Layout(layers.scratch_folder(r.spark), STORED_BUCKETS)
     old, new = (r.raw_quarter(q) for q in (OLD_QUARTER, NEW_QUARTER))
     changed = {t: new[t] for t in CHILDREN}
     changed["demo"] = new["demo"].withColumn("auth_num", F.concat(F.lit("A"), "primaryid")).drop("occr_country")
@@ -257,7 +301,7 @@ def changed_columns(r: Reports) -> DataFrame:
 
 def sample_export_text(r: Reports) -> DataFrame:
     """The sampled REAC rows written as delimited text and read back."""
-    layout = layers.Layout(layers.scratch_folder(r.spark))
+    layout = layers.Layout(layers.scratch_folder(r.spark), STORED_BUCKETS)
     sample = profile.sample_reports({"demo": r.raw["demo"], "reac": r.raw["reac"]})
     raw.write_delimited(sample["reac"].select(COLUMNS["reac"]), f"{layout.root}/REAC.txt")
     return _kept(r, layout, raw.read_file(r.spark, f"{layout.root}/REAC.txt", multi_line=False))
@@ -267,7 +311,7 @@ def ingested(
     r: Reports, only: list[str] | None = None, quarters: tuple[str, ...] | list[str] = (OLD_QUARTER, NEW_QUARTER)
 ) -> layers.Layout:
     """A new project with quarters written as text and ingested; all tables unless named."""
-    layout = layers.Layout(layers.scratch_folder(r.spark))
+    layout = layers.Layout(layers.scratch_folder(r.spark), STORED_BUCKETS)
     for quarter in quarters:
         bronze = r.raw_quarter(quarter)
         layers.write_raw({t: bronze[t] for t in only or bronze}, layout, YEAR, quarter)
@@ -322,6 +366,10 @@ QUERIES: dict[str, Callable[[Reports], DataFrame]] = {
     "changed_columns": changed_columns,
     "quality_log": quality_log,
     "stored_snapshot_diff": stored_snapshot_diff,
+    "stored_row_changes": stored_row_changes,
+    **{f"stored_{t}": stored_silver(t) for t in ("demo", "drug")},
+    "contingency_carried_on": contingency_carried_on,
+    "bronze_line_breaks": bronze_line_breaks,
     "drop_orphans_counts": drop_orphans_counts,
     "sample_export_text": sample_export_text,
     # Silver

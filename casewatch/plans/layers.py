@@ -13,7 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from casewatch.functions.statistics import Thresholds
-from casewatch.operators import merge, quality, signals
+from casewatch.lazy import side_by_side
+from casewatch.operators import incremental, merge, quality, signals
 from casewatch.operators.silver import clean_child, clean_demo, keep_valid
 from casewatch.schema import CHILDREN, COLUMNS, TABLES, data_columns
 from casewatch.sources import buckets, files, raw, tables
@@ -67,10 +68,12 @@ def load_silver(
     bronze = read_quarter(spark, layout, year, quarter)
     written = {"demo": buckets.write(clean_demo(bronze["demo"], as_of), layout.silver("demo"), "caseid", layout.buckets)}
     demo = tables.read_version(spark, layout.silver("demo"))
-    for table in CHILDREN:
+
+    def load(table: str) -> int:
         child = keep_valid(clean_child(table, bronze[table], as_of), demo)
-        written[table] = buckets.write(child, layout.silver(table), "primaryid", layout.buckets)
-    return written
+        return buckets.write(child, layout.silver(table), "primaryid", layout.buckets)
+
+    return written | side_by_side(CHILDREN, load)
 
 
 def scratch_folder(spark: SparkSession) -> str:
@@ -88,11 +91,13 @@ def write_raw(
 
     The known columns are written, or with all_columns what the frames hold but lineage.
     """
-    for table in bronze:
+
+    def write(table: str) -> None:
         names = data_columns(bronze[table].columns) if all_columns else COLUMNS[table]
-        rows = bronze[table].select(names)
         name = f"{table.upper()}{year[-2:]}{quarter}.txt"
-        raw.write_delimited(rows, f"{layout.raw(year, quarter)}/{name}")
+        raw.write_delimited(bronze[table].select(names), f"{layout.raw(year, quarter)}/{name}")
+
+    side_by_side(bronze, write)
 
 
 def ingest(spark: SparkSession, layout: Layout, year: str, quarter: str) -> dict[str, int]:
@@ -162,15 +167,13 @@ def merge_child_table(
     path = layout.silver(table)
     known = buckets.manifest(spark, path) if tables.versions(spark, path) else None
     if changed is not None and known:
-        stored = buckets.read(spark, path, known)
-        _, ids = merge.replace_reports(stored.limit(0), batch, changed)
+        shared_checkpoints(spark, f"{layout.root}/checkpoints")
+        valid, ids = (df.checkpoint() for df in merge.replacing_rows(batch, changed))
         only = buckets.buckets_with(ids, known.key, known.buckets)
-        written = 0
         if only:
-            rows, _ = merge.replace_reports(buckets.read(spark, path, known, only), batch, changed)
+            rows = merge.replace_reports(buckets.read(spark, path, known, only), valid, ids)
             buckets.write(rows, path, "primaryid", only=only)
-            written = batch.join(changed.filter("present"), "primaryid", "left_semi").count()
-        return {"before": known.rows, "written": written, "after": buckets.manifest(spark, path).rows}
+        return {"before": known.rows, "written": valid.count(), "after": buckets.manifest(spark, path).rows}
     demo = tables.read_version(spark, layout.silver("demo"))
     stored = tables.read_version(spark, path) if tables.versions(spark, path) else None
     written = Observation()
@@ -185,7 +188,14 @@ def merge_child_table(
 def upsert_quarter(
     spark: SparkSession, layout: Layout, year: str, quarter: str, as_of: dt.date | None = None
 ) -> dict[str, dict[str, int]]:
-    """Cleans one quarter of Bronze and merges all its tables into Silver.
+    """Cleans one quarter of Bronze and merges all its tables into Silver."""
+    return upsert_reports(spark, layout, year, quarter, as_of)[0]
+
+
+def upsert_reports(
+    spark: SparkSession, layout: Layout, year: str, quarter: str, as_of: dt.date | None = None
+) -> tuple[dict[str, dict[str, int]], DataFrame | None]:
+    """`upsert_quarter`, and the ids of the reports that it may have touched (None for a first load).
 
     The cleaned DEMO batch is checkpointed, as it also filters every child table.
     """
@@ -194,21 +204,22 @@ def upsert_quarter(
     demo = clean_demo(bronze["demo"], as_of).checkpoint()
     merged, changed = _merge_demo(spark, layout, demo, one_per_case=True)
     batches = {t: keep_valid(clean_child(t, bronze[t], as_of), demo) for t in CHILDREN}
-    return {"demo": merged} | {t: merge_child_table(spark, layout, t, batches[t], changed) for t in CHILDREN}
+    children = side_by_side(CHILDREN, lambda t: merge_child_table(spark, layout, t, batches[t], changed))
+    return {"demo": merged} | children, changed
 
 
 def drop_orphans(spark: SparkSession, layout: Layout) -> dict[str, dict[str, int]]:
     """Rewrites each stored child table without rows that lost their report."""
     demo = tables.read_version(spark, layout.silver("demo"))
-    stats = {}
-    for table in CHILDREN:
+
+    def drop(table: str) -> dict[str, int]:
         path = layout.silver(table)
-        if tables.versions(spark, path):
-            stored = tables.read_version(spark, path)
-            buckets.write(keep_valid(stored, demo), path, "primaryid", layout.buckets)
-            before, after = stored.count(), buckets.manifest(spark, path).rows
-            stats[table] = {"before": before, "after": after, "removed": before - after}
-    return stats
+        stored = tables.read_version(spark, path)
+        buckets.write(keep_valid(stored, demo), path, "primaryid", layout.buckets)
+        before, after = stored.count(), buckets.manifest(spark, path).rows
+        return {"before": before, "after": after, "removed": before - after}
+
+    return side_by_side((t for t in CHILDREN if tables.versions(spark, layout.silver(t))), drop)
 
 
 def build_gold(
@@ -223,6 +234,46 @@ def build_gold(
     tables.write_version(signals.signals(contingency), layout.gold("safety_signals"))
 
 
+def store_counts(spark: SparkSession, layout: Layout) -> None:
+    """Counts all reports of Silver and stores the counts, with the versions that they are of."""
+    silver = read_silver(spark, layout)
+    _write_counts(spark, layout, incremental.report_counts(silver["drug"], silver["reac"]))
+
+
+def _write_counts(spark: SparkSession, layout: Layout, counts: DataFrame) -> None:
+    of = {f"{t}_version": F.lit(tables.versions(spark, layout.silver(t))[-1]) for t in ("drug", "reac")}
+    tables.write_version(counts.withColumns(of), layout.gold("report_counts"))
+
+
+def update_counts(spark: SparkSession, layout: Layout, reports: DataFrame) -> None:
+    """Carries the stored counts on to Silver's latest versions.
+
+    `reports` are the ids touched since the counts were stored, more do no harm. Of DRUG and
+    REAC, only their buckets are read, as they were then and as they are now.
+    """
+    stored = tables.read_version(spark, layout.gold("report_counts"))
+    then = stored.select("drug_version", "reac_version").first()
+
+    def rows(table: str, version: int | None) -> DataFrame:
+        path = layout.silver(table)
+        known = buckets.manifest(spark, path, version)
+        if not known:
+            return incremental.of_reports(tables.read_version(spark, path, version), reports)
+        only = buckets.buckets_with(reports, known.key, known.buckets)
+        return incremental.of_reports(buckets.read(spark, path, known, only), reports)
+
+    now = incremental.report_counts(rows("drug", None), rows("reac", None))
+    if then:  # without counts there were no reports
+        before = incremental.report_counts(rows("drug", then["drug_version"]), rows("reac", then["reac_version"]))
+        counts = stored.drop("drug_version", "reac_version")
+        now = incremental.carried_on(counts, before, now)
+    _write_counts(spark, layout, now)
+
+
+def read_counts(spark: SparkSession, layout: Layout) -> DataFrame:
+    return tables.read_version(spark, layout.gold("report_counts")).drop("drug_version", "reac_version")
+
+
 def log_quality(spark: SparkSession, layout: Layout, run_label: str) -> DataFrame:
     """Runs the checks on Silver, appends them to the log and returns this run's rows."""
     path = layout.gold("data_quality_log")

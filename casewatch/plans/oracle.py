@@ -460,6 +460,21 @@ def _final_selects() -> dict[str, str]:
             "(select count(*) from (select caseid from merged except select caseid from demo_q1)) as new_cases, "
             "(select count(*) from (select caseid from demo_q1 except select caseid from merged)) as lost_cases"
         ),
+        "stored_row_changes": (
+            "select coalesce(b.caseid, a.caseid) as caseid, case when b.caseid is null then 'added' "
+            "when a.caseid is null then 'lost' else 'changed' end as change, "
+            "(b.caseid is not null)::bigint as rows_before, (a.caseid is not null)::bigint as rows_after "
+            f"from (select caseid, row({demo_columns}) as r from demo_q1) b "
+            f"full join (select caseid, row({demo_columns}) as r from merged) a on a.caseid = b.caseid "
+            "where a.r is distinct from b.r"
+        ),
+        "stored_demo": f"select {demo_columns} from merged",
+        "stored_drug": "select * from merged_drug",
+        "contingency_carried_on": "select * from gold_merged",
+        "bronze_line_breaks": (
+            "select * replace (case when primaryid::bigint % 3 = 0 then concat_ws(chr(10), prod_ai, ' $' || trim(route), '') "
+            f"else prod_ai end as prod_ai), true as has_lineage from ({_stored('drug')})"
+        ),
         "merge_child_with_orphans": (
             "select * from valid_drug_q1 where primaryid not in "
             "(select primaryid from valid_drug_q2 where primaryid in (select primaryid from merged)) "

@@ -8,6 +8,7 @@ from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
+from casewatch.lazy import side_by_side
 from casewatch.schema import COLUMNS, PARTITIONS, TABLES, raw_schema
 from casewatch.sources import files, spanning
 
@@ -190,14 +191,14 @@ def ingest_quarter(
     """
     if not files.exists(spark, raw_dir):
         return {}
-    counts = {}
-    for table in TABLES:
+
+    def ingest(table: str) -> int:
         paths, target = table_files(spark, raw_dir, table), f"{bronze_dir}/{table}"
-        counts[table] = 0
-        if paths or files.exists(spark, quarter_folder(target, year, quarter)):
-            rows = bronze_rows(spark, paths, table, year, quarter, multi_line)
-            counts[table] = write_bronze(rows, target, year, quarter)
-    return counts
+        if not paths and not files.exists(spark, quarter_folder(target, year, quarter)):
+            return 0
+        return write_bronze(bronze_rows(spark, paths, table, year, quarter, multi_line), target, year, quarter)
+
+    return side_by_side(TABLES, ingest)
 
 
 def write_delimited(df: DataFrame, path: str) -> None:
