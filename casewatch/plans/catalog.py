@@ -250,14 +250,18 @@ def contingency_carried_on(r: Reports) -> DataFrame:
     return _kept(r, layout, signals.gold_columns(incremental.scored(counts)))
 
 
+def with_line_breaks(drug: DataFrame) -> DataFrame:
+    """DRUG with several lines of ingredients in the rows of every third report."""
+    lines = F.concat_ws("\n", "prod_ai", F.concat(F.lit(" $"), F.trim("route")), F.lit(""))
+    some = F.when(F.col("primaryid").cast("bigint") % 3 == 0, lines).otherwise(F.col("prod_ai"))
+    return drug.withColumn("prod_ai", some)
+
+
 def bronze_line_breaks(r: Reports) -> DataFrame:
     """DRUG with line breaks in its ingredients, after the way through text files and Bronze."""
     layout = layers.Layout(layers.scratch_folder(r.spark), STORED_BUCKETS)
-    broken = F.concat_ws("\n", "prod_ai", F.concat(F.lit(" $"), F.trim("route")), F.lit(""))
     for quarter in (OLD_QUARTER, NEW_QUARTER):
-        drug = r.raw_quarter(quarter)["drug"]
-        some = F.when(F.col("primaryid").cast("bigint") % 3 == 0, broken).otherwise(F.col("prod_ai"))
-        layers.write_raw({"drug": drug.withColumn("prod_ai", some)}, layout, YEAR, quarter)
+        layers.write_raw({"drug": with_line_breaks(r.raw_quarter(quarter)["drug"])}, layout, YEAR, quarter)
         layers.ingest(r.spark, layout, YEAR, quarter)
     stored = read_bronze(r.spark, f"{layout.bronze}/drug")
     named = F.col("_source_file").isNotNull() & F.col("_ingestion_ts").isNotNull()
@@ -374,6 +378,7 @@ QUERIES: dict[str, Callable[[Reports], DataFrame]] = {
     "sample_export_text": sample_export_text,
     # Silver
     "silver_demo": lambda r: r.loaded["demo"],
+    "silver_demo_few_columns": lambda r: silver.clean_demo(r.raw["demo"].drop("occr_country", "mfr_sndr", "occp_cod")),
     "silver_drug": lambda r: r.child("drug"),
     "silver_reac": lambda r: r.child("reac"),
     "silver_outc": lambda r: r.child("outc"),
@@ -421,6 +426,8 @@ QUERIES: dict[str, Callable[[Reports], DataFrame]] = {
     "dq_summary": lambda r: quality.verdict_counts(r.dq_dirty),
     "dq_failures": lambda r: quality.with_result(r.dq_dirty, quality.FAIL),
     "dq_warnings": lambda r: quality.with_result(r.dq_unfiltered, quality.WARN),
+    "post_checks_dirty": lambda r: quality.post_checks(dirty(r)),
+    "line_break_counts": lambda r: quality.broken_lines({"drug": with_line_breaks(r.raw["drug"]), "reac": r.raw["reac"]}),
     "post_checks": lambda r: quality.post_checks(r.loaded),
     "post_checks_unfiltered": lambda r: quality.post_checks(r.unfiltered),
     # Profiles

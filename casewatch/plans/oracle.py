@@ -557,6 +557,15 @@ def _final_selects() -> dict[str, str]:
         ),
         "layer_profile_typed": " union all ".join(_typed_profile(t) for t in TABLES),
         "dq_warnings": f"select * from ({_dq('demo_all', '')}) where result = 'WARN'",
+        "post_checks_dirty": _post_checks("dirty_demo", "dirty_"),
+        "line_break_counts": (
+            "select 'DRUG' as table_name, count(*) filter (primaryid::bigint % 3 = 0) as n from raw_drug "
+            "union all select 'REAC', count(*) filter (contains(pt, chr(10))) from raw_reac"
+        ),
+        "silver_demo_few_columns": (
+            "select * exclude (occr_country, mfr_sndr, occp_cod) "
+            f"from (select {demo_columns} from demo)"
+        ),
         "post_checks": _post_checks("demo", "valid_"),
         "post_checks_unfiltered": _post_checks("demo_all", ""),
         "layer_profile": " union all ".join(map(_profile, TABLES)),

@@ -51,10 +51,10 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Writes a small text file, which must not exist."""
+def write_text(spark: SparkSession, path: str, text: str, replace: bool = False) -> None:
+    """Writes a small text file, which must not exist unless it is to be replaced."""
     hadoop_path, fs = _open(spark, path)
-    stream = fs.create(hadoop_path, False)
+    stream = fs.create(hadoop_path, replace)
     try:
         stream.write(bytearray(text.encode()))
     finally:

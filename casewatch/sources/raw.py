@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from casewatch.lazy import side_by_side
 from casewatch.schema import COLUMNS, PARTITIONS, TABLES, raw_schema
-from casewatch.sources import files, spanning
+from casewatch.sources import files, spanning, tables
 
 # The text format of the source files.
 SEPARATOR = "$"
@@ -166,6 +166,7 @@ def write_bronze(rows: DataFrame, path: str, year: str, quarter: str) -> int:
     old ones too. Other quarters stay. The count is observed during the write, so the
     text is parsed once.
     """
+    tables.record_columns(rows.sparkSession, path, year, quarter, rows)
     written = Observation()
     (
         rows.drop(*PARTITIONS)

@@ -8,12 +8,14 @@ lost half-way is never seen.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 from casewatch.schema import PARTITIONS, raw_schema
 from casewatch.sources import buckets, files
 
-_PREFIX = "version="
+_PREFIX, _COLUMNS = "version=", "_columns.json"
 
 
 def versions(spark: SparkSession, path: str) -> list[int]:
@@ -54,14 +56,49 @@ def write_version(df: DataFrame, path: str, keep_versions: int | None = None) ->
     return version
 
 
+def recorded_columns(spark: SparkSession, path: str) -> dict[str, dict[str, str]]:
+    """Column names and types of each quarter of a Bronze table, as recorded at ingest."""
+    name = f"{path}/{_COLUMNS}"
+    return json.loads(files.read_text(spark, name)) if files.exists(spark, name) else {}
+
+
+def record_columns(spark: SparkSession, path: str, year: str, quarter: str, rows: DataFrame) -> None:
+    """Records the columns of a quarter that is about to be written, in place of its old ones.
+
+    It is done before the rows are, so that a lost write leaves columns without values and
+    not values without a column. A table ingested before there was a record keeps the
+    columns of all its files. A column's type is the same in all quarters; another one is
+    refused.
+    """
+    known = recorded_columns(spark, path)
+    if not known and files.exists(spark, path) and any(n.startswith(PARTITIONS[0]) for n in files.names(spark, path)):
+        known["before"] = {n: k for n, k in _merged(spark, path, True).dtypes if n not in PARTITIONS}
+    mine = {n: k for n, k in rows.dtypes if n not in PARTITIONS}
+    for other, columns in known.items():
+        clash = [n for n, k in mine.items() if columns.get(n, k) != k]
+        if clash and other != f"{year}/{quarter}":
+            raise ValueError(f"columns {clash} have other types in {other}")
+    known[f"{year}/{quarter}"] = mine
+    files.write_text(spark, f"{path}/{_COLUMNS}", json.dumps(known), replace=True)
+
+
 def read_bronze(spark: SparkSession, path: str, merge_schema: bool = True) -> DataFrame:
     """A partitioned Bronze table with its year and quarter as text.
 
-    Quarters may differ in their columns: all are found, with NULL where a quarter
-    lacks one, which reads the footers of all files in a distributed job. Without
-    merge_schema the columns of one file are taken. Spark would infer a number for the
-    year, so the schema is stated.
+    Quarters may differ in their columns: all are found, with NULL where a quarter lacks
+    one. They are known from the record of the ingests; only a table without one has the
+    footers of all its files read, in a distributed job. Without merge_schema the columns
+    of one file are taken. Spark would infer a number for the year, so the schema is stated.
     """
+    known = recorded_columns(spark, path) if merge_schema else {}
+    if known:
+        columns = {n: k for quarter in sorted(known) for n, k in known[quarter].items()}
+        schema = ", ".join(f"`{n.replace('`', '``')}` {k}" for n, k in (columns | dict.fromkeys(PARTITIONS, "string")).items())
+        return spark.read.schema(schema).parquet(path)
+    return _merged(spark, path, merge_schema)
+
+
+def _merged(spark: SparkSession, path: str, merge_schema: bool) -> DataFrame:
     found = spark.read.option("mergeSchema", merge_schema).parquet(path).schema
     texts = [
         T.StructField(f.name, T.StringType()) if f.name in PARTITIONS else f for f in found.fields

@@ -208,3 +208,30 @@ def test_sample_export_round_trip(spark, tmp_path):
 
 def test_listing(spark, tmp_path):
     assert files.names(spark, str(tmp_path)) == [] and files.exists(spark, str(tmp_path))
+
+
+def test_columns_are_known_without_reading_footers(spark, tmp_path):
+    target = str(tmp_path / "bronze" / "reac")
+    first = bronze(spark, "reac", [{"primaryid": "1", "pt": "a"}])
+    raw.write_bronze(first, target, "2024", "Q1")
+    raw.write_bronze(first.withColumn("extra", F.lit("x")).drop("pt"), target, "2024", "Q2")
+    context = spark.sparkContext
+    context.setJobGroup("columns", "no job may run")
+    found = tables.read_bronze(spark, target)
+    assert not context.statusTracker().getJobIdsForGroup("columns")
+    context.setJobGroup("other", "")
+    assert rows(found, "_quarter", "pt", "extra") == [("Q1", "a", None), ("Q2", None, "x")]
+    assert set(found.columns) == set(tables._merged(spark, target, True).columns)
+    raw.write_bronze(first, target, "2024", "Q2")
+    assert "extra" not in tables.read_bronze(spark, target).columns
+    with pytest.raises(ValueError):
+        raw.write_bronze(first.withColumn("pt", F.lit(1)), target, "2024", "Q3")
+
+
+def test_a_table_ingested_before_the_record_keeps_its_columns(spark, tmp_path):
+    target = str(tmp_path / "reac")
+    first = bronze(spark, "reac", [{"primaryid": "1", "pt": "a"}])
+    raw.write_bronze(first.withColumn("extra", F.lit("x")), target, "2024", "Q1")
+    files.delete(spark, f"{target}/_columns.json")
+    raw.write_bronze(first, target, "2024", "Q2")
+    assert rows(tables.read_bronze(spark, target), "_quarter", "extra") == [("Q1", "x"), ("Q2", None)]
