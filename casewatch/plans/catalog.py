@@ -7,7 +7,7 @@ the latest version of each case, with Q1 as stored data and Q2 as the new batch.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cached_property, reduce
+from functools import cache, cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -63,7 +63,12 @@ class Reports:
         return LazyTables(self.raw, lambda t: of_quarter(self.raw[t], YEAR, quarter))
 
     def quarter(self, quarter: str) -> LazyTables:
-        return silver.clean_all(self.raw_quarter(quarter))
+        """A quarter's cleaned tables; DEMO's versions are picked once and not in every branch of a merge."""
+        bronze = self.raw_quarter(quarter)
+        demo = cache(lambda: silver.clean_demo(bronze["demo"]).checkpoint())
+        return LazyTables(
+            COLUMNS, lambda t: demo() if t == "demo" else silver.keep_valid(silver.clean_child(t, bronze[t]), demo())
+        )
 
     @cached_property
     def stored(self) -> LazyTables:
