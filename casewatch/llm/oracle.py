@@ -6,7 +6,7 @@ import string
 
 from casewatch.llm.centroids import CENTROIDS, ROUNDS, SCALE, SEED, WIDTH
 from casewatch.llm.common import SPACE_CLASS
-from casewatch.llm.quality_rules import MAX_REPEAT_PERCENT, MIN_WORDS, RULES, STOP_WORDS, SYMBOLS
+from casewatch.llm.quality_rules import LANGUAGES, MAX_REPEAT_PERCENT, MIN_WORDS, RULES, STOP_WORDS, SYMBOLS
 from casewatch.llm.url_filters import PATTERN_RULES, SITE_RULES
 
 
@@ -21,10 +21,11 @@ def _failing() -> str:
 
 
 def quality_rules_sql() -> str:
-    stop = ", ".join(map(_text, sorted(set(STOP_WORDS))))
+    stop, languages = (", ".join(map(_text, sorted(set(x)))) for x in (STOP_WORDS, LANGUAGES))
     return rf"""
     WITH texts AS (
         SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t,
+               lang IS NULL OR lower(lang) IN ({languages}) AS listed,
                regexp_extract_all(coalesce(text, ''), '[^{SPACE_CLASS}]+') AS ws,
                [l FOR l IN string_split(coalesce(text, ''), chr(10)) IF regexp_matches(l, '[^{SPACE_CLASS}]')] AS ls
         FROM documents
@@ -35,14 +36,14 @@ def quality_rules_sql() -> str:
         SELECT rid, count(DISTINCT spot) AS n FROM (SELECT rid, unnest([i, i + 1, i + 2]) AS spot FROM windows WHERE n > 1)
         GROUP BY rid
     ), counted AS (
-        SELECT doc_id, len(ws) AS n_words, coalesce(list_sum([length(w) FOR w IN ws]), 0)::BIGINT AS word_chars,
+        SELECT doc_id, listed, len(ws) AS n_words, coalesce(list_sum([length(w) FOR w IN ws]), 0)::BIGINT AS word_chars,
                len(regexp_extract_all(t, '[{SYMBOLS}]')) AS n_symbols,
                len(ls) AS n_lines, len(ls) - list_unique(ls)::BIGINT AS n_dup_lines, coalesce(n, 0) AS n_repeat_words,
                len([w FOR w IN ws IF list_contains([{stop}], lower(w))]) AS n_stop_words
         FROM texts LEFT JOIN repeats USING (rid)
     ), ratios AS (
-        SELECT *, word_chars / nullif(n_words, 0) AS chars_per_word, n_symbols / nullif(n_words, 0) AS symbols_per_word,
-               n_stop_words / nullif(n_words, 0) AS stop_word_ratio, n_dup_lines / nullif(n_lines, 0) AS dup_line_ratio,
+        SELECT *, CASE WHEN listed THEN word_chars / nullif(n_words, 0) END AS chars_per_word, n_symbols / nullif(n_words, 0) AS symbols_per_word,
+               CASE WHEN listed THEN n_stop_words / nullif(n_words, 0) END AS stop_word_ratio, n_dup_lines / nullif(n_lines, 0) AS dup_line_ratio,
                n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed
         FROM counted
     )

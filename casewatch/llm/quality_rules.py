@@ -18,7 +18,8 @@ from casewatch.llm.common import SPACES, let, words
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 50, 50, 3
 
-# Frequent short words of four languages.
+# Frequent short words of four languages, and the codes of these.
+LANGUAGES = ("de", "en", "es", "fr")
 STOP_WORDS = (
     # English
     "the be to of and that have with in for on is was by at this from or an are as it a re "
@@ -45,7 +46,7 @@ class Rule:
 
 
 RULES = (
-    Rule("length", "n_words", low=50, high=1_000_000),
+    Rule("length", "n_words", low=50),
     Rule("word_length", "chars_per_word", low=1.5, high=20),
     Rule("symbols", "symbols_per_word", high=0.3),
     Rule("stop_words", "stop_word_ratio", low=0.03),
@@ -125,13 +126,16 @@ def _fails(value: Column, rule: Rule) -> Column:
     return F.coalesce(reduce(Column.__or__, limits), F.lit(False))
 
 
-def verdict(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
+def verdict(text: Column, rules: tuple[Rule, ...] = RULES, lang: Column | None = None) -> Column:
     """A struct of a text's counts, ratios, base_failed, failed_rules (names) and kept.
 
-    It is one expression in which the text is measured once, also where Spark moves it
+    Stop words and the length of words tell something only in LANGUAGES: where `lang` names
+    another language, both ratios are NULL. It is one expression in which the text is measured once, also where Spark moves it
     into a filter.
     """
 
+    listed = F.lit(True) if lang is None else lang.isNull() | F.lower(lang).isin(*LANGUAGES)
+
     def over(m: Column) -> Column:
         found = {
             "n_words": m["words"]["n_words"],
@@ -143,9 +147,9 @@ def verdict(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
             "n_lines": m["lines"]["n_lines"],
         }
         found |= {
-            "chars_per_word": F.try_divide(found["word_chars"], found["n_words"]),
+            "chars_per_word": F.when(listed, F.try_divide(found["word_chars"], found["n_words"])),
             "symbols_per_word": F.try_divide(found["n_symbols"], found["n_words"]),
-            "stop_word_ratio": F.try_divide(found["n_stop_words"], found["n_words"]),
+            "stop_word_ratio": F.when(listed, F.try_divide(found["n_stop_words"], found["n_words"])),
             "dup_line_ratio": F.try_divide(found["n_dup_lines"], found["n_lines"]),
         }
         base = (found["n_words"] < MIN_WORDS) | (found["n_repeat_words"] * 100 > found["n_words"] * MAX_REPEAT_PERCENT)
@@ -160,14 +164,18 @@ def verdict(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
     return let(_measures(text), over)
 
 
-def judge(documents: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
+def judge(
+    documents: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES, lang: str | None = "lang"
+) -> DataFrame:
     """(row, verdict) per document: the input's columns, and what `verdict` finds.
 
+    `lang` is a column of language codes, if the table has it; a null code says nothing.
     Null and empty texts have no words and fail. Repeated rows are judged each on its own.
     """
-    return documents.select(F.struct("*").alias("row"), verdict(F.col(text), rules).alias("verdict"))
+    code = F.col(lang) if lang in documents.columns else None
+    return documents.select(F.struct("*").alias("row"), verdict(F.col(text), rules, code).alias("verdict"))
 
 
-def keep_good(documents: DataFrame, text: str = "text") -> DataFrame:
+def keep_good(documents: DataFrame, text: str = "text", lang: str | None = "lang") -> DataFrame:
     """The documents that fail no rule, with their own columns."""
-    return judge(documents, text).filter("verdict.kept").select("row.*")
+    return judge(documents, text, lang=lang).filter("verdict.kept").select("row.*")

@@ -79,4 +79,19 @@ def test_one_projection_without_shuffle_or_user_function(spark):
 
 
 def test_sql_is_valid():
-    assert set(oracle.oracle_sql()) == {"op4_quality_rules", "op5_url_filters", "op8_warc"}
+    expected = {"op4_quality_rules", "op5_url_filters", "op8_warc", "op11_prefix_trie", "op13_centroid_clustering"}
+    assert set(oracle.oracle_sql()) == expected
+
+
+def test_languages_without_a_list_are_not_judged_by_stop_words_or_word_length(spark):
+    polish = " ".join(f"zdanie{i} mówi o{i} rzeczach{i} których{i}" for i in range(30))
+    unspaced = " ".join("文" * 30 + str(i) for i in range(60))
+    rows = [(1, polish, "pl", None, 1), (2, polish, "en", None, 1), (3, polish, None, None, 1), (4, unspaced, "zh", None, 1), (5, unspaced, "DE", None, 1)]
+    kept = [r.doc_id for r in qr.keep_good(documents(spark, rows)).collect()]
+    assert sorted(kept) == [1, 4]
+    assert sorted(r.doc_id for r in qr.keep_good(documents(spark, rows).drop("lang")).collect()) == []
+
+
+def test_a_very_long_clean_text_is_kept(spark):
+    text = " ".join(f"the word{i}" for i in range(520_000))
+    assert [r.doc_id for r in qr.keep_good(documents(spark, [(1, text, "en", None, 1)])).collect()] == [1]
