@@ -55,14 +55,14 @@ SITE_RULES = (
     SiteRule("block", "net/fr/"),
 )
 
-# Patterns of addresses that are no articles.
+# Patterns of addresses that are no articles, one for each literal.
 PATTERN_RULES = (
-    PatternRule(r"(?i)[/.](?:ads?|adserver)[/.]"),
+    *(PatternRule(rf"(?i)[/.]{word}[/.]", (word,)) for word in ("ad", "ads", "adserver")),
     PatternRule(r"(?i)/login(?:[/?#]|$)", ("login",)),
     PatternRule(r"(?i)/cart(?:[/?#]|$)", ("cart",)),
     PatternRule(r"(?i)/cgi-bin/", ("cgi", "bin")),
     PatternRule(r"(?i)[?&]replytocom=", ("replytocom",)),
-    PatternRule(r"(?i)\.(?:exe|zip|jpg|png|gif)(?:[?#]|$)"),
+    *(PatternRule(rf"(?i)\.{word}(?:[?#]|$)", (word,)) for word in ("exe", "zip", "jpg", "png", "gif")),
 )
 
 

@@ -63,3 +63,13 @@ def test_rules_are_filed_under_their_rarest_token(spark):
 def test_empty_table(spark):
     frame, _ = table(spark, [])
     assert tuples(uf.judge(frame)) == []
+
+
+def test_every_rule_in_use_has_a_token(spark):
+    urls = spark.createDataFrame([("https://a.com/x",)], "url string")
+    assert "" not in {r.token for r in uf._filed(spark, urls, uf.SITE_RULES, uf.PATTERN_RULES).collect()}
+    blocked = ["http://h/ads/x", "http://ad.h.de/", "http://h/a.ADSERVER.x", "http://h/x.Exe", "http://h/x.gif?y", "http://h/x.zip#z"]
+    free = ["http://h/bads/x", "http://h/ads", "http://h/x.exe/y", "http://h/x.gift", "http://h/xexe"]
+    frame = spark.createDataFrame([(k, u) for k, u in enumerate(blocked + free)], "page_id bigint, url string")
+    found = {r.page_id: r.verdict for r in uf.judge(frame, sites=()).collect()}
+    assert [found[k] for k in range(len(found))] == ["block"] * len(blocked) + ["allow"] * len(free)
