@@ -144,3 +144,10 @@ def test_top_lists_do_not_sort_everything(spark, stored):
     scored = signals.disproportionality(stored["drug"], stored["reac"])
     for df in (signals.top_signals(scored), signals.signals_per_drug(scored)):
         assert "TakeOrderedAndProject" in plan(df)
+
+
+@pytest.mark.parametrize("name, most", [("fatal_signals", 30), ("signals_per_drug", 30), ("merge_child", 15)])
+def test_scans_are_not_planned_over_and_over(spark, name, most):
+    from casewatch.plans.catalog import queries
+
+    assert plan(queries()[name](spark, SF)).count("FileScan") < most
