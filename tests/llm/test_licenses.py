@@ -73,3 +73,31 @@ def test_very_long_and_empty(spark):
     found = tuples(licenses.scan(table(spark, [("a/x", text), ("a/y", "")])), "row.path", "license")
     assert found == [("a/x", "MIT"), ("a/y", None)]
     assert tuples(licenses.scan(table(spark, []))) == []
+
+
+def test_versions_and_families_are_told_apart(spark):
+    def free(family, version, sep=","):
+        return (
+            "This program is free software: you can redistribute it and/or modify it under the terms of the "
+            f"GNU {family}General Public License as published by the Free Software Foundation{sep} either version "
+            f"{version} of the License, or (at your option) any later version."
+        )
+
+    bsd = "Copyright (c) 2020, A. Author. All rights reserved. Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice."
+    clause = " Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+    texts = {
+        "GPL-2.0": [free("", 2, ";"), "GNU GENERAL PUBLIC LICENSE\n Version 2, June 1991\n Copyright (C) 1989", "// SPDX-License-Identifier: GPL-2.0-or-later"],
+        "GPL-3.0": [free("", 3), "GNU GENERAL PUBLIC LICENSE\n Version 3, 29 June 2007\n Copyright (C) 2007", "# SPDX-License-Identifier: GPL-3.0-only"],
+        "AGPL-3.0": [free("Affero ", 3), "GNU AFFERO GENERAL PUBLIC LICENSE\n Version 3, 19 November 2007", "SPDX-License-Identifier: AGPL-3.0"],
+        "LGPL-2.1": [free("Lesser ", 2.1, ";"), "GNU LESSER GENERAL PUBLIC LICENSE\n Version 2.1, February 1999"],
+        "LGPL-3.0": [free("Lesser ", 3), "GNU LESSER GENERAL PUBLIC LICENSE\n Version 3, 29 June 2007"],
+        "Apache-2.0": ["Apache License\n Version 2.0, January 2004\n http://www.apache.org/licenses/", "/* SPDX-License-Identifier: Apache-2.0 */"],
+        "BSD-2-Clause": [bsd], "BSD-3-Clause": [bsd + clause, "SPDX-License-Identifier: BSD-3-Clause"],
+        "ISC": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that"],
+        "MPL-2.0": ["Mozilla Public License Version 2.0\n====\n1. Definitions", "// SPDX-License-Identifier: MPL-2.0"],
+        None: ["SPDX-License-Identifier: EPL-2.0", "the general public read the license", "Version 2.0 of June 2007"],
+    }
+    given = [(f"{name}/{k}.txt", text) for name, some in texts.items() for k, text in enumerate(some)]
+    given += [(f"x/{i}.txt", prose(i, 40)) for i in range(20)]
+    found = {r[0]: r[1] for r in tuples(licenses.scan(table(spark, given)), "row.path", "license")}
+    assert found == {p: None if p[0] in "xN" else p.split("/")[0] for p, _ in given}
