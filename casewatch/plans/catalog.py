@@ -273,6 +273,21 @@ def bronze_line_breaks(r: Reports) -> DataFrame:
     return _kept(r, layout, stored.withColumn("has_lineage", named).drop(*FILE_LINEAGE))
 
 
+def bronze_second_ingest(r: Reports) -> DataFrame:
+    """DRUG after both quarters were ingested again, one of them from other text; and which were written again."""
+    layout = ingested(r, ["drug"])
+    quarters = (OLD_QUARTER, NEW_QUARTER)
+    folders = {q: raw.quarter_folder(f"{layout.bronze}/drug", YEAR, q) for q in quarters}
+    before = {q: files.names(r.spark, folder) for q, folder in folders.items()}
+    fewer = r.raw_quarter(OLD_QUARTER)["drug"].filter(F.col("primaryid").cast("bigint") % 3 != 0)
+    layers.write_raw({"drug": fewer}, layout, YEAR, OLD_QUARTER)
+    for quarter in quarters:
+        layers.ingest(r.spark, layout, YEAR, quarter)
+    again = [q for q, folder in folders.items() if files.names(r.spark, folder) != before[q]]
+    stored = read_bronze(r.spark, f"{layout.bronze}/drug").drop(*FILE_LINEAGE)
+    return _kept(r, layout, stored.withColumn("rewritten", F.col("_quarter").isin(again)))
+
+
 def drop_orphans_counts(r: Reports) -> DataFrame:
     """Orphan removal on stored tables into which all orphans of the quarter were put."""
     layout = ingested(r, quarters=[OLD_QUARTER])
@@ -379,6 +394,7 @@ QUERIES: dict[str, Callable[[Reports], DataFrame]] = {
     **{f"stored_{t}": stored_silver(t) for t in ("demo", "drug")},
     "contingency_carried_on": contingency_carried_on,
     "bronze_line_breaks": bronze_line_breaks,
+    "bronze_second_ingest": bronze_second_ingest,
     "drop_orphans_counts": drop_orphans_counts,
     "sample_export_text": sample_export_text,
     # Silver

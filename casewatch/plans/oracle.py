@@ -475,6 +475,10 @@ def _final_selects() -> dict[str, str]:
             "select * replace (case when primaryid::bigint % 3 = 0 then concat_ws(chr(10), prod_ai, ' $' || trim(route), '') "
             f"else prod_ai end as prod_ai), true as has_lineage from ({_stored('drug')})"
         ),
+        "bronze_second_ingest": (
+            f"select *, _quarter = 'Q1' as rewritten from ({_stored('drug')}) "
+            "where _quarter <> 'Q1' or primaryid::bigint % 3 <> 0"
+        ),
         "merge_child_with_orphans": (
             "select * from valid_drug_q1 where primaryid not in "
             "(select primaryid from valid_drug_q2 where primaryid in (select primaryid from merged)) "

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from urllib.parse import unquote
+
 from pyspark.sql import SparkSession
 
 
@@ -10,6 +13,11 @@ def _open(spark: SparkSession, path: str):
     return hadoop_path, hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def plain(path: str) -> str:
+    """A path without percent-encoding and without its scheme's empty authority."""
+    return re.sub(r"^file:/+", "file:/", unquote(path))
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     hadoop_path, fs = _open(spark, path)
     return fs.exists(hadoop_path)
@@ -30,6 +38,13 @@ def leaves(spark: SparkSession, path: str) -> list[str]:
     return sorted(p.toString() for p in found if not p.getName().startswith(("_", ".")))
 
 
+def length_and_time(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Bytes of a file, and when it was last changed in milliseconds."""
+    hadoop_path, fs = _open(spark, path)
+    status = fs.getFileStatus(hadoop_path)
+    return status.getLen(), status.getModificationTime()
+
+
 def first_line(spark: SparkSession, path: str, encoding: str) -> str | None:
     """The first line of a file; None when it is empty."""
     hadoop_path, fs = _open(spark, path)

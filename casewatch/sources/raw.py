@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import re
 from functools import reduce
-from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from casewatch.lazy import side_by_side
 from casewatch.schema import COLUMNS, PARTITIONS, TABLES, raw_schema
-from casewatch.sources import files, spanning, tables
+from casewatch.sources import files, ledger, spanning, tables
 
 # The text format of the source files.
 SEPARATOR = "$"
@@ -27,6 +25,18 @@ def table_files(spark: SparkSession, raw_dir: str, table: str) -> list[str]:
     ]
 
 
+def _doubtful_line() -> Column:
+    """Whether a line, `value`, alone may make a line-by-line parse differ."""
+    line = F.col("value")
+    bare = F.replace(line, F.lit("\r"), F.lit(""))
+    quoted = line.contains('"')
+    return (
+        (quoted & (line.contains("\\") | ~spanning.is_closed(line, SEPARATOR)))
+        | (F.length(line) - F.length(bare) > F.when(line.endswith("\r"), 1).otherwise(0))
+        | bare.rlike(r"^\s+$")
+    )
+
+
 def doubtful_files(spark: SparkSession, paths: list[str]) -> set[str]:
     """Those of the files that a line-by-line parse might read differently.
 
@@ -34,25 +44,12 @@ def doubtful_files(spark: SparkSession, paths: list[str]) -> set[str]:
     returns, mixed line ends and blank lines are read differently too. One distributed
     scan over all files decides, with one row per file as its result.
     """
-    line = F.col("value")
-    bare = F.replace(line, F.lit("\r"), F.lit(""))
-    ends = line.endswith("\r")
-    quoted = line.contains('"')
-    doubtful = (
-        (quoted & (line.contains("\\") | ~spanning.is_closed(line, SEPARATOR)))
-        | (F.length(line) - F.length(bare) > F.when(ends, 1).otherwise(0))
-        | bare.rlike(r"^\s+$")
-    )
     lines = spark.read.option("lineSep", "\n").text(paths)
+    returns = F.count_if(F.col("value").endswith("\r"))
     seen = lines.groupBy(F.col("_metadata.file_path").alias("path")).agg(
-        F.bool_or(doubtful).alias("doubtful"), F.count_if(ends).alias("returns"), F.count("*").alias("lines")
+        F.bool_or(_doubtful_line()).alias("doubtful"), returns.alias("returns"), F.count("*").alias("lines")
     )
-    return {_plain(r.path) for r in seen.collect() if r.doubtful or r.returns not in (0, r.lines)}
-
-
-def _plain(path: str) -> str:
-    """A path without percent-encoding and without its scheme's empty authority."""
-    return re.sub(r"^file:/+", "file:/", unquote(path))
+    return {files.plain(r.path) for r in seen.collect() if r.doubtful or r.returns not in (0, r.lines)}
 
 
 def needs_whole_file(spark: SparkSession, path: str) -> bool:
@@ -99,17 +96,17 @@ def read_files(
     `source` adds a column with the file's name. Files without a line hold nothing.
     """
     found = [leaf for path in paths for leaf in files.leaves(spark, path)]
-    doubtful, known = set(map(_plain, found)) if multi_line else set(), None
+    doubtful, known = set(map(files.plain, found)) if multi_line else set(), None
     if multi_line is None and quote and found:
         doubtful = doubtful_files(spark, found)
-        asked = [leaf for leaf in found if _plain(leaf) in doubtful]
+        asked = [leaf for leaf in found if files.plain(leaf) in doubtful]
         known = spanning.borders(spark, asked, SEPARATOR, ENCODING) if asked else None
-    odd = set(map(_plain, known.odd)) if known else doubtful
+    odd = set(map(files.plain, known.odd)) if known else doubtful
     groups: dict[tuple[str, bool, bool], list[str]] = {}
     for leaf in found:
         header = files.first_line(spark, leaf, ENCODING)
         if header is not None:
-            groups.setdefault((header, _plain(leaf) in doubtful, _plain(leaf) in odd), []).append(leaf)
+            groups.setdefault((header, files.plain(leaf) in doubtful, files.plain(leaf) in odd), []).append(leaf)
     frames = []
     for (_, several_lines, whole), group in groups.items():
         if several_lines and not whole:
@@ -166,7 +163,9 @@ def write_bronze(rows: DataFrame, path: str, year: str, quarter: str) -> int:
     old ones too. Other quarters stay. The count is observed during the write, so the
     text is parsed once.
     """
-    tables.record_columns(rows.sparkSession, path, year, quarter, rows)
+    spark = rows.sparkSession
+    ledger.record(spark, path, f"{year}/{quarter}", None)
+    tables.record_columns(spark, path, year, quarter, rows)
     written = Observation()
     (
         rows.drop(*PARTITIONS)
@@ -185,10 +184,11 @@ def ingest_quarter(
     quarter: str,
     multi_line: bool | None = None,
 ) -> dict[str, int]:
-    """Rows written per table; 0 for a table without a file, {} without a directory.
+    """Rows of the quarter per table; 0 for a table without a file, {} without a directory.
 
     A table whose files have gone since the last ingest of the quarter loses that
-    quarter's rows.
+    quarter's rows. A table whose files are all as they were when the quarter was last
+    ingested, by name and content, is not written again.
     """
     if not files.exists(spark, raw_dir):
         return {}
@@ -197,7 +197,15 @@ def ingest_quarter(
         paths, target = table_files(spark, raw_dir, table), f"{bronze_dir}/{table}"
         if not paths and not files.exists(spark, quarter_folder(target, year, quarter)):
             return 0
-        return write_bronze(bronze_rows(spark, paths, table, year, quarter, multi_line), target, year, quarter)
+        in_order = F.col("value").contains("\r") | _doubtful_line()
+        found = {"way": multi_line, "files": ledger.digests(spark, paths, ENCODING, in_order)}
+        known = ledger.recorded(spark, target, f"{year}/{quarter}")
+        stored = files.exists(spark, quarter_folder(target, year, quarter))
+        if known and stored and {k: known[k] for k in found} == found:
+            return known["rows"]
+        rows = write_bronze(bronze_rows(spark, paths, table, year, quarter, multi_line), target, year, quarter)
+        ledger.record(spark, target, f"{year}/{quarter}", found | {"rows": rows})
+        return rows
 
     return side_by_side(TABLES, ingest)
 
