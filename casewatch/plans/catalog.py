@@ -288,6 +288,13 @@ def bronze_second_ingest(r: Reports) -> DataFrame:
     return _kept(r, layout, stored.withColumn("rewritten", F.col("_quarter").isin(again)))
 
 
+def indexed_name_search(r: Reports) -> DataFrame:
+    """`name_search` by a stored index of the names."""
+    layout = layers.Layout(layers.scratch_folder(r.spark), STORED_BUCKETS)
+    layers.store_names(r.spark, layout, r.child("drug"))
+    return _kept(r, layout, layers.search_names(r.spark, layout, NAME_FRAGMENTS))
+
+
 def drop_orphans_counts(r: Reports) -> DataFrame:
     """Orphan removal on stored tables into which all orphans of the quarter were put."""
     layout = ingested(r, quarters=[OLD_QUARTER])
@@ -395,6 +402,7 @@ QUERIES: dict[str, Callable[[Reports], DataFrame]] = {
     "contingency_carried_on": contingency_carried_on,
     "bronze_line_breaks": bronze_line_breaks,
     "bronze_second_ingest": bronze_second_ingest,
+    "indexed_name_search": indexed_name_search,
     "drop_orphans_counts": drop_orphans_counts,
     "sample_export_text": sample_export_text,
     # Silver

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from casewatch.functions.statistics import Thresholds
 from casewatch.lazy import side_by_side
-from casewatch.operators import incremental, merge, quality, signals
+from casewatch.operators import incremental, merge, names, quality, signals
 from casewatch.operators.silver import clean_child, clean_demo, keep_valid
 from casewatch.schema import CHILDREN, COLUMNS, TABLES, data_columns
 from casewatch.sources import buckets, files, raw, tables
@@ -274,6 +274,38 @@ def read_counts(spark: SparkSession, layout: Layout) -> DataFrame:
     return tables.read_version(spark, layout.gold("report_counts")).drop("drug_version", "reac_version")
 
 
+def store_names(spark: SparkSession, layout: Layout, drug: DataFrame | None = None) -> None:
+    """Indexes the names of DRUG, by default those of Silver's latest version, for `search_names`.
+
+    Postings lie in buckets of the gram, spellings in buckets of the name.
+    """
+    drug = tables.read_version(spark, layout.silver("drug")) if drug is None else drug
+    buckets.write(names.spellings(drug), layout.gold("drug_names"), "name_id", layout.buckets)
+    spelled = tables.read_version(spark, layout.gold("drug_names"))
+    buckets.write(names.postings(spelled), layout.gold("name_postings"), "gram", layout.buckets)
+
+
+def search_names(spark: SparkSession, layout: Layout, fragments: list[str]) -> DataFrame:
+    """The indexed spellings that contain any of the fragments, as `profile.name_search` on DRUG.
+
+    Of the postings the buckets of the fragments' grams are read, of the spellings those of
+    the candidates. A fragment of fewer than three characters has no grams; then all
+    spellings are compared.
+    """
+    path = layout.gold("drug_names")
+    if not names.is_indexed(fragments):
+        return names.verified(tables.read_version(spark, path), None, fragments)
+    shared_checkpoints(spark, f"{layout.root}/checkpoints")
+    posted = buckets.manifest(spark, layout.gold("name_postings"))
+    grams = sorted(set().union(*map(names.grams, fragments)))
+    asked = spark.createDataFrame([(g,) for g in grams], "gram string")
+    only = buckets.buckets_with(asked, posted.key, posted.buckets)
+    found = names.candidates(buckets.read(spark, layout.gold("name_postings"), posted, only), fragments).checkpoint()
+    known = buckets.manifest(spark, path)
+    held = buckets.read(spark, path, known, buckets.buckets_with(found, known.key, known.buckets))
+    return names.verified(held, found, fragments)
+
+
 def log_quality(spark: SparkSession, layout: Layout, run_label: str) -> DataFrame:
     """Runs the checks on Silver, appends them to the log and returns this run's rows."""
     path = layout.gold("data_quality_log")

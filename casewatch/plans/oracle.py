@@ -599,6 +599,7 @@ def _final_selects() -> dict[str, str]:
             "from raw_drug union all select 'REAC', 'pt', count(distinct pt) from raw_reac"
         ),
         "drug_name_search": f"select distinct drugname, prod_ai, role_cod from drug where {FRAGMENTS}",
+        "indexed_name_search": f"select distinct drugname, prod_ai, role_cod from drug where {FRAGMENTS}",
         "date_samples": (
             "select distinct event_dt, event_dt_parsed from demo where event_dt is not null "
             "order by length(event_dt), event_dt limit 9"
