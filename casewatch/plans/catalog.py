@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from casewatch.functions.statistics import Thresholds
 from casewatch.lazy import LazyTables
-from casewatch.operators import incremental, merge, profile, quality, signals, silver
+from casewatch.operators import incremental, merge, profile, quality, signals, silver, sketches
 from casewatch.operators.census import as_rows, census, total
 from casewatch.plans import layers
 from casewatch.plans.adapter import raw_tables
@@ -295,6 +295,31 @@ def indexed_name_search(r: Reports) -> DataFrame:
     return _kept(r, layout, layers.search_names(r.spark, layout, NAME_FRAGMENTS))
 
 
+def merged_sketches(r: Reports) -> DataFrame:
+    """Profiles merged from stored sketches of each quarter: exact counts, and whether the estimates are within their errors."""
+    layout = layers.Layout(layers.scratch_folder(r.spark), STORED_BUCKETS)
+    frames = {"demo": r.raw["demo"].withColumn("age", F.expr("try_cast(age as double)")), "drug": r.raw["drug"], "reac": r.raw["reac"]}
+    profiled = {"demo": ["caseid", "age"], "drug": ["drugname"], "reac": ["pt"]}
+    for t, columns in profiled.items():
+        found = sketches.quarter_sketches(t.upper(), frames[t], columns, {"age"}.intersection(columns))
+        found.write.mode("append").parquet(layout.gold("sketches"))
+    merged = sketches.merged_profile(r.spark.read.parquet(layout.gold("sketches"))).checkpoint()
+    exact = [
+        frames[t].agg(F.lit(t.upper()).alias("table_name"), F.lit(c).alias("column_name"), F.count_distinct(c).alias("exact"))
+        for t, columns in profiled.items()
+        for c in columns
+    ]
+    median = merged.filter("median is not null").select("median").scalar()
+    in_rank = sketches.rank_is_within(frames["demo"], "age", median, sketches.QUANTILES["median"]).scalar()
+    compared = merged.join(reduce(DataFrame.unionAll, exact), ["table_name", "column_name"])
+    off = F.abs(F.col("distinct_estimate") - F.col("exact"))
+    return _kept(r, layout, compared.select(
+        "table_name", "column_name", "rows", "null_count", F.col("exact").alias("distinct_values"),
+        (off <= F.col("distinct_error")).alias("distinct_within"),
+        F.when(F.col("median").isNotNull(), in_rank).alias("median_within"),
+    ))
+
+
 def drop_orphans_counts(r: Reports) -> DataFrame:
     """Orphan removal on stored tables into which all orphans of the quarter were put."""
     layout = ingested(r, quarters=[OLD_QUARTER])
@@ -402,6 +427,7 @@ QUERIES: dict[str, Callable[[Reports], DataFrame]] = {
     "contingency_carried_on": contingency_carried_on,
     "bronze_line_breaks": bronze_line_breaks,
     "bronze_second_ingest": bronze_second_ingest,
+    "merged_sketches": merged_sketches,
     "indexed_name_search": indexed_name_search,
     "drop_orphans_counts": drop_orphans_counts,
     "sample_export_text": sample_export_text,

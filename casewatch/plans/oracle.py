@@ -598,6 +598,14 @@ def _final_selects() -> dict[str, str]:
             "select 'DRUG' as table_name, 'drugname' as column_name, count(distinct drugname) as distinct_values "
             "from raw_drug union all select 'REAC', 'pt', count(distinct pt) from raw_reac"
         ),
+        "merged_sketches": " union all ".join(
+            f"select '{t.upper()}' as table_name, '{c}' as column_name, count(*) as rows, count(*) - count({value}) as null_count, "
+            f"count(distinct {value}) as distinct_values, true as distinct_within, {within} as median_within from raw_{t}"
+            for t, c, value, within in (
+                ("demo", "caseid", "caseid", "null::boolean"), ("demo", "age", "try_cast(age as double)", "true"),
+                ("drug", "drugname", "drugname", "null::boolean"), ("reac", "pt", "pt", "null::boolean"),
+            )
+        ),
         "drug_name_search": f"select distinct drugname, prod_ai, role_cod from drug where {FRAGMENTS}",
         "indexed_name_search": f"select distinct drugname, prod_ai, role_cod from drug where {FRAGMENTS}",
         "date_samples": (
