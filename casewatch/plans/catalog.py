@@ -12,7 +12,7 @@ from functools import cache, cached_property, reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from casewatch.functions.statistics import Thresholds
-from casewatch.lazy import LazyTables
+from casewatch.lazy import LazyTables, side_by_side
 from casewatch.operators import incremental, merge, profile, quality, signals, silver, sketches
 from casewatch.operators.census import as_rows, census, total
 from casewatch.plans import layers
@@ -265,8 +265,10 @@ def with_line_breaks(drug: DataFrame) -> DataFrame:
 def bronze_line_breaks(r: Reports) -> DataFrame:
     """DRUG with line breaks in its ingredients, after the way through text files and Bronze."""
     layout = layers.Layout(layers.scratch_folder(r.spark), STORED_BUCKETS)
-    for quarter in (OLD_QUARTER, NEW_QUARTER):
-        layers.write_raw({"drug": with_line_breaks(r.raw_quarter(quarter)["drug"])}, layout, YEAR, quarter)
+    quarters = (OLD_QUARTER, NEW_QUARTER)
+    drug = {quarter: {"drug": with_line_breaks(r.raw_quarter(quarter)["drug"])} for quarter in quarters}
+    side_by_side(quarters, lambda quarter: layers.write_raw(drug[quarter], layout, YEAR, quarter))
+    for quarter in quarters:
         layers.ingest(r.spark, layout, YEAR, quarter)
     stored = read_bronze(r.spark, f"{layout.bronze}/drug")
     named = F.col("_source_file").isNotNull() & F.col("_ingestion_ts").isNotNull()
@@ -368,9 +370,10 @@ def ingested(
 ) -> layers.Layout:
     """A new project with quarters written as text and ingested; all tables unless named."""
     layout = layers.Layout(layers.scratch_folder(r.spark), STORED_BUCKETS)
+    bronze = {quarter: r.raw_quarter(quarter) for quarter in quarters}
+    texts = {quarter: {t: rows[t] for t in only or rows} for quarter, rows in bronze.items()}
+    side_by_side(quarters, lambda quarter: layers.write_raw(texts[quarter], layout, YEAR, quarter))
     for quarter in quarters:
-        bronze = r.raw_quarter(quarter)
-        layers.write_raw({t: bronze[t] for t in only or bronze}, layout, YEAR, quarter)
         layers.ingest(r.spark, layout, YEAR, quarter)
     return layout
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterable
 
-from pyspark.sql import Column, SparkSession, functions as F
+from pyspark.sql import Column, Row, SparkSession, functions as F
 
 from casewatch.sources import files
 
@@ -26,6 +26,14 @@ def digests(spark: SparkSession, paths: Iterable[str], encoding: str, in_order:
     in_order: whether a line, `value`, may depend on the lines around it.
     """
     found = [leaf for path in paths for leaf in files.leaves(spark, path)]
+    return named(spark, found, examine(spark, found, in_order), encoding)
+
+
+def examine(spark: SparkSession, found: list[str], in_order: Column, **facts: Column) -> dict[str, Row]:
+    """What the lines of files are known by, and other aggregates of them, by plain path; one scan.
+
+    Files without a line are missing.
+    """
     if not found:
         return {}
     value = F.xxhash64("value")
@@ -35,9 +43,14 @@ def digests(spark: SparkSession, paths: Iterable[str], encoding: str, in_order:
         F.try_sum(F.shiftright(value, 32)).alias("high"),
         F.try_sum(value.bitwiseAND(F.lit(0xFFFFFFFF))).alias("low"),
         F.bool_or(in_order).alias("in_order"),
+        *(fact.alias(name) for name, fact in facts.items()),
     )
-    by_path = {files.plain(r.path): r for r in lines.collect()}  # a row for each file, as listed above
-    return {leaf: _digest(spark, leaf, by_path.get(files.plain(leaf)), encoding) for leaf in found}
+    return {files.plain(r.path): r for r in lines.collect()}  # a row for each file, as listed above
+
+
+def named(spark: SparkSession, found: list[str], seen: dict[str, Row], encoding: str) -> dict[str, str]:
+    """The digest of each examined file."""
+    return {leaf: _digest(spark, leaf, seen.get(files.plain(leaf)), encoding) for leaf in found}
 
 
 def _digest(spark: SparkSession, leaf: str, seen, encoding: str) -> str:

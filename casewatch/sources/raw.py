@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, functions as F
 
 from casewatch.lazy import side_by_side
 from casewatch.schema import COLUMNS, PARTITIONS, TABLES, raw_schema
@@ -30,13 +30,23 @@ def _doubtful_line() -> Column:
     line = F.col("value")
     bare = F.replace(line, F.lit("\r"), F.lit(""))
     quoted = line.contains('"')
-    return (
+    returns = F.length(line) - F.length(bare) > F.when(line.endswith("\r"), 1).otherwise(0)
+    return (  # few lines need more than the first test of each kind
         (quoted & (line.contains("\\") | ~spanning.is_closed(line, SEPARATOR)))
-        | (F.length(line) - F.length(bare) > F.when(line.endswith("\r"), 1).otherwise(0))
-        | bare.rlike(r"^\s+$")
+        | (line.contains("\r") & returns)
+        | ((F.ascii(line) <= ord(" ")) & bare.rlike(r"^\s+$"))
     )
 
 
+def _line_facts() -> dict[str, Column]:
+    """What tells, of all lines of a file, whether it is doubtful."""
+    return {"doubtful": F.bool_or(_doubtful_line()), "returns": F.count_if(F.col("value").endswith("\r"))}
+
+
+def _is_doubtful(seen: Row) -> bool:
+    return seen.doubtful or seen.returns not in (0, seen.lines)
+
+
 def doubtful_files(spark: SparkSession, paths: list[str]) -> set[str]:
     """Those of the files that a line-by-line parse might read differently.
 
@@ -45,11 +55,9 @@ def doubtful_files(spark: SparkSession, paths: list[str]) -> set[str]:
     scan over all files decides, with one row per file as its result.
     """
     lines = spark.read.option("lineSep", "\n").text(paths)
-    returns = F.count_if(F.col("value").endswith("\r"))
-    seen = lines.groupBy(F.col("_metadata.file_path").alias("path")).agg(
-        F.bool_or(_doubtful_line()).alias("doubtful"), returns.alias("returns"), F.count("*").alias("lines")
-    )
-    return {files.plain(r.path) for r in seen.collect() if r.doubtful or r.returns not in (0, r.lines)}
+    facts = {"lines": F.count("*")} | _line_facts()
+    seen = lines.groupBy(F.col("_metadata.file_path").alias("path")).agg(*(f.alias(n) for n, f in facts.items()))
+    return {files.plain(r.path) for r in seen.collect() if _is_doubtful(r)}
 
 
 def needs_whole_file(spark: SparkSession, path: str) -> bool:
@@ -85,6 +93,7 @@ def read_files(
     multi_line: bool | None = None,
     quote: str = '"',
     source: str | None = None,
+    doubtful: set[str] | None = None,
 ) -> list[DataFrame]:
     """Frames that together hold all files: one for each header and way of parsing.
 
@@ -93,14 +102,17 @@ def read_files(
     ends are parsed in byte ranges all the same (`spanning`); only those whose quotes that
     module does not understand are parsed whole, each in one task. multi_line=True parses
     every file so, False every line by itself, and an empty quote takes quotes for text.
-    `source` adds a column with the file's name. Files without a line hold nothing.
+    `source` adds a column with the file's name. Files without a line hold nothing. A caller
+    that has examined the files passes what `doubtful_files` says of them.
     """
     found = [leaf for path in paths for leaf in files.leaves(spark, path)]
-    doubtful, known = set(map(files.plain, found)) if multi_line else set(), None
-    if multi_line is None and quote and found:
+    asks = multi_line is None and quote and found
+    if not asks:
+        doubtful = set(map(files.plain, found)) if multi_line else set()
+    elif doubtful is None:
         doubtful = doubtful_files(spark, found)
-        asked = [leaf for leaf in found if files.plain(leaf) in doubtful]
-        known = spanning.borders(spark, asked, SEPARATOR, ENCODING) if asked else None
+    asked = [leaf for leaf in found if files.plain(leaf) in doubtful] if asks else []
+    known = spanning.borders(spark, asked, SEPARATOR, ENCODING) if asked else None
     odd = set(map(files.plain, known.odd)) if known else doubtful
     groups: dict[tuple[str, bool, bool], list[str]] = {}
     for leaf in found:
@@ -111,6 +123,8 @@ def read_files(
     for (_, several_lines, whole), group in groups.items():
         if several_lines and not whole:
             columns = _read(spark, group[:1], False, quote).columns
+            if len(group) < len(asked):  # fewer files may be cut into other byte ranges
+                known = spanning.borders(spark, group, SEPARATOR, ENCODING)
             named = spanning.read_spanning(spark, group, SEPARATOR, ENCODING, columns, known, source or "_source")
             frames.append(named if source else named.drop("_source"))
         else:
@@ -136,10 +150,12 @@ def bronze_rows(
     year: str,
     quarter: str,
     multi_line: bool | None = None,
+    doubtful: set[str] | None = None,
 ) -> DataFrame:
     """All files of one table and quarter, with lineage columns; no files give no rows."""
 
-    frames = [_with_table_columns(df, table) for df in read_files(spark, paths, multi_line, source="_source_file")]
+    found = read_files(spark, paths, multi_line, source="_source_file", doubtful=doubtful)
+    frames = [_with_table_columns(df, table) for df in found]
     if not frames:
         return spark.createDataFrame([], raw_schema(table))
     rows = reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), frames)
@@ -188,7 +204,8 @@ def ingest_quarter(
 
     A table whose files have gone since the last ingest of the quarter loses that
     quarter's rows. A table whose files are all as they were when the quarter was last
-    ingested, by name and content, is not written again.
+    ingested, by name and content, is not written again. One scan of the text makes the
+    digests and tells how each file is to be parsed.
     """
     if not files.exists(spark, raw_dir):
         return {}
@@ -197,13 +214,17 @@ def ingest_quarter(
         paths, target = table_files(spark, raw_dir, table), f"{bronze_dir}/{table}"
         if not paths and not files.exists(spark, quarter_folder(target, year, quarter)):
             return 0
+        leaves = [leaf for path in paths for leaf in files.leaves(spark, path)]
         in_order = F.col("value").contains("\r") | _doubtful_line()
-        found = {"way": multi_line, "files": ledger.digests(spark, paths, ENCODING, in_order)}
+        seen = ledger.examine(spark, leaves, in_order, **_line_facts())
+        found = {"way": multi_line, "files": ledger.named(spark, leaves, seen, ENCODING)}
         known = ledger.recorded(spark, target, f"{year}/{quarter}")
         stored = files.exists(spark, quarter_folder(target, year, quarter))
         if known and stored and {k: known[k] for k in found} == found:
             return known["rows"]
-        rows = write_bronze(bronze_rows(spark, paths, table, year, quarter, multi_line), target, year, quarter)
+        doubtful = {path for path, lines in seen.items() if _is_doubtful(lines)}
+        parsed = bronze_rows(spark, paths, table, year, quarter, multi_line, doubtful)
+        rows = write_bronze(parsed, target, year, quarter)
         ledger.record(spark, target, f"{year}/{quarter}", found | {"rows": rows})
         return rows
 

@@ -106,3 +106,18 @@ def test_a_lost_ingest_is_done_again(spark, tmp_path):
     before = stored_files(spark, tmp_path / "bronze")
     assert ingest(spark, tmp_path)["drug"] == 2000
     assert stored_files(spark, tmp_path / "bronze") != before
+
+
+@pytest.mark.parametrize("way", [None, False])
+def test_an_ingest_examines_the_text_once(spark, tmp_path, monkeypatch, way):
+    """The scan that makes the digests also tells how files are parsed; quoted line breaks are found by it."""
+    put(tmp_path / "raw", "DRUG1.txt", ['1$"a', 'b"', "2$c"])
+    put(tmp_path / "raw", "DRUG2.txt", LINES)
+    scans = []
+    reader = type(spark.read)
+    text = reader.text
+    monkeypatch.setattr(reader, "text", lambda self, paths, *more, **named: scans.append(paths) or text(self, paths, *more, **named))
+    found = ingest(spark, tmp_path, multi_line=way)
+    whole = [paths for paths in scans if len(paths) == 2]
+    assert len(whole) == 1  # others read only the file with line breaks
+    assert found["drug"] == (2002 if way is None else 2003)
