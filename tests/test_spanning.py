@@ -2,7 +2,7 @@ import os
 import random
 
 import pytest
-from frames import rows
+from frames import plan, rows
 from pyspark.sql import functions as F
 
 from casewatch.sources import raw, spanning
@@ -87,3 +87,61 @@ def test_header_with_a_line_break_and_empty_first_line_are_left_to_the_whole_par
     (tmp_path / "empty.txt").write_bytes(b"\nh1$h2\n1$\"x\ny\"\n")
     known = spanning.borders(spark, [*paths, f"file:{tmp_path}/empty.txt"], "$", "ISO-8859-1")
     assert len(known.odd) == 2
+
+
+@pytest.fixture
+def small_batches(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    yield
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+@pytest.mark.parametrize("ranges", ["300", "1m"])
+def test_records_go_on_over_arrow_batches(spark, tmp_path, small_batches, ranges):
+    rng = random.Random(3)
+    bodies = ["\n" + "".join(rng.choice(TOKENS) for _ in range(rng.randrange(50, 400))) for _ in range(60)]
+    bodies += ['\n1$"' + "x\n" * 200 + '"$2\n3$4$5\n', '\n1$2$3\n4$"' + "\n" * 50]
+    paths = written(tmp_path, bodies)
+    names = {"spark.sql.files.maxPartitionBytes": ranges, "spark.sql.files.openCostInBytes": "0"}
+    before = {n: spark.conf.get(n) for n in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    try:
+        odd = {os.path.basename(p) for p in spanning.borders(spark, paths, "$", "ISO-8859-1").odd}
+        clear = [p for p in paths if os.path.basename(p) not in odd]
+        known = spanning.borders(spark, clear, "$", "ISO-8859-1")
+        found = by_file(spanning.read_spanning(spark, clear, "$", "ISO-8859-1", ["h1", "h2", "h3"], known, "name"))
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert found == by_file(whole_parse(spark, clear)) and len(clear) > 3
+
+
+def test_quotes_are_looked_at_once_when_records_are_put_together(spark, tmp_path, small_ranges):
+    """Records inside a range need the quotes of its lines; the parts of others are found by line numbers."""
+    (path,) = written(tmp_path, ['\n1$"a\nb"$2\n' + "3$4$5\n" * 40 + '6$"' + "c\n" * 30 + '"$7\n'])
+    known = spanning.borders(spark, [path], "$", "ISO-8859-1")
+    assert known.opened and known.left
+    found = spanning.read_spanning(spark, [path], "$", "ISO-8859-1", ["h1", "h2", "h3"], known, "name")
+    text = plan(found)
+    assert text.count("MapInArrow") == 2
+    assert sum("RLIKE" in line for line in text.splitlines() if "Project" in line) == 1
+    whole = ["\n" + "1$2$3\n" * 20]
+    known = spanning.borders(spark, written(tmp_path, whole), "$", "ISO-8859-1")
+    found = spanning.read_spanning(spark, written(tmp_path, whole), "$", "ISO-8859-1", ["h1", "h2", "h3"], known, "name")
+    assert plan(found).count("MapInArrow") == 1 and found.count() == 20
+
+
+def test_files_with_other_headers_are_cut_into_their_own_ranges(spark, tmp_path):
+    """Alone, a file is cut into smaller ranges than together with others."""
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        for k, header in enumerate(("primaryid$pt", "primaryid$pt$x", "primaryid$pt$y")):
+            (tmp_path / f"REAC{k}.txt").write_text(header + "\n" + "".join(f'{i}$"a\n{i}\nb"\n' for i in range(300)))
+        paths = [f"file:{tmp_path}/REAC{k}.txt" for k in range(3)]
+        found = raw.bronze_rows(spark, paths, "reac", "2024", "Q1").select("primaryid", "pt", "_source_file")
+        wanted = raw.bronze_rows(spark, paths, "reac", "2024", "Q1", multi_line=True).select("primaryid", "pt", "_source_file")
+        assert rows(found) == rows(wanted)
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", before)
