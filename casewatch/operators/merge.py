@@ -117,14 +117,18 @@ def changed_reports(batch: DataFrame, replaced: DataFrame, demo: DataFrame) -> D
     return known.select("primaryid", "was_stored", F.coalesce("present", F.lit(False)).alias("present"))
 
 
-def replacing_rows(batch: DataFrame, changed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The batch's child rows whose report the merged DEMO has, and the reports whose stored rows go.
+def replacing_rows(batch: DataFrame, changed: DataFrame) -> DataFrame:
+    """The batch's child rows whose report the merged DEMO has."""
+    return batch.join(changed.filter("present").select("primaryid"), "primaryid", "left_semi")
 
-    Those are the reports of these rows, and the ones that DEMO lost.
+
+def replaced_reports(valid: DataFrame, changed: DataFrame) -> DataFrame:
+    """The reports whose stored rows go: those of the replacing rows `valid`, and the ones that DEMO lost.
+
+    `valid` should be stored, as it is made by joins of the batch and read here once more.
     """
-    valid = batch.join(changed.filter("present").select("primaryid"), "primaryid", "left_semi")
     gone = changed.filter("was_stored and not present").select("primaryid")
-    return valid, splittable_ids(valid.select("primaryid").unionAll(gone), "primaryid").select("primaryid")
+    return splittable_ids(valid.select("primaryid").unionAll(gone), "primaryid").select("primaryid")
 
 
 def replace_reports(stored: DataFrame, valid: DataFrame, ids: DataFrame) -> DataFrame:

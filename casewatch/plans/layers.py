@@ -168,7 +168,8 @@ def merge_child_table(
     known = buckets.manifest(spark, path) if tables.versions(spark, path) else None
     if changed is not None and known:
         shared_checkpoints(spark, f"{layout.root}/checkpoints")
-        valid, ids = (df.checkpoint() for df in merge.replacing_rows(batch, changed))
+        valid = merge.replacing_rows(batch, changed).checkpoint()
+        ids = merge.replaced_reports(valid, changed).checkpoint()
         only = buckets.buckets_with(ids, known.key, known.buckets)
         if only:
             rows = merge.replace_reports(buckets.read(spark, path, known, only), valid, ids)

@@ -10,7 +10,7 @@ from casewatch.operators import merge, quality, signals, silver
 from casewatch.plans import layers
 from casewatch.plans.adapter import raw_tables
 from casewatch.schema import CHILDREN, TABLES
-from casewatch.sources import tables
+from casewatch.sources import buckets, tables
 
 SF = "/root/testdata/sf0.001"
 AS_OF = dt.date(2024, 12, 31)
@@ -127,3 +127,24 @@ def test_scratch_and_checkpoints_follow_the_cluster_setting(spark, tmp_path):
     assert layers.scratch_folder(spark).startswith(f"{shared}/")
     layers.shared_checkpoints(spark, str(tmp_path))
     assert shared in spark.sparkContext.getCheckpointDir()
+
+
+def test_a_child_batch_is_made_once_in_an_upsert(spark, tmp_path):
+    """Which stored reports go is read from the batch's rows as stored, not from the joins that made them."""
+    layout = layers.Layout(str(tmp_path), 4)
+    stored = spark.range(40).selectExpr("cast(id as string) primaryid", "'old' pt")
+    buckets.write(stored, layout.silver("reac"), "primaryid", layout.buckets)
+    made = spark.sparkContext.accumulator(0)
+
+    def key(k):
+        made.add(1)
+        return str(k)
+
+    named = F.udf(key, "string").asNondeterministic()
+    batch = spark.range(20, 50).select(named("id").alias("primaryid"), F.lit("new").alias("pt"))
+    changed = spark.range(15, 60).selectExpr("cast(id as string) primaryid", "id < 40 was_stored", "id between 20 and 44 present")
+    counts = layers.merge_child_table(spark, layout, "reac", batch, changed)
+    assert counts == {"before": 40, "written": 25, "after": 40}
+    kept = [(str(k), "old") for k in range(15)] + [(str(k), "new") for k in range(20, 45)]
+    assert rows(tables.read_version(spark, layout.silver("reac"))) == sorted(kept, key=repr)
+    assert made.value == 30
