@@ -327,8 +327,7 @@ def drop_orphans_counts(r: Reports) -> DataFrame:
     layout = ingested(r, quarters=[OLD_QUARTER])
     layers.load_silver(r.spark, layout, YEAR, OLD_QUARTER)
     bronze = layers.read_quarter(r.spark, layout, YEAR, OLD_QUARTER)
-    for t in CHILDREN:
-        write_version(silver.clean_child(t, bronze[t]), layout.silver(t))
+    side_by_side(CHILDREN, lambda t: write_version(silver.clean_child(t, bronze[t]), layout.silver(t)))
     stats = layers.drop_orphans(r.spark, layout)
     rows = [(t, s["before"], s["after"], s["removed"]) for t, s in stats.items()]
     files.delete(r.spark, layout.root)
