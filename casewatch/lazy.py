@@ -13,11 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 AT_ONCE = 4
 
 
-def side_by_side(names: Iterable[str], work: Callable[[str], object]) -> dict:
+def side_by_side(names: Iterable[str], work: Callable[[str], object], at_once: int = AT_ONCE) -> dict:
     """work(name) for each name, a few at once: one table's jobs seldom fill a cluster."""
     names, session = list(names), SparkSession.getActiveSession()
     target = inheritable_thread_target(session)(work) if session else work
-    with ThreadPool(AT_ONCE) as pool:
+    with ThreadPool(at_once) as pool:
         return dict(zip(names, pool.map(target, names, chunksize=1)))
 
 

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -100,8 +100,16 @@ def write_raw(
     side_by_side(bronze, write)
 
 
-def ingest(spark: SparkSession, layout: Layout, year: str, quarter: str) -> dict[str, int]:
-    return raw.ingest_quarter(spark, layout.raw(year, quarter), layout.bronze, year, quarter)
+def ingest(
+    spark: SparkSession, layout: Layout, year: str, quarter: str, only: Iterable[str] = TABLES
+) -> dict[str, int]:
+    return raw.ingest_quarter(spark, layout.raw(year, quarter), layout.bronze, year, quarter, only=only)
+
+
+def remove_raw(spark: SparkSession, layout: Layout, year: str, quarter: str, table: str) -> None:
+    """Removes a table's text of a quarter. Only while it is not ingested again does Bronze keep its rows."""
+    for path in raw.table_files(spark, layout.raw(year, quarter), table):
+        files.delete(spark, path)
 
 
 def shared_checkpoints(spark: SparkSession, fallback: str) -> None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, functions as F
@@ -199,9 +200,12 @@ def ingest_quarter(
     year: str,
     quarter: str,
     multi_line: bool | None = None,
+    only: Iterable[str] = TABLES,
 ) -> dict[str, int]:
     """Rows of the quarter per table; 0 for a table without a file, {} without a directory.
 
+    Tables other than those in `only` are left as they are.
+
     A table whose files have gone since the last ingest of the quarter loses that
     quarter's rows. A table whose files are all as they were when the quarter was last
     ingested, by name and content, is not written again. One scan of the text makes the
@@ -228,7 +232,7 @@ def ingest_quarter(
         ledger.record(spark, target, f"{year}/{quarter}", found | {"rows": rows})
         return rows
 
-    return side_by_side(TABLES, ingest)
+    return side_by_side(only, ingest)
 
 
 def write_delimited(df: DataFrame, path: str) -> None:

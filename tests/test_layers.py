@@ -10,10 +10,11 @@ from casewatch.operators import merge, quality, signals, silver
 from casewatch.plans import layers
 from casewatch.plans.adapter import raw_tables
 from casewatch.schema import CHILDREN, TABLES
-from casewatch.sources import buckets, tables
+from casewatch.sources import buckets, files, tables
 
 SF = "/root/testdata/sf0.001"
 AS_OF = dt.date(2024, 12, 31)
+TEXTS = {"reac": "pt", "outc": "outc_cod"}
 
 
 @pytest.fixture(scope="module")
@@ -148,3 +149,16 @@ def test_a_child_batch_is_made_once_in_an_upsert(spark, tmp_path):
     kept = [(str(k), "old") for k in range(15)] + [(str(k), "new") for k in range(20, 45)]
     assert rows(tables.read_version(spark, layout.silver("reac"))) == sorted(kept, key=repr)
     assert made.value == 30
+
+
+def test_other_tables_stay_when_some_are_ingested(spark, tmp_path):
+    layout = layers.Layout(str(tmp_path))
+    one = {t: spark.createDataFrame([("1", t)], f"primaryid string, {TEXTS[t]} string") for t in TEXTS}
+    layers.write_raw(one, layout, "2024", "Q1", all_columns=True)
+    assert layers.ingest(spark, layout, "2024", "Q1", ["reac"]) == {"reac": 1}
+    layers.remove_raw(spark, layout, "2024", "Q1", "reac")
+    assert layers.ingest(spark, layout, "2024", "Q1", ["outc"]) == {"outc": 1}
+    for t in TEXTS:
+        assert rows(tables.read_bronze(spark, f"{layout.bronze}/{t}"), TEXTS[t]) == [(t,)]
+    assert files.names(spark, layout.raw("2024", "Q1")) == ["OUTC24Q1.txt"]
+    assert layers.ingest(spark, layout, "2024", "Q1")["reac"] == 0
