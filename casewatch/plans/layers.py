@@ -19,6 +19,8 @@ from casewatch.operators.silver import clean_child, clean_demo, keep_valid
 from casewatch.schema import CHILDREN, COLUMNS, TABLES, data_columns
 from casewatch.sources import buckets, files, raw, tables
 
+WIDE_AT_ONCE = 2  # tables whose rows are shuffled at a time; DRUG takes as long as all others
+
 
 @dataclass(frozen=True)
 class Layout:
@@ -73,7 +75,7 @@ def load_silver(
         child = keep_valid(clean_child(table, bronze[table], as_of), demo)
         return buckets.write(child, layout.silver(table), "primaryid", layout.buckets)
 
-    return written | side_by_side(CHILDREN, load)
+    return written | side_by_side(CHILDREN, load, WIDE_AT_ONCE)
 
 
 def scratch_folder(spark: SparkSession) -> str:
@@ -177,6 +179,7 @@ def merge_child_table(
     if changed is not None and known:
         shared_checkpoints(spark, f"{layout.root}/checkpoints")
         valid = merge.replacing_rows(batch, changed).checkpoint()
+        files.release_shuffles(spark)
         ids = merge.replaced_reports(valid, changed).checkpoint()
         only = buckets.buckets_with(ids, known.key, known.buckets)
         if only:
@@ -211,9 +214,12 @@ def upsert_reports(
     bronze = read_quarter(spark, layout, year, quarter)
     shared_checkpoints(spark, f"{layout.root}/checkpoints")
     demo = clean_demo(bronze["demo"], as_of).checkpoint()
+    files.release_shuffles(spark)
     merged, changed = _merge_demo(spark, layout, demo, one_per_case=True)
     batches = {t: keep_valid(clean_child(t, bronze[t], as_of), demo) for t in CHILDREN}
-    children = side_by_side(CHILDREN, lambda t: merge_child_table(spark, layout, t, batches[t], changed))
+    children = side_by_side(
+        CHILDREN, lambda t: merge_child_table(spark, layout, t, batches[t], changed), WIDE_AT_ONCE
+    )
     return {"demo": merged} | children, changed
 
 

@@ -101,6 +101,7 @@ def write(df: DataFrame, path: str, key: str, buckets: int = BUCKETS, only: list
         .write.partitionBy(_COLUMN)
         .parquet(f"{target}/data")
     )
+    files.release_shuffles(spark)
     names = [n for n in files.names(spark, f"{target}/data") if n.startswith(f"{_COLUMN}=")]
     held |= {int(n.split("=")[1]): version for n in names}
     if names:  # counted from the footers, as an observation of a write without rows has no value

@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 import re
+import time
 from urllib.parse import unquote
 
 from pyspark.sql import SparkSession
 
 
+RELEASE_EVERY = 10.0  # seconds; at size a step takes longer
+_released = [float("-inf")]
+
+
 def _open(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path, hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -80,3 +85,15 @@ def delete(spark: SparkSession, path: str) -> None:
     """Removes a file or a folder with all it holds; nothing when it does not exist."""
     hadoop_path, fs = _open(spark, path)
     fs.delete(hadoop_path, True)
+
+
+def release_shuffles(spark: SparkSession) -> None:
+    """Has Spark remove the shuffle files of finished work, at most every RELEASE_EVERY seconds.
+
+    Its cleaner removes them once a garbage collection of the driver finds their plan unused.
+    A driver makes little garbage and asks for none for half an hour, so the rows that were
+    shuffled for tables long written would stay on the executors' disks.
+    """
+    if time.monotonic() - _released[0] >= RELEASE_EVERY:
+        _released[0] = time.monotonic()
+        spark._jvm.System.gc()

@@ -190,6 +190,7 @@ def write_bronze(rows: DataFrame, path: str, year: str, quarter: str) -> int:
         .write.mode("overwrite")
         .parquet(quarter_folder(path, year, quarter))
     )
+    files.release_shuffles(spark)
     return written.get["rows"]
 
 
@@ -247,3 +248,4 @@ def write_delimited(df: DataFrame, path: str) -> None:
         ignoreLeadingWhiteSpace=False,
         ignoreTrailingWhiteSpace=False,
     )
+    files.release_shuffles(df.sparkSession)

@@ -50,6 +50,7 @@ def write_version(df: DataFrame, path: str, keep_versions: int | None = None) ->
     spark = df.sparkSession
     version = next_version(spark, path)
     df.write.mode("errorifexists").parquet(f"{path}/{_PREFIX}{version}")
+    files.release_shuffles(spark)
     if keep_versions is not None:
         for old in versions(spark, path)[: -max(1, keep_versions)]:
             files.delete(spark, f"{path}/{_PREFIX}{old}")
@@ -120,6 +121,7 @@ def of_quarter(bronze: DataFrame, year: str, quarter: str) -> DataFrame:
 
 def append_log(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
+    files.release_shuffles(df.sparkSession)
 
 
 def run_labels(spark: SparkSession, path: str) -> DataFrame:

@@ -1,16 +1,17 @@
 """Two quarters through all layers, checked against the one-frame operators."""
 
 import datetime as dt
+import time
 
 import pytest
 from frames import rows
 from pyspark.sql import functions as F
 
 from casewatch.operators import merge, quality, signals, silver
-from casewatch.plans import layers
+from casewatch.plans import catalog, layers
 from casewatch.plans.adapter import raw_tables
 from casewatch.schema import CHILDREN, TABLES
-from casewatch.sources import buckets, files, tables
+from casewatch.sources import buckets, files, raw, tables
 
 SF = "/root/testdata/sf0.001"
 AS_OF = dt.date(2024, 12, 31)
@@ -162,3 +163,80 @@ def test_other_tables_stay_when_some_are_ingested(spark, tmp_path):
         assert rows(tables.read_bronze(spark, f"{layout.bronze}/{t}"), TEXTS[t]) == [(t,)]
     assert files.names(spark, layout.raw("2024", "Q1")) == ["OUTC24Q1.txt"]
     assert layers.ingest(spark, layout, "2024", "Q1")["reac"] == 0
+
+
+def shuffle_files(spark):
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return sum("shuffle_" in found.apply(k).getName() for k in range(found.size()))
+
+
+def test_shuffle_files_go_once_tables_are_written(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "RELEASE_EVERY", 0.0)
+    df = spark.range(0, 1000, 1, 8).selectExpr("cast(id as string) primaryid", "'x' pt").repartition(4, "primaryid")
+    before = shuffle_files(spark)
+    for n in range(6):  # each leaves 8 tasks' files; the last one's plan may still be in use when it is released
+        tables.write_version(df, str(tmp_path / "t"))
+    until, most = time.monotonic() + 10, before + 3 * 8 * 2
+    while shuffle_files(spark) > most and time.monotonic() < until:  # the cleaner works beside the driver
+        time.sleep(0.1)
+    assert shuffle_files(spark) <= most
+
+
+def test_every_write_of_a_table_releases(spark, tmp_path, monkeypatch):
+    asked, path = [], str(tmp_path)
+    monkeypatch.setattr(files, "release_shuffles", lambda spark: asked.append(1))
+    df = spark.createDataFrame([("1", "x")], "primaryid string, pt string")
+    tables.write_version(df, f"{path}/a")
+    buckets.write(df, f"{path}/b", "primaryid", 4)
+    tables.append_log(df, f"{path}/c")
+    raw.write_delimited(df, f"{path}/d")
+    raw.write_bronze(df, f"{path}/e", "2024", "Q1")
+    assert len(asked) == 5
+
+
+def test_releases_are_not_asked_for_too_often(spark, monkeypatch):
+    asked = []
+
+    class Session:
+        class _jvm:
+            class System:
+                gc = staticmethod(lambda: asked.append(1))
+
+    monkeypatch.setattr(files, "_released", [float("-inf")])
+    for _ in range(3):
+        files.release_shuffles(Session)
+    assert asked == [1]
+
+
+def test_stored_runs_hold_little_text_and_few_wide_tables(spark, tmp_path, monkeypatch):
+    """Text goes once ingested; of all tables a few at a time have text, or rows under way to Silver."""
+    held, busy, most = [], set(), []
+    ingest, write, merged = layers.ingest, buckets.write, layers.merge_child_table
+
+    def watched_ingest(spark, layout, year, quarter, only=TABLES):
+        text = [n for q in ("Q1", "Q2") for n in files.names(spark, layout.raw("2024", q))]
+        held.append(len(text))
+        return ingest(spark, layout, year, quarter, only)
+
+    def counted(work):
+        def run(*args, **kwargs):
+            busy.add(key := object())
+            most.append(len(busy))
+            try:
+                return work(*args, **kwargs)
+            finally:
+                busy.discard(key)
+
+        return run
+
+    monkeypatch.setattr(layers, "ingest", watched_ingest)
+    layout = catalog.ingested(catalog.Reports(spark, SF))
+    assert len(held) == 14 and max(held) <= catalog.TEXTS_AT_ONCE
+    assert not any(files.names(spark, layout.raw("2024", q)) for q in ("Q1", "Q2"))
+    monkeypatch.setattr(buckets, "write", counted(write))
+    layers.load_silver(spark, layout, "2024", "Q1", AS_OF)
+    monkeypatch.setattr(buckets, "write", write)
+    monkeypatch.setattr(layers, "merge_child_table", counted(merged))
+    layers.upsert_quarter(spark, layout, "2024", "Q2", AS_OF)
+    assert len(most) == 13 and max(most) <= layers.WIDE_AT_ONCE
+    files.delete(spark, layout.root)
